@@ -1,0 +1,4 @@
+"""Left empty on purpose: every load is a monthly batch.
+
+The only watermark is the load watermark of `tripmart.operators.incremental`.
+"""
