@@ -17,7 +17,7 @@ from tripmart import runlog
 from tripmart.functions import calendar, keys, measures
 from tripmart.operators import merge, quality
 from tripmart.operators.incremental import newer_than
-from tripmart.operators.lookup import small
+from tripmart.operators.staging_area import staged as written
 from tripmart.plans import bronze, gold, monitor, months, silver, staging
 from tripmart.sources import sample
 
@@ -59,7 +59,8 @@ def _staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.trips(_staged(spark, folder))
+    rows = sample.trip_rows(spark, folder)
+    return silver.trips(_staged(spark, folder), rows_at_most=rows)
 
 
 def _raw_zones(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,15 +71,9 @@ def _dim_zone(spark: SparkSession, folder: str) -> DataFrame:
     return gold.dim_zone(sample.zone_source(spark, folder), sample.CENTRAL_BOROUGH)
 
 
-def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    """The star's fact table straight from staging.
-
-    Facts use no column that silver adds, so its trip ids need not be computed.
-    """
-    staged = _staged(spark, folder)
-    return gold.fact_trips(
-        staged, gold.dim_date(staged), _dim_zone(spark, folder), gold.dim_vendor(spark)
-    )
+def _dates(spark: SparkSession, folder: str) -> DataFrame:
+    """The hour dimension as a table, as later steps find it."""
+    return written(gold.dim_date(_staged(spark, folder)))
 
 
 # Bronze and staging
@@ -128,7 +123,8 @@ def surrogate_key(spark, folder):
 
 @query
 def silver_trip_id(spark, folder):
-    ids = silver.trip_ids(_staged(spark, folder))
+    rows = sample.trip_rows(spark, folder)
+    ids = silver.trip_ids(_staged(spark, folder), rows_at_most=rows)
     return ids.select("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime")
 
 
@@ -156,7 +152,8 @@ def silver_monthly_batches(spark, folder):
     late = raw.filter(F.year("partition_date") == 1997).withColumn(
         "partition_date", F.add_months("partition_date", 1)
     )
-    trips = silver.monthly_batches(staging.trips(raw.unionByName(late)))
+    rows = 2 * sample.trip_rows(spark, folder)
+    trips = silver.monthly_batches(staging.trips(raw.unionByName(late)), rows_at_most=rows)
     return trips.select("trip_id", "pickup_datetime", "partition_date", "fare_per_mile")
 
 
@@ -207,7 +204,7 @@ def dim_vendor(spark, folder):
     vendors = gold.dim_vendor(spark)
     known = vendors.select("vendor_key", F.col("vendor_id").alias("vendor_text"))
     keyed = counted.join(
-        small(known), F.col("vendor_id").cast("string") == F.col("vendor_text"), "left"
+        known, F.col("vendor_id").cast("string") == F.col("vendor_text"), "left"
     ).groupBy(F.coalesce("vendor_key", F.lit(gold.UNKNOWN_VENDOR)).alias("vendor_key"))
     return vendors.join(keyed.agg(F.sum("n").alias("trips")), "vendor_key", "left")
 
@@ -223,9 +220,7 @@ def role_playing_join(spark, folder):
     zone = _dim_zone(spark, folder)
 
     def role(name: str) -> DataFrame:
-        return small(
-            zone.select(F.col("zone_key").alias(f"{name}_key"), F.col("borough").alias(name))
-        )
+        return zone.select(F.col("zone_key").alias(f"{name}_key"), F.col("borough").alias(name))
 
     return (
         pairs.join(role("pickup"), F.col("pu_location_id") == F.col("pickup_key"), "left")
@@ -237,30 +232,38 @@ def role_playing_join(spark, folder):
 
 @query
 def fact_trip_key(spark, folder):
-    """Keys with and without a guard for NULL passengers."""
+    """The key is NULL where the passenger count is."""
     staged = _staged(spark, folder).withColumn(
         "passenger_count", F.nullif(F.col("passenger_count"), F.lit(7).cast("smallint"))
     )
-    plain = gold.trip_keys(staged)
-    return plain.select("trip_key", "pickup_datetime", "pu_location_id", "passenger_count")
+    keyed = gold.trip_keys(staged, rows_at_most=sample.trip_rows(spark, folder))
+    return keyed.select("trip_key", "pickup_datetime", "pu_location_id", "passenger_count")
 
 
 @query
 def fact_trips(spark, folder):
-    return _fact(spark, folder)
+    """The fact table from staged trips; it uses no column that silver adds."""
+    return gold.fact_trips(
+        _staged(spark, folder),
+        _dates(spark, folder),
+        _dim_zone(spark, folder),
+        gold.dim_vendor(spark),
+        rows_at_most=sample.trip_rows(spark, folder),
+    )
 
 
 @query
 def agg_hourly_metrics(spark, folder):
-    staged = _staged(spark, folder)
-    return gold.agg_hourly_metrics(
-        _fact(spark, folder), gold.dim_date(staged), _dim_zone(spark, folder)
-    )
+    dates, zones = _dates(spark, folder), _dim_zone(spark, folder)
+    fact = gold.fact_measures(_staged(spark, folder), dates, zones, gold.dim_vendor(spark))
+    return gold.agg_hourly_metrics(fact, dates, zones)
 
 
 @query
 def agg_zone_summary(spark, folder):
-    return gold.agg_zone_summary(_fact(spark, folder), _dim_zone(spark, folder))
+    dates, zones = _dates(spark, folder), _dim_zone(spark, folder)
+    fact = gold.fact_measures(_staged(spark, folder), dates, zones, gold.dim_vendor(spark))
+    return gold.agg_zone_summary(fact, zones)
 
 
 @query

@@ -28,17 +28,12 @@ def safe_pct(part: Column, whole: Column) -> Column:
 def rounded_mean(total: Column, count: Column, scale: int = 2) -> Column:
     """Mean from a decimal sum of the given scale, to two digits, half away from zero.
 
-    NULL for an empty group.
-    Whole-number division makes the rounding exact for any count; a quotient of
-    limited scale would misjudge values close to a tie once counts pass 10**9.
+    `avg` on decimals keeps too few digits to be rounded afterwards.  Here the
+    quotient has twelve or more, which decides every tie up to 10**10 values.  An
+    empty group has no mean.
     """
-    units = F.abs(total * F.lit(10**scale).cast(f"decimal({scale + 1},0)")).cast("decimal(38,0)")
-    divisor = (count * F.lit(10 ** (scale - 2)).cast(f"decimal({scale - 1},0)")).cast(
-        "decimal(37,0)"
-    )
-    hundredths = F.call_function("div", units * 2 + divisor, divisor * 2)
-    signed = F.when(count > 0, F.when(total < 0, -hundredths).otherwise(hundredths))
-    return (signed.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(22,2)")
+    wide = total.cast("decimal(28,2)" if scale == 2 else "decimal(32,10)")
+    return F.round(F.try_divide(wide, count), 2).cast("decimal(22,2)")
 
 
 def speed_mph(distance: Column, minutes: Column) -> Column:

@@ -27,6 +27,7 @@ def numbered(
     order_by: Sequence[str],
     name: str = "row_num",
     *,
+    rows_at_most: int | None = None,
     hot_rows: int = HOT_ROWS,
     probe_share: float = PROBE_SHARE,
     copies_per_task: int = COPIES_PER_TASK,
@@ -36,11 +37,13 @@ def numbered(
     The order is completed with all remaining columns, so only exact copies tie
     and the numbers are reproducible.  One window shuffle serves ordinary groups.
     Groups with about `hot_rows` rows or more are found by a probe and numbered
-    across many tasks.
+    across many tasks.  No probe runs if `rows_at_most`, a bound on the rows of
+    `df` known to the caller, rules such groups out.
     """
     rest = [c for c in df.columns if c not in (*partition_by, *order_by)]
     order = [*order_by, *rest]
-    hot = _hot_groups(df, partition_by, hot_rows, probe_share)
+    may_be_hot = rows_at_most is None or rows_at_most >= hot_rows
+    hot = _hot_groups(df, partition_by, hot_rows, probe_share) if may_be_hot else []
     in_hot = _group_hash(partition_by).isin(hot) if hot else None
     ordinary = df.filter(~in_hot) if hot else df
     by_window = ordinary.withColumn(

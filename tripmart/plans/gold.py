@@ -74,13 +74,14 @@ def dim_zone(
 
 def dim_vendor(spark: SparkSession) -> DataFrame:
     # The vendor dimension.
-    rows = [
-        (1, "1", "Creative Mobile Technologies", "CMT"),
-        (2, "2", "VeriFone Inc.", "VTS"),
-        (0, "unknown", "Unknown Vendor", "UNK"),
-    ]
-    return spark.createDataFrame(
-        rows, "vendor_key int, vendor_id string, vendor_name string, vendor_code string"
+    return spark.sql(
+        """
+        SELECT * FROM VALUES
+            (1, '1', 'Creative Mobile Technologies', 'CMT'),
+            (2, '2', 'VeriFone Inc.', 'VTS'),
+            (0, 'unknown', 'Unknown Vendor', 'UNK')
+        AS vendors(vendor_key, vendor_id, vendor_name, vendor_code)
+        """
     )
 
 
@@ -122,6 +123,21 @@ def trip_keys(trips: DataFrame, null_safe: bool = False, **ranking) -> DataFrame
     return ranked.withColumn("trip_key", keys.hash64(text)).drop("copy_number")
 
 
+_FACT_INPUT = (
+    "vendor_id",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "pu_location_id",
+    "do_location_id",
+    "passenger_count",
+    "trip_distance",
+    "fare_amount",
+    "tip_amount",
+    "total_amount",
+    "partition_date",
+)
+
+
 def fact_trips(
     trips: DataFrame,
     dates: DataFrame,
@@ -130,30 +146,24 @@ def fact_trips(
     null_safe: bool = False,
     **ranking,
 ) -> DataFrame:
-    """One row per silver trip with its dimension keys and measures."""
-    keyed = trip_keys(
-        trips.select(
-            "vendor_id",
-            "pickup_datetime",
-            "dropoff_datetime",
-            "pu_location_id",
-            "do_location_id",
-            "passenger_count",
-            "trip_distance",
-            "fare_amount",
-            "tip_amount",
-            "total_amount",
-            "partition_date",
-        ),
-        null_safe,
-        **ranking,
-    )
+    """One row per silver trip with its key, dimension keys and measures."""
+    keyed = trip_keys(trips.select(*_FACT_INPUT), null_safe, **ranking)
+    return fact_measures(keyed, dates, zones, vendors, "trip_key")
+
+
+def fact_measures(
+    trips: DataFrame, dates: DataFrame, zones: DataFrame, vendors: DataFrame, *also: str
+) -> DataFrame:
+    """Dimension keys and measures of trips, without a shuffle of the trips.
+
+    Aggregates need no more of a fact than this.
+    """
     zone_keys = small(zones.select("zone_key"))
     date_keys = small(dates.select("date_key"))
-    vendor_keys = small(vendors.select("vendor_key", F.col("vendor_id").alias("vendor_text")))
+    vendor_keys = vendors.select("vendor_key", F.col("vendor_id").alias("vendor_text"))
     fare, tip = F.col("fare_amount"), F.col("tip_amount")
     return (
-        keyed.withColumn("hour_key", calendar.hour_key(F.col("pickup_datetime")))
+        trips.withColumn("hour_key", calendar.hour_key(F.col("pickup_datetime")))
         .join(date_keys, F.col("hour_key") == F.col("date_key"), "left")
         .join(
             zone_keys.withColumnRenamed("zone_key", "pickup_zone"),
@@ -182,7 +192,7 @@ def fact_trips(
             ),
             measures.safe_ratio(fare, F.col("trip_distance")).alias("fare_per_mile"),
             measures.safe_pct(tip, fare).alias("tip_pct"),
-            "trip_key",
+            *also,
         )
     )
 
@@ -234,8 +244,8 @@ def agg_hourly_metrics(fact: DataFrame, dates: DataFrame, zones: DataFrame) -> D
     """Metrics per hour, pickup borough and service zone.
 
     Facts collapse to hours and zones first, so the only large shuffle carries
-    partial sums, and the dimension joins see small input.  Facts with an unknown
-    member find no dimension row and drop out.
+    partial sums, and the dimension joins see small input that needs no hints.
+    Facts with an unknown member find no dimension row and drop out.
     """
     partial = fact.groupBy("date_key", "pickup_zone_key").agg(
         F.count(F.lit(1)).alias("trips"),
@@ -248,7 +258,7 @@ def agg_hourly_metrics(fact: DataFrame, dates: DataFrame, zones: DataFrame) -> D
         F.col("service_zone").alias("pickup_service_zone"),
     )
     by_area = (
-        partial.join(small(where), "pickup_zone_key")
+        partial.join(where, "pickup_zone_key")
         .groupBy("date_key", "pickup_borough", "pickup_service_zone")
         .agg(
             F.sum("trips").alias("trip_count"),
@@ -256,7 +266,7 @@ def agg_hourly_metrics(fact: DataFrame, dates: DataFrame, zones: DataFrame) -> D
             *_resummed(*_HOURLY_MEASURES),
         )
     )
-    return by_area.join(small(dates.select(*_HOUR_COLUMNS)), "date_key").select(
+    return by_area.join(dates.select(*_HOUR_COLUMNS), "date_key").select(
         *_HOUR_COLUMNS,
         "pickup_borough",
         "pickup_service_zone",
@@ -302,7 +312,7 @@ def agg_zone_summary(fact: DataFrame, zones: DataFrame) -> DataFrame:
         "service_zone",
         "is_manhattan",
     )
-    return per_zone.join(small(where), "pickup_zone_key").select(
+    return per_zone.join(where, "pickup_zone_key").select(
         "pickup_zone_key",
         "pickup_zone_name",
         "pickup_borough",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions import measures
-from tripmart.operators.lookup import small
 
 
 def _per_month(df: DataFrame, name: str, by: str) -> DataFrame:
@@ -59,7 +58,7 @@ def top_zones(trips: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     return (
-        counted.join(small(zones.select("location_id", "zone", "borough")), "location_id")
+        counted.join(zones.select("location_id", "zone", "borough"), "location_id")
         .groupBy(F.col("zone").alias("zone_name"), "borough")
         .agg(F.sum("n").alias("trips"))
         .orderBy(F.desc("trips"), "zone_name", "borough")

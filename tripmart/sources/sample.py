@@ -12,8 +12,27 @@ from pyspark.sql import functions as F
 CENTRAL_BOROUGH = "ASIA"
 
 
+# Types of the columns used; stating them saves a look at the files.
+_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def trip_rows(spark: SparkSession, folder: str) -> int:
+    """Number of trips, from the file footers."""
+    return table(spark, folder, "lineitem").count()
 
 
 def _minutes(count) -> F.Column:
@@ -22,22 +41,12 @@ def _minutes(count) -> F.Column:
 
 def trip_source(spark: SparkSession, folder: str) -> DataFrame:
     """Line items under the column names of a trip file, with their month."""
-    items = table(spark, folder, "lineitem").select(
-        "l_orderkey",
-        "l_suppkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_shipdate",
-    )
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    orders = table(spark, folder, "orders")
+    customers = table(spark, folder, "customer")
+    suppliers = table(spark, folder, "supplier")
     joined = (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        table(spark, folder, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
