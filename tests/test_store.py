@@ -112,9 +112,9 @@ def test_compacting(store, spark):
         for d in (D1, D2)
     }
     many = files()
-    result = store.compact(FACTS, [D1, D2], rows_per_file=50)
-    assert result.rows == 100 and _rows(store) == before
-    assert files() == {D1: 2, D2: 1} and all(many[d] > files()[d] for d in many)
+    result = store.compact(FACTS, [D1])
+    assert result.rows == 90 and _rows(store) == before
+    assert many[D1] >= 4 and files() == {D1: 1, D2: many[D2]}
 
 
 def test_partition_filter_reaches_the_scan(store, facts):

@@ -71,9 +71,13 @@ def _dim_zone(spark: SparkSession, folder: str) -> DataFrame:
     return gold.dim_zone(sample.zone_source(spark, folder), sample.CENTRAL_BOROUGH)
 
 
-def _dates(spark: SparkSession, folder: str) -> DataFrame:
-    """The hour dimension as a table, as later steps find it."""
-    return written(gold.dim_date(_staged(spark, folder)))
+def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Trips and the hour dimension as stored tables, as gold finds them, and zones.
+
+    Facts use no column that silver adds to staged trips.
+    """
+    trips = written(_staged(spark, folder))
+    return trips, written(gold.dim_date(trips)), _dim_zone(spark, folder)
 
 
 # Bronze and staging
@@ -242,27 +246,22 @@ def fact_trip_key(spark, folder):
 
 @query
 def fact_trips(spark, folder):
-    """The fact table from staged trips; it uses no column that silver adds."""
-    return gold.fact_trips(
-        _staged(spark, folder),
-        _dates(spark, folder),
-        _dim_zone(spark, folder),
-        gold.dim_vendor(spark),
-        rows_at_most=sample.trip_rows(spark, folder),
-    )
+    trips, dates, zones = _stored(spark, folder)
+    vendors = gold.dim_vendor(spark)
+    return gold.fact_trips(trips, dates, zones, vendors, rows_at_most=trips.count())
 
 
 @query
 def agg_hourly_metrics(spark, folder):
-    dates, zones = _dates(spark, folder), _dim_zone(spark, folder)
-    fact = gold.fact_measures(_staged(spark, folder), dates, zones, gold.dim_vendor(spark))
+    trips, dates, zones = _stored(spark, folder)
+    fact = gold.fact_measures(trips, dates, zones, gold.dim_vendor(spark))
     return gold.agg_hourly_metrics(fact, dates, zones)
 
 
 @query
 def agg_zone_summary(spark, folder):
-    dates, zones = _dates(spark, folder), _dim_zone(spark, folder)
-    fact = gold.fact_measures(_staged(spark, folder), dates, zones, gold.dim_vendor(spark))
+    trips, dates, zones = _stored(spark, folder)
+    fact = gold.fact_measures(trips, dates, zones, gold.dim_vendor(spark))
     return gold.agg_zone_summary(fact, zones)
 
 

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.errors import DuplicateKeys
 
-_NULL_SPREAD = 1024
+
+def _some_null(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return missing
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their count; NULL keys are left out."""
-    some_null = F.lit(False)
-    for key in keys:
-        some_null = some_null | F.col(key).isNull()
     return (
-        df.filter(~some_null)
+        df.filter(~_some_null(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
@@ -35,18 +37,14 @@ def require_unique(df: DataFrame, keys: Sequence[str], table: str) -> None:
 def untouched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the source; NULL keys never match.
 
-    Rows with a NULL key all hash alike, so they get a spread number that no
-    source row has; otherwise one task would receive them all.
+    Rows with a NULL key stay out of the join, where they would all go to one
+    task.  Their scan is skipped wherever file statistics show no NULL.
     """
-    some_null = F.lit(False)
-    for key in keys:
-        some_null = some_null | F.col(key).isNull()
-    spread = F.when(some_null, 1 + F.pmod(F.xxhash64(*target.columns), F.lit(_NULL_SPREAD)))
-    left = target.withColumn("_spread", spread.otherwise(F.lit(0)).cast("bigint"))
-    right = (
-        source.select(*keys).dropna(how="any").withColumn("_spread", F.lit(0).cast("bigint"))
-    )
-    return left.join(right, [*keys, "_spread"], "left_anti").select(*target.columns)
+    keyless = target.filter(_some_null(keys))
+    keyed = target.filter(~_some_null(keys))
+    return keyed.join(source.select(*keys), list(keys), "left_anti").select(
+        *target.columns
+    ).unionByName(keyless)
 
 
 def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -100,14 +100,15 @@ class Flow:
         trip id, or by `replace_partition`, which also removes rows that are gone.
         """
         self.store.ensure(schemas.SILVER_TRIPS)
-        staged = staging.trips(self.store.read(schemas.RAW_TRIPS))
+        raw = self.store.read(schemas.RAW_TRIPS)
         if wanted is None:
-            new = newer_than(staged, self.store.read(schemas.SILVER_TRIPS))
-            built = silver.trips(new)
-        elif len(wanted) == 1:
-            built = silver.trips(in_partitions(staged, wanted))
+            raw = newer_than(raw, self.store.read(schemas.SILVER_TRIPS))
         else:
-            built = silver.monthly_batches(in_partitions(staged, wanted))
+            raw = in_partitions(raw, wanted)
+        in_turn = wanted is not None and len(wanted) > 1
+        build = silver.monthly_batches if in_turn else silver.trips
+        # Counting reads file footers only.
+        built = build(staging.trips(raw), rows_at_most=raw.count())
         built = silver.stored(silver.stamped(built))
         if mode == "merge":
             return self.store.upsert(schemas.SILVER_TRIPS, built)
@@ -152,16 +153,19 @@ class Flow:
             done[table.name] = store.overwrite(table, df)
             return store.read(table)
 
-        dates = save(schemas.DIM_DATE, gold.dim_date(trips).sortWithinPartitions("date_key"))
-        zones = save(schemas.DIM_ZONE, gold.dim_zone(seed, self.central))
+        dates = save(schemas.DIM_DATE, gold.laid_out(gold.dim_date(trips), "dim_date"))
+        zones = gold.laid_out(gold.dim_zone(seed, self.central), "dim_zone")
+        zones = save(schemas.DIM_ZONE, zones)
         vendors = save(schemas.DIM_VENDOR, gold.dim_vendor(self.spark))
-        built = gold.fact_trips(trips, dates, zones, vendors)
+        built = gold.fact_trips(trips, dates, zones, vendors, rows_at_most=trips.count())
         types = {f.name: f.dataType for f in schemas.FACT_TRIPS.schema}
         fact = save(
             schemas.FACT_TRIPS, built.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
         )
-        save(schemas.AGG_HOURLY, gold.agg_hourly_metrics(fact, dates, zones))
-        save(schemas.AGG_ZONE, gold.agg_zone_summary(fact, zones))
+        hourly = gold.agg_hourly_metrics(fact, dates, zones)
+        save(schemas.AGG_HOURLY, gold.laid_out(hourly, "agg_hourly_metrics"))
+        by_zone = gold.agg_zone_summary(fact, zones)
+        save(schemas.AGG_ZONE, gold.laid_out(by_zone, "agg_zone_summary"))
         return done
 
     def test_gold(self) -> None:

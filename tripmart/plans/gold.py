@@ -14,6 +14,13 @@ from tripmart.operators.ranking import numbered
 
 # Airport zones by id (Newark, JFK, LaGuardia).
 AIRPORT_ZONES = (1, 132, 138)
+# Orders in which tables are shown, and sorted inside their files.
+SHOWN_BY = {
+    "dim_date": (F.asc, "date_key"),
+    "dim_zone": (F.asc, "zone_key"),
+    "agg_hourly_metrics": (F.asc, "date_key", "pickup_borough"),
+    "agg_zone_summary": (F.desc, "trip_count"),
+}
 UNKNOWN_KEY = -1
 UNKNOWN_VENDOR = 0
 
@@ -386,6 +393,21 @@ def zone_summary_wide(trips: DataFrame, airports: Sequence[int] = AIRPORT_ZONES)
     )
 
 
+def _order(table: str) -> list[F.Column]:
+    direction, *columns = SHOWN_BY[table]
+    return [direction(c) for c in columns]
+
+
+def shown(df: DataFrame, table: str) -> DataFrame:
+    """A gold table fully sorted for display."""
+    return df.orderBy(*_order(table))
+
+
+def laid_out(df: DataFrame, table: str) -> DataFrame:
+    """A gold table sorted within each file, so that min/max statistics prune well."""
+    return df.sortWithinPartitions(*_order(table))
+
+
 def published(silver: DataFrame) -> DataFrame:
     """Silver trips as they go into the lake table."""
     return silver.select(*schemas.LAKE_TRIPS.schema.names)

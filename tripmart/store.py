@@ -142,22 +142,14 @@ class TableStore:
             time.monotonic() - started,
         )
 
-    def compact(self, table: Table, values: Sequence[object], rows_per_file: int) -> LoadResult:
-        """Rewrite the named partitions into fewer, larger files."""
+    def compact(self, table: Table, values: Sequence[object]) -> LoadResult:
+        """Rewrite the named partitions into files of the session's advisory size.
+
+        Adaptive execution cuts by size, not by content, so copies spread as well.
+        """
         started = time.monotonic()
-        part = table.partition_by
-        df = self.read(table, F.col(part).isin(list(values)))
-        sizes = {r[0]: r["count"] for r in df.groupBy(part).count().collect()}
-        # Each partition is dealt to as many files as its size asks for.
-        files = F.lit(1)
-        for value, rows in sizes.items():
-            files = F.when(F.col(part) == F.lit(value), -(-rows // rows_per_file)).otherwise(files)
-        rest = [c for c in df.columns if c != part]
-        number = F.pmod(F.xxhash64(*rest), files)
-        total = sum(-(-rows // rows_per_file) for rows in sizes.values())
-        dealt = df.withColumn("_file", number).repartition(max(1, total), part, "_file")
-        written = self._write_partitions(table, dealt.drop("_file"), rebalance=False)
-        return self._result(table, written, started)
+        df = self.read(table, F.col(table.partition_by).isin(list(values)))
+        return self._result(table, self._write_partitions(table, df), started)
 
     # Helpers
 
@@ -208,10 +200,9 @@ class TableStore:
             writer = writer.partitionBy(table.partition_by)
         return writer
 
-    def _write_partitions(self, table: Table, df: DataFrame, rebalance: bool = True) -> dict:
+    def _write_partitions(self, table: Table, df: DataFrame) -> dict:
         """Dynamic overwrite: exactly the partitions with rows are exchanged at commit."""
-        arranged = self._rebalanced(df, table) if rebalance else df
-        seen, observed = self._observed(arranged, table)
+        seen, observed = self._observed(self._rebalanced(df, table), table)
         self._writer(observed, table).parquet(self.path(table))
         return seen.get
 
