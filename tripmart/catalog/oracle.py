@@ -367,7 +367,7 @@ def statements() -> dict[str, str]:
             JOIN zones z ON f.pickup_zone_key = z.location_id
             GROUP BY ALL""",
         "agg_zone_summary": f"""WITH {_FACT}
-            SELECT z.location_id AS pickup_zone_key, z.zone AS pickup_zone_name,
+            SELECT f.pickup_zone_key, z.zone AS pickup_zone_name,
                    z.borough AS pickup_borough, z.service_zone, z.borough = 'ASIA' AS is_manhattan,
                    trip_month, count(*) AS trip_count,
                    {_mean('dist_c')} AS avg_distance,
@@ -512,7 +512,7 @@ def statements() -> dict[str, str]:
             FROM old FULL JOIN new USING (run_id, dag_id)""",
         "latest_runs": """
             SELECT event_type AS dag_id, event_id AS run_id, 'load' AS task_id,
-                   ts AS started_at, row_number() OVER (
-                       PARTITION BY event_type ORDER BY ts DESC, event_id) AS nth
+                   ts AS started_at, CAST(row_number() OVER (
+                       PARTITION BY event_type ORDER BY ts DESC, event_id) AS INTEGER) AS nth
             FROM events QUALIFY nth <= 3""",
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +31,27 @@ def staged(df: DataFrame) -> DataFrame:
     """`df` written once as Parquet to the shared folder and read back.
 
     Unlike a cached frame it survives lost executors, and unlike a checkpoint it
-    can be read column by column.
+    can be read column by column.  The folder's owner decides how long it is kept.
     """
+    return _written(df, _new_path(df.sparkSession))
+
+
+@contextmanager
+def staged_meanwhile(df: DataFrame) -> Iterator[DataFrame]:
+    """Like `staged`, for use within a block; the files are removed after it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = _new_path(spark)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

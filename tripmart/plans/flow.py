@@ -45,6 +45,8 @@ class Flow:
         central_borough: str = "Manhattan",
         trips_suite: Callable[[Column | str | None], Sequence[quality.Rule]] | None = None,
     ):
+        if store.spark.conf.get("spark.sql.ansi.enabled") != "true":
+            raise ValueError("set spark.sql.ansi.enabled, so that misfit values stop a load")
         self.store = store
         self.spark = store.spark
         self.log = RunLog(store)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripmart.errors import SchemaChanged
 from tripmart.operators import merge
-from tripmart.operators.staging_area import staged
+from tripmart.operators.staging_area import staged_meanwhile
 from tripmart.schemas import Table
 
 
@@ -118,29 +118,12 @@ class TableStore:
                 table.partition_by, F.when(part.isNull(), missing).otherwise(part)
             )
         # The source is used several times and must be the same each time.
-        source = staged(df)
-        merge.require_unique(source, keys, table.name)
-        if not self.exists(table):
-            if table.partition_by is None:
-                return self.overwrite(table, source)
-            return self._result(table, self._write_partitions(table, source), started)
-        if table.partition_by is None:
-            target = self.read(table)
-            self.overwrite(table, merge.upserted(target, source, keys))
-            return LoadResult(
-                table.name, source.count(), self.path(table), (), time.monotonic() - started
-            )
-        touched = self._touched_partitions(table, source, keys)
-        target = self.read(table, F.col(table.partition_by).isin(touched))
-        written = self._write_partitions(table, merge.upserted(target, source, keys))
-        self._drop_partitions(table, set(touched) - set(written["partitions"]))
-        return LoadResult(
-            table.name,
-            source.count(),
-            self.path(table),
-            tuple(sorted(written["partitions"])),
-            time.monotonic() - started,
-        )
+        with staged_meanwhile(df) as source:
+            merge.require_unique(source, keys, table.name)
+            partitions = self._merge(table, source, keys)
+            rows = source.count()
+        seconds = time.monotonic() - started
+        return LoadResult(table.name, rows, self.path(table), partitions, seconds)
 
     def compact(self, table: Table, values: Sequence[object]) -> LoadResult:
         """Rewrite the named partitions into files of the session's advisory size.
@@ -153,6 +136,21 @@ class TableStore:
 
     # Helpers
 
+    def _merge(self, table: Table, source: DataFrame, keys: list[str]) -> tuple[object, ...]:
+        """Publish the merged table; the partitions holding rewritten rows."""
+        new = not self.exists(table)
+        if table.partition_by is None:
+            merged = source if new else merge.upserted(self.read(table), source, keys)
+            self.overwrite(table, merged)
+            return ()
+        if new:
+            return tuple(sorted(self._write_partitions(table, source)["partitions"]))
+        touched = self._touched_partitions(table, source, keys)
+        target = self.read(table, F.col(table.partition_by).isin(touched))
+        written = self._write_partitions(table, merge.upserted(target, source, keys))
+        self._drop_partitions(table, set(touched) - set(written["partitions"]))
+        return tuple(sorted(written["partitions"]))
+
     def _require_schema(self, table: Table, df: DataFrame) -> None:
         if table.schema is None:
             return
