@@ -239,3 +239,32 @@ def test_monitoring(spark, raw_trip):
     kept = monitor.retention(trips, trips.filter("month(partition_date) < 3").limit(18), trips)
     got = {r.partition_date.month: r.silver_retention_pct for r in kept.collect()}
     assert got == {1: 100, 2: 100, 3: 0}
+
+
+def test_hot_groups_do_not_change_ids_or_keys(raw_trip):
+    rows = [dict(dropoff_datetime=f"2024-01-15 09:{i % 60:02d}:00") for i in range(90)]
+    rows += [dict(passenger_count=None)] * 30 + [dict(vendor_id=i) for i in range(9)]
+    staged = staging.trips(raw_trip(*rows))
+    cut = dict(hot_rows=10, probe_share=1, copies_per_task=4)
+
+    def ids(df, column):
+        return sorted(
+            (str(r[0]), r.dropoff_datetime) for r in df.select(column, "dropoff_datetime").collect()
+        )
+
+    assert ids(silver.trips(staged, **cut), "trip_id") == ids(silver.trips(staged), "trip_id")
+    assert ids(gold.trip_keys(staged, **cut), "trip_key") == ids(gold.trip_keys(staged), "trip_key")
+
+
+def test_large_dimensions_are_not_broadcast(spark, two_trips, zone_seed, monkeypatch):
+    staged = staging.trips(two_trips)
+    want = sorted(map(tuple, _star(spark, staged, zone_seed)[0].collect()))
+    monkeypatch.setattr("tripmart.operators.lookup.small.__defaults__", (1,))
+    fact = _star(spark, staged, zone_seed)[0]
+    assert "ResolvedHint" not in fact._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, fact.collect())) == want
+
+
+def test_shown_order(spark):
+    df = spark.createDataFrame([(1,), (3,), (2,)], "trip_count int")
+    assert [r[0] for r in gold.shown(df, "agg_zone_summary").collect()] == [3, 2, 1]

@@ -77,7 +77,7 @@ def test_upserting_across_partitions(store, facts):
     assert _rows(store) == sorted(
         [("a", 9, D3), ("b", 2, D2), ("c", 3, D2), (None, 0, D2), (None, 5, D2)], key=str
     )
-    assert set(store.partitions(FACTS)) == {D2, D3}
+    assert store.partitions(FACTS) == [D2, D3]
 
 
 def test_upsert_refuses(store, facts, spark):
@@ -177,3 +177,17 @@ def test_tracking(store, facts):
     assert (rows[D2].status, rows[D2].error_message) == ("failed", "division by zero")
     latest = log.latest(1).collect()
     assert [r.partition_date for r in latest] == [D2]
+
+
+def test_random_upserts_against_a_dictionary(store, facts):
+    import random
+
+    rng = random.Random(5)
+    model = {}
+    for _ in range(4):
+        keys = rng.sample("abcdefghij", rng.randrange(1, 8))
+        batch = [(k, rng.randrange(100), rng.choice([D1, D2, D3])) for k in keys]
+        store.upsert(FACTS, facts(*batch))
+        model |= {k: (k, v, d) for k, v, d in batch}
+        assert _rows(store) == sorted(model.values(), key=str)
+        assert store.partitions(FACTS) == sorted({d for _, _, d in model.values()})

@@ -21,12 +21,18 @@ def high_watermark(target: DataFrame, column: str = "partition_date") -> dt.date
 def newer_than(
     source: DataFrame, target: DataFrame, column: str = "partition_date"
 ) -> DataFrame:
-    """Source rows past the target's watermark.
+    """Source rows past the target's watermark."""
+    return past(source, high_watermark(target, column), column)
 
-    The watermark is one value looked up first, so the filter is a literal that
-    prunes partitions when the scan is planned.
+
+def past(
+    source: DataFrame, watermark: dt.date | None, column: str = "partition_date"
+) -> DataFrame:
+    """Source rows past a watermark, all if there is none.
+
+    The watermark is a literal, so it prunes partitions when the scan is planned.
     """
-    return source.filter(F.col(column) > F.lit(high_watermark(target, column)))
+    return source.filter(F.col(column) > F.lit(watermark or BEGINNING))
 
 
 def in_partitions(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.errors import RuleFailed, TripmartError
 from tripmart.operators import merge, quality
-from tripmart.operators.incremental import in_partitions, newer_than
+from tripmart.operators.incremental import in_partitions, past
 from tripmart.plans import bronze, gold, months, silver, staging
 from tripmart.runlog import RunLog, RunRecord, Status
 from tripmart.sources import files
@@ -104,7 +104,7 @@ class Flow:
         self.store.ensure(schemas.SILVER_TRIPS)
         raw = self.store.read(schemas.RAW_TRIPS)
         if wanted is None:
-            raw = newer_than(raw, self.store.read(schemas.SILVER_TRIPS))
+            raw = past(raw, max(self.store.partitions(schemas.SILVER_TRIPS), default=None))
         else:
             raw = in_partitions(raw, wanted)
         in_turn = wanted is not None and len(wanted) > 1

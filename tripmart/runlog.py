@@ -14,6 +14,7 @@ from enum import Enum
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.errors import DuplicateKeys
 from tripmart.operators import merge
 from tripmart.schemas import RUN_LOG
 from tripmart.store import LoadResult, TableStore
@@ -95,8 +96,9 @@ class RunLog:
 
     def log(self, *records: RunRecord) -> None:
         """Add or update records; each run may occur once per call."""
+        if len({(r.run_id, r.dag_id, r.task_id) for r in records}) < len(records):
+            raise DuplicateKeys(f"{RUN_LOG.name}: a run occurs twice")
         new = self.store.spark.createDataFrame([r.as_row() for r in records], RUN_LOG.schema)
-        merge.require_unique(new, RUN_LOG.keys, RUN_LOG.name)
         self.store.overwrite(RUN_LOG, upserted(self.read(), new))
 
     def latest(self, n: int) -> DataFrame:

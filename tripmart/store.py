@@ -7,13 +7,16 @@ otherwise.  There is one writer per table at a time.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.errors import SchemaChanged
 from tripmart.operators import merge
@@ -56,11 +59,15 @@ class TableStore:
         return df if where is None else df.filter(where)
 
     def partitions(self, table: Table) -> list[object]:
-        """Values of the partition column that have rows."""
+        """Values of the partition column, from folder names; a folder always has rows."""
         if not self.exists(table):
             return []
-        rows = self.read(table).select(table.partition_by).distinct().collect()
-        return [row[0] for row in rows]
+        prefix = f"{table.partition_by}="
+        is_date = table.schema[table.partition_by].dataType == T.DateType()
+        listed = self._fs(self.path(table)).listStatus(self._path(self.path(table)))
+        names = [status.getPath().getName() for status in listed]
+        texts = [unquote(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
+        return sorted(dt.date.fromisoformat(t) if is_date else t for t in texts)
 
     # Writing
 
