@@ -253,6 +253,10 @@ def test_hot_groups_do_not_change_ids_or_keys(raw_trip):
         )
 
     assert ids(silver.trips(staged, **cut), "trip_id") == ids(silver.trips(staged), "trip_id")
+    months = staged.unionByName(staged.withColumn("partition_date", F.add_months("partition_date", 1)))
+    in_turn = silver.monthly_batches(months)
+    assert ids(silver.monthly_batches(months, **cut), "trip_id") == ids(in_turn, "trip_id")
+    assert in_turn._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert ids(gold.trip_keys(staged, **cut), "trip_key") == ids(gold.trip_keys(staged), "trip_key")
 
 

@@ -27,6 +27,7 @@ def numbered(
     order_by: Sequence[str],
     name: str = "row_num",
     *,
+    cluster_by: Sequence[str] = (),
     rows_at_most: int | None = None,
     hot_rows: int = HOT_ROWS,
     probe_share: float = PROBE_SHARE,
@@ -39,13 +40,19 @@ def numbered(
     Groups with about `hot_rows` rows or more are found by a probe and numbered
     across many tasks.  No probe runs if `rows_at_most`, a bound on the rows of
     `df` known to the caller, rules such groups out.
+
+    `cluster_by`, some of the `partition_by` columns, is what the shuffle goes by,
+    so that later steps grouping by these and other columns need none of their own.
     """
     rest = [c for c in df.columns if c not in (*partition_by, *order_by)]
     order = [*order_by, *rest]
     may_be_hot = rows_at_most is None or rows_at_most >= hot_rows
-    hot = _hot_groups(df, partition_by, hot_rows, probe_share) if may_be_hot else []
-    in_hot = _group_hash(partition_by).isin(hot) if hot else None
+    probed_by = cluster_by or partition_by
+    hot = _hot_groups(df, probed_by, hot_rows, probe_share) if may_be_hot else []
+    in_hot = _group_hash(probed_by).isin(hot) if hot else None
     ordinary = df.filter(~in_hot) if hot else df
+    if cluster_by:
+        ordinary = ordinary.repartition(*cluster_by)
     by_window = ordinary.withColumn(
         name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)).cast("bigint")
     )
@@ -55,15 +62,15 @@ def numbered(
     return by_window.unionByName(piecewise.select(*by_window.columns))
 
 
-def _group_hash(partition_by: Sequence[str]) -> Column:
-    return F.xxhash64(*partition_by)
+def _group_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*columns)
 
 
 def _hot_groups(
-    df: DataFrame, partition_by: Sequence[str], hot_rows: int, probe_share: float
+    df: DataFrame, columns: Sequence[str], hot_rows: int, probe_share: float
 ) -> list[int]:
     """Hashes of the largest groups; at most MAX_HOT_GROUPS numbers reach the driver."""
-    probed = df.select(_group_hash(partition_by).alias("group"))
+    probed = df.select(_group_hash(columns).alias("group"))
     if probe_share < 1:
         probed = probed.sample(probe_share, seed=7)
     sizes = probed.groupBy("group").count().filter(F.col("count") >= hot_rows * probe_share / 2)
@@ -97,25 +104,26 @@ def _numbered_piecewise(
             F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ),
     )
-    # One row per slice and group; slices are contiguous, so there are at most
-    # (number of slices + number of hot groups) of them.
+    # Slices are contiguous, so only the first group of a slice can have begun in
+    # an earlier one: there is at most one offset per slice.
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
         slices.groupBy("_slice", *group)
         .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_offset", F.sum("_rows").over(earlier))
+        .filter(F.col("_offset") > 0)
         .drop("_rows")
     )
     o, s = offsets.alias("o"), local.alias("s")
     same = F.col("s._slice") == F.col("o._slice")
     for column in group:
         same = same & F.col(f"s.{column}").eqNullSafe(F.col(f"o.{column}"))
-    placed = s.join(F.broadcast(o), same).select(
+    placed = s.join(F.broadcast(o), same, "left").select(
         *[F.col(f"s.{c}") for c in columns],
         F.col("s._copies"),
-        (F.col("s._before") + F.col("o._offset")).alias("_start"),
+        (F.col("s._before") + F.coalesce(F.col("o._offset"), F.lit(0))).alias("_start"),
     )
     # Copies come back in two steps, so that one counted row standing for a huge
     # number of them is restored by many tasks.

@@ -25,20 +25,26 @@ _ORDER = (
 _CODES = {"Yellow Zone": "yellow", "Boro Zone": "boro", "EWR": "ewr"}
 
 
-def trip_ids(staged: DataFrame, by_month: bool = False, **ranking) -> DataFrame:
-    """Staged trips with their deterministic `trip_id`.
+# What a trip id is made of; `copy_number` tells rows equal in all others apart.
+_ID_FIELDS = (
+    "vendor_id",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "pu_location_id",
+    "do_location_id",
+    "fare_amount",
+    "copy_number",
+)
 
-    With `by_month`, every month is numbered as if it were loaded alone, which is
-    what a sequence of monthly loads does.
-    """
-    group = (*_GROUP, "partition_date") if by_month else _GROUP
-    order = tuple(c for c in _ORDER if c not in group)
-    ranked = numbered(staged, group, order, "copy_number", **ranking)
-    fields = ("vendor_id", "pickup_datetime", "dropoff_datetime", "pu_location_id")
-    fields = (*fields, "do_location_id", "fare_amount", "copy_number")
-    return ranked.withColumn("trip_id", keys.surrogate_key(*[F.col(c) for c in fields])).drop(
-        "copy_number"
-    )
+
+def _with_ids(ranked: DataFrame) -> DataFrame:
+    fields = [F.col(c) for c in _ID_FIELDS]
+    return ranked.withColumn("trip_id", keys.surrogate_key(*fields)).drop("copy_number")
+
+
+def trip_ids(staged: DataFrame, **ranking) -> DataFrame:
+    """Staged trips with their deterministic `trip_id`."""
+    return _with_ids(numbered(staged, _GROUP, _ORDER, "copy_number", **ranking))
 
 
 def enriched(trips: DataFrame) -> DataFrame:
@@ -53,24 +59,26 @@ def enriched(trips: DataFrame) -> DataFrame:
     )
 
 
-def trips(staged: DataFrame, by_month: bool = False, **ranking) -> DataFrame:
+def trips(staged: DataFrame, **ranking) -> DataFrame:
     """Silver trips of a batch, without audit columns."""
-    return enriched(trip_ids(staged, by_month, **ranking))
+    return enriched(trip_ids(staged, **ranking))
 
 
 def monthly_batches(staged: DataFrame, **ranking) -> DataFrame:
     """Silver trips as left by loading the batch's months one after another.
 
-    A trip delivered again in a later month has the same id there and replaces the
-    earlier row.  An id occurs once per month at most, so its group stays tiny.
+    Each month is numbered as if it were loaded alone.  A trip delivered again in a
+    later month has the same id there and replaces the earlier row.  An id occurs
+    once per month at most, so the groups of the second window stay tiny; they
+    need no shuffle, as rows already lie together by the first columns of the id.
     """
-    last = Window.partitionBy("trip_id").orderBy(F.desc("partition_date"))
-    return (
-        trips(staged, by_month=True, **ranking)
-        .withColumn("_nth", F.row_number().over(last))
-        .filter(F.col("_nth") == 1)
-        .drop("_nth")
+    order = [c for c in _ORDER if c != "partition_date"]
+    ranked = numbered(
+        staged, (*_GROUP, "partition_date"), order, "copy_number", cluster_by=_GROUP, **ranking
     )
+    last = Window.partitionBy(*_ID_FIELDS).orderBy(F.desc("partition_date"))
+    kept = ranked.withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") == 1)
+    return enriched(_with_ids(kept.drop("_nth")))
 
 
 def stamped(df: DataFrame) -> DataFrame:

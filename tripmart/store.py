@@ -145,12 +145,12 @@ class TableStore:
 
     def _merge(self, table: Table, source: DataFrame, keys: list[str]) -> tuple[object, ...]:
         """Publish the merged table; the partitions holding rewritten rows."""
-        new = not self.exists(table)
         if table.partition_by is None:
+            new = not self.exists(table)
             merged = source if new else merge.upserted(self.read(table), source, keys)
             self.overwrite(table, merged)
             return ()
-        if new:
+        if not self.partitions(table):
             return tuple(sorted(self._write_partitions(table, source)["partitions"]))
         touched = self._touched_partitions(table, source, keys)
         target = self.read(table, F.col(table.partition_by).isin(touched))
