@@ -27,3 +27,54 @@ def op4_minhash_near_dedup(spark, folder):
 
     found = near_duplicates(table(spark, folder, "documents"), size=4, threshold=0.8)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op3_quality_rules(spark, folder):
+    """Base measures and line frequency per source."""
+    from llm.quality import quality
+
+    judged = quality(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_common_lines",
+        "n_words_left",
+        "base_failed",
+        "kept",
+    )
+
+
+@query
+def op1_benchmark_decontamination(spark, folder):
+    """Hits of ten-word windows of benchmark items in documents."""
+    from pyspark.sql import functions as F
+
+    from llm.decontaminate import matches
+
+    found = matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+# Where the public vocabularies are; a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op9_sentencepiece_tokens(spark, folder):
+    """Tokens of all documents, and whether they decode to the text again."""
+    from llm.tokens import encoded
+
+    found = encoded(table(spark, folder, "documents").select("doc_id", "text"), PIECES, ids=False)
+    return found.select("doc_id", "n_tokens", "n_byte_tokens", "ids_crc32", "round_trip")
