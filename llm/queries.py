@@ -78,3 +78,20 @@ def op9_sentencepiece_tokens(spark, folder):
 
     found = encoded(table(spark, folder, "documents").select("doc_id", "text"), PIECES, ids=False)
     return found.select("doc_id", "n_tokens", "n_byte_tokens", "ids_crc32", "round_trip")
+
+
+@query
+def op2_line_dedup(spark, folder):
+    """Documents without repeated lines."""
+    from pyspark.sql import functions as F
+
+    from llm.lines import line_dedup
+
+    found = line_dedup(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.length("text").cast("bigint").alias("n_chars_left"),
+        F.md5("text").alias("text_md5"),
+    )
