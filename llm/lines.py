@@ -105,24 +105,32 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
         .select("node", shingles(F.col("line")).alias("shingles"))
     )
 
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
         same = F.size(F.array_intersect("of_a", "of_b"))
+        union = F.size("of_a") + F.size("of_b") - F.col("same")
+        both = pairs.join(right, "b").join(left, "a").withColumn("same", same)
+        return both.select("a", "b", (F.col("same") / union).alias("similarity"))
+
+    def differ(pairs: DataFrame) -> DataFrame:
+        def beyond(one: str, other: str) -> Column:
+            return F.transform(F.array_except(one, other), lambda e: F.xxhash64(e))
+
         return (
             pairs.join(right, "b")
             .join(left, "a")
-            .withColumn("same", same)
             .select(
                 "a",
                 "b",
-                (F.col("same") / (F.size("of_a") + F.size("of_b") - F.col("same"))).alias(
-                    "similarity"
-                ),
+                F.size("of_a").cast("bigint").alias("size_a"),
+                beyond("of_a", "of_b").alias("lost"),
+                beyond("of_b", "of_a").alias("gained"),
             )
         )
 
-    placed = linked(members, verify, threshold, scratch)
+    placed = linked(members, verify, differ, threshold, scratch)
     distinct = scratch.write(
         lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.components import components
@@ -12,6 +12,11 @@ from llm.scratch import Scratch
 
 # Pairs (a, b) in, the same pairs with their exact similarity (0 to 1) out.
 Verify = Callable[[DataFrame], DataFrame]
+# Pairs (a, b) in; the same with size_a, `lost` (what b lacks of a) and `gained` (what it has
+# beyond a) as arrays out.
+Differ = Callable[[DataFrame], DataFrame]
+# Nodes outside the largest component around a hub that are compared with all others.
+FEW = 8
 
 
 def bucket_members(bands: DataFrame, *, preaggregate: bool = True) -> DataFrame:
@@ -32,69 +37,139 @@ def bucket_members(bands: DataFrame, *, preaggregate: bool = True) -> DataFrame:
     return bands.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "hub", "node")
 
 
-def linked(members: DataFrame, verify: Verify, threshold: float, scratch: Scratch) -> DataFrame:
+def linked(
+    members: DataFrame, verify: Verify, differ: Differ, threshold: float, scratch: Scratch
+) -> DataFrame:
     """(node, component) over links of at least `threshold` between nodes of one bucket.
 
-    `members` is a written table as `bucket_members` gives it.  Three steps find the
-    same components as verifying all pairs of every bucket would:
+    `members` is a written table as `bucket_members` gives it; similarities are Jaccard's.
+    The components are those that verifying all pairs of every bucket would give:
 
     1. Star edges: every node with its bucket's hub, each pair once.
     2. Components of the verified ones.  Pairs within a component need no look.
-    3. What remains are buckets that still hold several components.  Their nodes
-       outside the bucket's largest component are compared with the other components'
-       nodes.  Distance 1 - similarity is a metric for Jaccard, so two nodes whose
-       distances to the hub differ by more than the limit cannot be linked and
-       are passed over unseen.
-
-    In step 3, candidates grow with nodes left outside the largest component of a
-    bucket times those near them by distance, not with the square of a group of copies.
+    3. Around a hub whose nodes still lie in several components, other pairs may be
+       links.  Where at most FEW nodes lie outside the hub's largest component, these are
+       compared with all others; else `_sharing` finds the pairs that can be links.
     """
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     checked = scratch.write(verify(stars.distinct()))
     links = checked.filter(F.col("similarity") >= threshold).select("a", "b")
     first = components(links, scratch)
 
-    placed = members.join(first, "node", "left").select(
-        "bucket", "hub", "node", F.coalesce("component", "node").alias("component")
+    around = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity")
+    hubs = around.select("hub").distinct()
+    everyone = around.unionByName(
+        hubs.select("hub", F.col("hub").alias("node"), F.lit(1.0).alias("similarity"))
     )
-    split = (
-        placed.groupBy("bucket", "component")
+    placed = everyone.join(first, "node", "left").select(
+        "hub", "node", "similarity", F.coalesce("component", "node").alias("component")
+    )
+    several = (
+        placed.groupBy("hub", "component")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("bucket")
+        .groupBy("hub")
         .agg(
             F.max(F.struct("n", "component")).alias("top"),
+            F.sum("n").alias("all"),
             F.count(F.lit(1)).alias("kinds"),
         )
         .filter("kinds > 1")
-        .select("bucket", F.col("top.component").alias("largest"))
-    )
-    distance = checked.select(
-        F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("far")
-    )
-    open_ = scratch.write(
-        placed.join(split, "bucket")
-        .join(distance, ["hub", "node"], "left")
-        .select("bucket", "node", "component", "largest", F.coalesce("far", F.lit(0.0)).alias("far"))
+        .select(
+            "hub",
+            F.col("top.component").alias("largest"),
+            (F.col("all") - F.col("top.n")).alias("outside"),
+        )
     )
-    one = open_.filter("component <> largest").alias("x")
-    other = open_.alias("y")
-    limit = 1 - threshold + 1e-9
-    rest = (
-        one.join(
-            other,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (
-                (F.col("y.component") == F.col("y.largest"))
-                | (F.col("x.component") < F.col("y.component"))
-            )
-            & (F.abs(F.col("x.far") - F.col("y.far")) <= limit),
+    open_ = scratch.write(placed.join(several, "hub"))
+    few = open_.filter(F.col("outside") <= FEW)
+    x, y = few.filter("component <> largest").alias("x"), few.alias("y")
+    apart = (
+        (F.col("x.component") != F.col("y.component"))
+        & (
+            (F.col("y.component") == F.col("y.largest"))
+            | (F.col("x.component") < F.col("y.component"))
         )
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
-        .join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        # Distances 1 - similarity are a metric: a link's ends are about as far from a hub.
+        & (F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - threshold + 1e-9)
+    )
+    near = x.join(y, (F.col("x.hub") == F.col("y.hub")) & apart).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     )
+    shared = _sharing(open_.filter(F.col("outside") > FEW), differ, threshold, scratch)
+    rest = near.unionByName(shared).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
     more = scratch.write(verify(rest)).filter(F.col("similarity") >= threshold).select("a", "b")
     if not more.limit(1).count():
         return first
     return components(links.unionByName(more), scratch)
+
+
+def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different components around a hub that share enough differences.
+
+    Of hub h and node x, let R be what x lacks of h and D what it has beyond h.  Then
+    |x & y| = |h| - |Rx| - |Ry| + |Rx & Ry| + |Dx & Dy|, and x, y are a link only if
+    |x & y| >= w (|x| + |y|), with w = threshold / (1 + threshold).  So they share at least
+    T = w (|x| + |y|) - |h| + |Rx| + |Ry| differences from h, where
+
+        T >= w |x| + |Rx| - (1 - w) |h|       whatever y is,
+        T >= (1 - w) |Rx| + w |Dx|            if y is not linked to h,
+
+    and one of x, y is not, or they would be in one component.  Each node's differences are
+    put in one order, rarest around the hub first.  Two nodes that share T of theirs share one
+    among the first n - T + 1 of both.  Copies of one text with changes of their own share
+    hardly any, so that pairs do not grow with the square of their number.
+    """
+    w = threshold / (1 + threshold)
+    pairs = open_.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    lost, gained = F.size("lost"), F.size("gained")
+    hub_size, size = F.col("size_a"), F.col("size_a") - lost + gained
+    strong = F.greatest(F.lit(1), F.ceil((1 - w) * lost + w * gained - 1e-6))
+    weak = F.greatest(F.lit(1), F.ceil(w * size + lost - (1 - w) * hub_size - 1e-6))
+    n = lost + gained
+    marks = differ(pairs).select(
+        F.col("a").alias("hub"),
+        F.col("b").alias("node"),
+        (n - strong + 1).alias("strong"),
+        (n - weak + 1).alias("weak"),
+        F.explode(
+            F.concat(
+                F.transform("lost", lambda e: F.xxhash64(F.lit("lost"), e)),
+                F.transform("gained", lambda e: F.xxhash64(F.lit("gained"), e)),
+            )
+        ).alias("mark"),
+    )
+    marks = scratch.write(marks)
+    common = marks.groupBy("hub", "mark").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("hub", "node").orderBy("n", "mark")
+    ranked = (
+        marks.join(common, ["hub", "mark"])
+        .withColumn("rank", F.row_number().over(own))
+        .filter((F.col("n") > 1) & (F.col("rank") <= F.greatest("strong", "weak")))
+        .join(open_.select("hub", "node", "component", "similarity"), ["hub", "node"])
+        .select(
+            "hub",
+            "mark",
+            "node",
+            "component",
+            (F.col("similarity") >= threshold).alias("near"),
+            (F.col("rank") <= F.col("strong")).alias("strong"),
+            (F.col("rank") <= F.col("weak")).alias("weak"),
+        )
+    )
+    ranked = scratch.write(ranked)
+    x, y = ranked.filter("not near").alias("x"), ranked.alias("y")
+    # x is not linked to the hub, so y's rank is held to the stronger bound, and x's too
+    # unless y is linked to the hub.
+    may = F.col("y.strong") & F.when(F.col("y.near"), F.col("x.weak")).otherwise(
+        F.col("x.strong") & (F.col("x.node") < F.col("y.node"))
+    )
+    return (
+        x.join(
+            y,
+            (F.col("x.hub") == F.col("y.hub"))
+            & (F.col("x.mark") == F.col("y.mark"))
+            & (F.col("x.component") != F.col("y.component"))
+            & may,
+        )
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    )

@@ -68,37 +68,71 @@ def exploded(nodes: DataFrame, bands: Bands) -> DataFrame:
     )
 
 
-def similarities(pairs: DataFrame, texts: DataFrame, size: int, lower: bool) -> DataFrame:
-    """(a, b, similarity): Jaccard of the full shingle sets of each pair.
-
-    `texts` has (node, text).  Rows are sorted by `a` within a task, so the set of a hub
-    is made once for all its pairs.
-    """
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, lower: bool, differences: bool):
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for batch in batches:
             for part in _slices(batch):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 one = part.column("text_a").cast(pa.binary())
                 other = part.column("text_b").cast(pa.binary()).to_pylist()
-                out = np.zeros(len(a))
+                out = []
                 for i, s in enumerate(shingle_sets([t or b"" for t in other], size, lower)):
                     if a[i] != last:
                         last = a[i]
                         held = next(shingle_sets([one[i].as_py() or b""], size, lower))
-                    same, union = jaccard(held, s)
-                    # Rounded up to the limit only where 100 * same >= 100 * limit * union.
-                    out[i] = same / union if union else 0.0
+                    out.append(measure(held, s))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(out)],
-                    names=["a", "b", "similarity"],
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), *columns(out)],
+                    names=["a", "b", *names],
                 )
 
-    return both.mapInArrow(compare, "a bigint, b bigint, similarity double")
+    def similarity(x, y):
+        same, union = jaccard(x, y)
+        return same / union if union else 0.0
+
+    def apart(x, y):
+        return len(x), np.setdiff1d(x, y, True), np.setdiff1d(y, x, True)
+
+    if differences:
+        measure, names = apart, ["size_a", "lost", "gained"]
+
+        def columns(out):
+            sizes, *lists = zip(*out, strict=True) if out else ([], [], [])
+            kind = pa.list_(pa.int64())
+            return [
+                pa.array(sizes, pa.int64()),
+                *[pa.array([v.view(np.int64) for v in x], kind) for x in lists],
+            ]
+
+        return both.mapInArrow(
+            rows,
+            "a bigint, b bigint, size_a bigint, lost array<bigint>, gained array<bigint>",
+        )
+    measure, names = similarity, ["similarity"]
+
+    def columns(out):
+        return [pa.array(out, pa.float64())]
+
+    return both.mapInArrow(rows, "a bigint, b bigint, similarity double")
+
+
+def similarities(pairs: DataFrame, texts: DataFrame, size: int, lower: bool) -> DataFrame:
+    """(a, b, similarity): Jaccard of the full shingle sets of each pair.
+
+    `texts` has (node, text).  Rows come sorted by `a`, so that the set of a hub is made once
+    for all its pairs in a task.
+    """
+    return _compared(pairs, texts, size, lower, False)
+
+
+def differences(pairs: DataFrame, texts: DataFrame, size: int, lower: bool) -> DataFrame:
+    """(a, b, size_a, lost, gained): what the set of b lacks of that of a, and has beyond."""
+    return _compared(pairs, texts, size, lower, True)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -161,7 +195,11 @@ def near_duplicates(
         .agg(F.first("text").alias("text"))
     )
     placed = linked(
-        members, lambda pairs: similarities(pairs, texts, size, lower), threshold, scratch
+        members,
+        lambda pairs: similarities(pairs, texts, size, lower),
+        lambda pairs: differences(pairs, texts, size, lower),
+        threshold,
+        scratch,
     )
     labels = nodes.join(placed, "node", "left").select(
         "k1", "k2", "smallest", "n_shingles", F.coalesce("component", "node").alias("component")
