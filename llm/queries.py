@@ -95,3 +95,49 @@ def op2_line_dedup(spark, folder):
         F.length("text").cast("bigint").alias("n_chars_left"),
         F.md5("text").alias("text_md5"),
     )
+
+
+# Shards before and after resharding.
+OLD_SHARDS, NEW_SHARDS = 32, 40
+
+
+@query
+def op7_min_cost_flow_sharding(spark, folder):
+    """From 32 shards by key to 40 of near-equal bytes, moving the fewest bytes."""
+    from pyspark.sql import functions as F
+
+    from llm.scratch import Scratch
+    from llm.shards import placed, reshard
+
+    scratch = Scratch(spark, "shards")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    )
+    old = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(OLD_SHARDS))
+    rows = placed(docs, old, scratch, keep_text=False)
+    out = reshard(rows, OLD_SHARDS, NEW_SHARDS, scratch)
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
+@query
+def op8_warc_archives(spark, folder):
+    """All pages written to WARC files and read back through the merged index."""
+    from pyspark.sql import functions as F
+
+    from llm.warc import archived
+
+    # The tables have no capture times; a page's number stands for its second.
+    second = F.coalesce(F.pmod(F.col("page_id"), F.lit(31_536_000)), F.lit(0)) + 1_704_067_200
+    captured = F.date_format(F.timestamp_seconds(second), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    index = archived(table(spark, folder, "pages"), captured)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                        "url_key")
