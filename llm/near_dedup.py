@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +68,15 @@ def exploded(nodes: DataFrame, bands: Bands) -> DataFrame:
     )
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, size: int, lower: bool, differences: bool):
+# Texts or packed sets in, sorted sets of hashes out.
+Sets = Callable[[list[bytes]], Iterator[np.ndarray]]
+
+
+def word_sets(size: int, lower: bool) -> Sets:
+    return lambda texts: shingle_sets(texts, size, lower)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, sets: Sets, differences: bool) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -81,10 +89,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, size: int, lower: bool, differ
                 one = part.column("text_a").cast(pa.binary())
                 other = part.column("text_b").cast(pa.binary()).to_pylist()
                 out = []
-                for i, s in enumerate(shingle_sets([t or b"" for t in other], size, lower)):
+                for i, s in enumerate(sets([t or b"" for t in other])):
                     if a[i] != last:
                         last = a[i]
-                        held = next(shingle_sets([one[i].as_py() or b""], size, lower))
+                        held = next(sets([one[i].as_py() or b""]))
                     out.append(measure(held, s))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a, pa.int64()), pa.array(b, pa.int64()), *columns(out)],
@@ -121,18 +129,18 @@ def _compared(pairs: DataFrame, texts: DataFrame, size: int, lower: bool, differ
     return both.mapInArrow(rows, "a bigint, b bigint, similarity double")
 
 
-def similarities(pairs: DataFrame, texts: DataFrame, size: int, lower: bool) -> DataFrame:
+def similarities(pairs: DataFrame, texts: DataFrame, sets: Sets) -> DataFrame:
     """(a, b, similarity): Jaccard of the full shingle sets of each pair.
 
-    `texts` has (node, text).  Rows come sorted by `a`, so that the set of a hub is made once
+    `texts` has (node, text), where `sets` reads the text.  Rows come sorted by `a`, so that the set of a hub is made once
     for all its pairs in a task.
     """
-    return _compared(pairs, texts, size, lower, False)
+    return _compared(pairs, texts, sets, False)
 
 
-def differences(pairs: DataFrame, texts: DataFrame, size: int, lower: bool) -> DataFrame:
+def differences(pairs: DataFrame, texts: DataFrame, sets: Sets) -> DataFrame:
     """(a, b, size_a, lost, gained): what the set of b lacks of that of a, and has beyond."""
-    return _compared(pairs, texts, size, lower, True)
+    return _compared(pairs, texts, sets, True)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -196,8 +204,8 @@ def near_duplicates(
     )
     placed = linked(
         members,
-        lambda pairs: similarities(pairs, texts, size, lower),
-        lambda pairs: differences(pairs, texts, size, lower),
+        lambda pairs: similarities(pairs, texts, word_sets(size, lower)),
+        lambda pairs: differences(pairs, texts, word_sets(size, lower)),
         threshold,
         scratch,
     )

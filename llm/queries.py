@@ -141,3 +141,12 @@ def op8_warc_archives(spark, folder):
     index = archived(table(spark, folder, "pages"), captured)
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
                         "url_key")
+
+
+@query
+def op10_repeated_passages(spark, folder):
+    """Documents without passages that repeat across documents."""
+    from llm.passages import without_repeats
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return without_repeats(docs, threshold=0.8)

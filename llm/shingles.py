@@ -43,7 +43,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = _RUN if n <= _RUN else 1 << n.bit_length()
     if size not in _POWER:
         if size > _RUN:  # for a very long text only; not kept
@@ -52,15 +52,15 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWER[size]
 
 
-def words(buffer: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start offsets of the words of a UTF-8 buffer (white space: ASCII)."""
+def words(buffer: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of a UTF-8 buffer (white space: ASCII)."""
     space = _SPACE[buffer]
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    power, inverse = _tables(len(buffer))
+    power, inverse = tables(len(buffer))
     sums = np.zeros(len(buffer) + 1, dtype=_U)
     np.cumsum(_CODES[lower][buffer] * power[: len(buffer)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start]), start
+    return mix((sums[end] - sums[start]) * inverse[start]), start, end
 
 
 def shingle_hashes(w: np.ndarray, size: int) -> np.ndarray:
@@ -72,7 +72,7 @@ def shingle_hashes(w: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+def text_runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of texts with together at most _RUN bytes, or a single longer one."""
     first, total = 0, 0
     for i, n in enumerate(lengths):
@@ -87,8 +87,8 @@ def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
 def word_runs(texts: list[bytes], lower: bool) -> Iterator[np.ndarray]:
     """Word hashes of each text."""
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    for i, j in _runs(lengths):
-        hashes, start = words(np.frombuffer(b" ".join(texts[i:j]), dtype=np.uint8), lower)
+    for i, j in text_runs(lengths):
+        hashes, start, _ = words(np.frombuffer(b" ".join(texts[i:j]), dtype=np.uint8), lower)
         ends = np.cumsum(lengths[i:j] + 1)
         yield from np.split(hashes, np.searchsorted(start, ends[:-1]))
 
