@@ -150,3 +150,17 @@ def op10_repeated_passages(spark, folder):
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return without_repeats(docs, threshold=0.8)
+
+
+@query
+def op5_language_id(spark, folder):
+    """Languages of all documents, learned from four fifths of them."""
+    from pyspark.sql import functions as F
+
+    from llm.language import fit, predicted, remainder
+
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id")) == 0
+    model = fit(docs.filter(~held_out).select("text", "lang"))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return predicted(rows, model).select("doc_id", "held_out", "lang_pred", "score")
