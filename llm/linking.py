@@ -47,40 +47,37 @@ def linked(
 
     1. Star edges: every node with its bucket's hub, each pair once.
     2. Components of the verified ones.  Pairs within a component need no look.
-    3. Around a hub whose nodes still lie in several components, other pairs may be
-       links.  Where at most FEW nodes lie outside the hub's largest component, these are
+    3. Around a hub whose nodes lie in several components, other pairs may be links.  If
+       more than FEW nodes lie outside the largest one, the nodes are compared with the
+       one nearest to the hub instead, most often the text that the others were made from.
+    4. Where few nodes remain outside the largest component around a hub, these are
        compared with all others; else `_sharing` finds the pairs that can be links.
     """
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     checked = scratch.write(verify(stars.distinct()))
     links = checked.filter(F.col("similarity") >= threshold).select("a", "b")
     first = components(links, scratch)
+    groups = scratch.write(_open(_around(checked), first))
 
-    around = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity")
-    hubs = around.select("hub").distinct()
-    everyone = around.unionByName(
-        hubs.select("hub", F.col("hub").alias("node"), F.lit(1.0).alias("similarity"))
+    centre = groups.filter((F.col("outside") > FEW) & (F.col("node") != F.col("hub")))
+    nearest = centre.groupBy("hub").agg(
+        F.max(F.struct("similarity", (-F.col("node")).alias("late"))).alias("best")
     )
-    placed = everyone.join(first, "node", "left").select(
-        "hub", "node", "similarity", F.coalesce("component", "node").alias("component")
+    turned = (
+        groups.join(nearest.select("hub", (-F.col("best.late")).alias("a")), "hub")
+        .filter(F.col("node") != F.col("a"))
+        .select("a", F.col("node").alias("b"))
+        .distinct()
     )
-    several = (
-        placed.groupBy("hub", "component")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("hub")
-        .agg(
-            F.max(F.struct("n", "component")).alias("top"),
-            F.sum("n").alias("all"),
-            F.count(F.lit(1)).alias("kinds"),
-        )
-        .filter("kinds > 1")
-        .select(
-            "hub",
-            F.col("top.component").alias("largest"),
-            (F.col("all") - F.col("top.n")).alias("outside"),
+    again = scratch.write(verify(turned))
+    links = links.unionByName(
+        again.filter(F.col("similarity") >= threshold).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         )
     )
-    open_ = scratch.write(placed.join(several, "hub"))
+    second = components(links, scratch) if again.limit(1).count() else first
+    small_groups = groups.filter(F.col("outside") <= FEW).select("hub", "node", "similarity")
+    open_ = scratch.write(_open(small_groups.unionByName(_around(again)), second))
     few = open_.filter(F.col("outside") <= FEW)
     x, y = few.filter("component <> largest").alias("x"), few.alias("y")
     apart = (
@@ -96,13 +93,52 @@ def linked(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     )
     shared = _sharing(open_.filter(F.col("outside") > FEW), differ, threshold, scratch)
-    rest = near.unionByName(shared).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    known = checked.select("a", "b").unionByName(
+        again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+    rest = near.unionByName(shared).distinct().join(known, ["a", "b"], "left_anti")
     more = scratch.write(verify(rest)).filter(F.col("similarity") >= threshold).select("a", "b")
     if not more.limit(1).count():
-        return first
+        return second
     return components(links.unionByName(more), scratch)
 
 
+def _around(checked: DataFrame) -> DataFrame:
+    """(hub, node, similarity) of verified pairs, with a row for each hub itself."""
+    around = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity")
+    hubs = around.select("hub").distinct()
+    return around.unionByName(
+        hubs.select("hub", F.col("hub").alias("node"), F.lit(1.0).alias("similarity"))
+    )
+
+
+def _open(around: DataFrame, placed: DataFrame) -> DataFrame:
+    """Hubs whose nodes lie in several components.
+
+    Adds component, the largest one around the hub, and how many nodes lie outside it.
+    """
+    all_ = around.join(placed, "node", "left").select(
+        "hub", "node", "similarity", F.coalesce("component", "node").alias("component")
+    )
+    several = (
+        all_.groupBy("hub", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("hub")
+        .agg(
+            F.max(F.struct("n", "component")).alias("top"),
+            F.sum("n").alias("all"),
+            F.count(F.lit(1)).alias("kinds"),
+        )
+        .filter("kinds > 1")
+        .select(
+            "hub",
+            F.col("top.component").alias("largest"),
+            (F.col("all") - F.col("top.n")).alias("outside"),
+        )
+    )
+    return all_.join(several, "hub")
+
+
 def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of different components around a hub that share enough differences.
 

@@ -164,3 +164,13 @@ def op5_language_id(spark, folder):
     model = fit(docs.filter(~held_out).select("text", "lang"))
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     return predicted(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_quality_perplexity(spark, folder):
+    """Perplexity of all documents under trusted text, and thresholds by language."""
+    from llm.kneser_ney import quality_classified
+
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    found = quality_classified(docs, table(spark, folder, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "threshold", "kept")
