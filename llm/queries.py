@@ -142,8 +142,7 @@ def op8_warc_archives(spark, folder):
     second = F.coalesce(F.pmod(F.col("page_id"), F.lit(31_536_000)), F.lit(0)) + 1_704_067_200
     captured = F.date_format(F.timestamp_seconds(second), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     index = archived(table(spark, folder, "pages"), captured)
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                        "url_key")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query
