@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -181,31 +180,31 @@ def decontaminated(
     words are hit, or if no word is left after cutting.  All others stay unchanged.
     Nulls, repeats and further columns are as in `matches`.
     """
-    columns = docs.columns
-    found = matches(docs, items, window=window)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    # Other columns travel as one, out of reach of the added names.
+    rows = docs.select(F.struct(*others).alias("row"), "text")
+    found = matches(rows, items, window=window)
     keep = (F.col("n_hit") == 0) | (F.col("n_hit") <= most_covered * F.col("n_words"))
-    text_at = columns.index("text")
-    schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
             texts = batch.column("text").to_pylist()
-            rows = []
-            for k, own in enumerate(spans):
+            kept = []
+            for k, own in enumerate(batch.column("spans").to_pylist()):
                 ranges = [
                     (s["start"], s["end"]) for s in own if s["end"] - s["start"] >= shortest
                 ]
                 if ranges:
                     texts[k] = without_spans(texts[k].encode(), ranges).decode()
                 if not ranges or words_of(texts[k].encode()):
-                    rows.append(k)
-            arrays = [batch.column(c) for c in columns]
-            arrays[text_at] = pa.array(texts, arrays[text_at].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=columns).take(pa.array(rows, pa.int64()))
-
-    return found.filter(keep).select(*[f"`{c}`" for c in columns], "spans").mapInArrow(cut, schema)
-
+                    kept.append(k)
+            out = pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"]
+            )
+            yield out.take(pa.array(kept, pa.int64()))
 
-def items_digest(item_ids: list[str]) -> str:
-    return hashlib.sha256(",".join(item_ids).encode()).hexdigest()
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    left = found.filter(keep).select("row", "text", "spans").mapInArrow(cut, schema)
+    return left.select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    )

@@ -48,7 +48,8 @@ class Model:
         """words and grams: text to a row of costs by language; grams by length from 1."""
         self.languages = languages
         self.row = {w: i for i, w in enumerate(words)}
-        self.costs = np.array(list(words.values()), np.float64).reshape(-1, len(languages))
+        shape = len(words), len(languages)
+        self.costs = np.array(list(words.values()), np.float64).reshape(shape)
         self.grams = grams
         self.unknown: dict[str, np.ndarray | None] = {}
 
