@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.linking import bucket_members, linked
-from llm.quality import has_word, let, normalised
+from llm.quality import SPACE, has_word, let
 from llm.scratch import Scratch
 
 # A pair of similarity 0.8 shares no bucket with a chance of 8e-4, one of 0.9 with 2e-6.
@@ -26,12 +26,11 @@ _LOW = (1 << 32) - 1
 
 
 def _plain(line: Column) -> Column:
-    """`normalised`, without a regular expression where single spaces stand."""
+    """Lower case, white space runs as one space; no regular expression where none is needed."""
     odd = line.contains("  ")
     for c in "\t\x0b\x0c\r":
         odd = odd | line.contains(c)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.when(odd, normalised(line)).otherwise(F.trim(F.translate(line, upper, lower)))
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, SPACE, " ")).otherwise(line)))
 
 
 def shingles(norm: Column) -> Column:
@@ -131,10 +130,11 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
         )
 
     placed = linked(members, verify, differ, threshold, scratch)
-    distinct = scratch.write(
-        lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
+    places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
+    distinct = places.groupBy("k1", "k2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")
     )
-    grouped = (
+    grouped = scratch.write(
         distinct.alias("d")
         .join(placed.alias("p"), F.col("d.k1") == F.col("p.node"), "left")
         .select("d.*", F.coalesce("p.component", "d.k1").alias("component"))
@@ -145,7 +145,7 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     keepers = scratch.write(
         grouped.join(roots.filter("rows > 1"), "component").select("k1", "k2", "keeper")
     )
-    found = lines.select("k1", "k2", _place().alias("place")).join(small(keepers), ["k1", "k2"])
+    found = places.select("k1", "k2", _place().alias("place")).join(small(keepers), ["k1", "k2"])
     return scratch.write(
         found.filter(F.col("place") != F.col("keeper"))
         .groupBy("place.late", "place.doc_id", "place.version")
@@ -156,7 +156,7 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
 def line_dedup(docs: DataFrame, *, threshold: float = 0.8) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, n_lines and n_removed.
 
-    Lines are compared in lower case (A-Z) with single spaces.  Their shingles are the
+    Lines are compared in lower case with single spaces.  Their shingles are the
     distinct runs of SHINGLE characters that begin at a word, shorter at the line's end;
     lines with a Jaccard similarity of `threshold` or more are linked.  Of each component the line
     that comes first by doc_id and place stays.

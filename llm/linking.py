@@ -152,8 +152,9 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
 
     and one of x, y is not, or they would be in one component.  Each node's differences are
     put in one order, rarest around the hub first.  Two nodes that share T of theirs share one
-    among the first n - T + 1 of both.  Copies of one text with changes of their own share
-    hardly any, so that pairs do not grow with the square of their number.
+    among the first n - T + 1 of both.  At the first one they share, both
+    have at least T left.  Copies of one text with changes of their own share hardly any, so
+    that pairs do not grow with the square of their number.
     """
     w = threshold / (1 + threshold)
     pairs = open_.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
@@ -167,6 +168,8 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
         F.col("b").alias("node"),
         (n - strong + 1).alias("strong"),
         (n - weak + 1).alias("weak"),
+        n.alias("size"),
+        (w * size + lost - hub_size / 2).alias("needs"),
         F.explode(
             F.concat(
                 F.transform("lost", lambda e: F.xxhash64(F.lit("lost"), e)),
@@ -190,6 +193,8 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
             (F.col("similarity") >= threshold).alias("near"),
             (F.col("rank") <= F.col("strong")).alias("strong"),
             (F.col("rank") <= F.col("weak")).alias("weak"),
+            (F.col("size") - F.col("rank") + 1).alias("left"),
+            "needs",
         )
     )
     ranked = scratch.write(ranked)
@@ -205,7 +210,8 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
             (F.col("x.hub") == F.col("y.hub"))
             & (F.col("x.mark") == F.col("y.mark"))
             & (F.col("x.component") != F.col("y.component"))
-            & may,
+            & may
+            & (F.least("x.left", "y.left") >= F.col("x.needs") + F.col("y.needs") - 1e-6),
         )
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     )

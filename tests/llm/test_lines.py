@@ -13,7 +13,7 @@ from tests.llm.conftest import jaccard_links
 
 
 def _norm(line):
-    return re.sub("[\x20\x09-\x0d]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), line)).strip(" ")
+    return re.sub("[\x20\x09-\x0d]+", " ", line.lower()).strip(" ")
 
 
 def _brute(rows):
