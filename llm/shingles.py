@@ -14,7 +14,7 @@ _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 _ODD = 0xD6E8FEB86659FD93
 # Positions of one polynomial; longer texts are hashed in their own, longer run.
-_RUN = 1 << 22
+_RUN = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

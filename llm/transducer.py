@@ -62,7 +62,7 @@ class Transducer:
     text is composed part by part, and a part's shortest path is looked up if known.
     """
 
-    def __init__(self, model: bytes, most_known: int = 400_000):
+    def __init__(self, model: bytes, most_known: int = 150_000):
         self.most_known = most_known
         self.ids: dict[str, int] = {}
         self.scores: dict[int, float] = {}
