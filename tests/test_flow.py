@@ -34,8 +34,8 @@ def deliver(spark, tmp_path):
             "cast(VendorID as int) VendorID",
             "cast(tpep_pickup_datetime as timestamp_ntz) tpep_pickup_datetime",
             "cast(tpep_dropoff_datetime as timestamp_ntz) tpep_dropoff_datetime",
-            *[f"cast({c} as double) {c}" for c in COLUMNS[3:5]],
-            *[f"cast({c} as int) {c}" for c in COLUMNS[5:7]],
+            *[f"cast(nullif({c}, '') as double) {c}" for c in COLUMNS[3:5]],
+            *[f"cast(nullif({c}, '') as int) {c}" for c in COLUMNS[5:7]],
             *[f"cast({c} as double) {c}" for c in COLUMNS[7:]],
         )
         path = files.trip_path(str(root), month)
@@ -106,6 +106,38 @@ def test_backfill_equals_months_in_turn(flow, deliver):
     assert [r.partition_date for r in failed] == [MARCH, dt.date(2024, 4, 1)]
 
 
+def test_backfill_goes_on_after_bad_months(flow, deliver):
+    spoilt = {
+        1: [_in_month(t, 1) for t in TWO_TRIPS],
+        2: [_in_month(TWO_TRIPS[0], 2).replace(",3.5,", ",99999999.0,")],
+        3: [_in_month(TWO_TRIPS[0], 3).replace(",100,200,", ",,200,")],
+        4: [_in_month(TWO_TRIPS[0], 4).replace(",100,200,", ",100,77,")],
+        6: TWO_TRIPS,
+    }
+    for month, lines in spoilt.items():
+        deliver(dt.date(2024, month, 1), *lines)
+    summary = flow.backfill(JANUARY, dt.date(2024, 6, 30))
+    assert summary.succeeded == [JANUARY]
+    assert [m.month for m in sorted(summary.failed)] == [2, 3, 4, 5, 6]
+    reasons = {m.month: text for m, text in summary.failed.items()}
+    assert "1 rows with values that do not fit" in reasons[2]
+    assert "1 with missing values" in reasons[3] and "1 zones" in reasons[4]
+    for table in (schemas.SILVER_TRIPS, schemas.FACT_TRIPS, schemas.LAKE_TRIPS):
+        assert flow.store.read(table).count() == 2, table.name
+    failed = monitor.failed_months(flow.log.read()).collect()
+    assert sorted(r.partition_date.month for r in failed) == [2, 3, 4, 5, 6]
+
+
+def test_gold_is_tested_before_it_is_published(flow, deliver):
+    deliver(JANUARY, TWO_TRIPS[0].replace(",2,3.5,", ",,3.5,"))
+    with pytest.raises(RuleFailed, match="fact_trips_not_null"):
+        flow.run([JANUARY])
+    assert not flow.store.exists(schemas.LAKE_TRIPS)
+    safe = Flow(flow.store, deliver.root, flow.zones_path, null_safe_keys=True)
+    safe.run([JANUARY])
+    assert flow.store.read(schemas.LAKE_TRIPS).count() == 1
+
+
 def test_gate_and_watermark(flow, deliver):
     deliver(JANUARY, *TWO_TRIPS)
     deliver(FEBRUARY, *[_in_month(t, 2) for t in TWO_TRIPS])

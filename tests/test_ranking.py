@@ -69,3 +69,10 @@ def test_two_group_columns(spark):
     assert Counter(map(tuple, cut.select("g", "h", "o", "n").collect())) == Counter(
         map(tuple, plain.select("g", "h", "o", "n").collect())
     )
+
+
+def test_any_number_of_hot_groups(spark):
+    many = spark.range(15_000).selectExpr("id % 5000 as g", "id as o")
+    cut = numbered(many, ["g"], ["o"], "n", hot_rows=2, probe_share=1)
+    counts = sorted(map(tuple, cut.groupBy("n").count().collect()))
+    assert counts == [(1, 5000), (2, 5000), (3, 5000)]

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tripmart.errors import DuplicateKeys, SchemaChanged
 from tripmart.operators import merge
-from tripmart.runlog import RunLog, RunRecord, Status
+from tripmart.runlog import FAILED, RUNNING, SUCCESS, RunLog, record
 from tripmart.schemas import Table
 from tripmart.store import TableStore
 
@@ -138,15 +138,15 @@ def _record(status, **more):
         task_id="load_fact_trips",
         started_at=dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc),
     )
-    return RunRecord(status=status, **{**base, **more})
+    return record(status=status, **{**base, **more})
 
 
 def test_run_log(store):
     log = RunLog(store)
-    log.log(_record(Status.RUNNING, partition_date=D1))
+    log.log(_record(RUNNING, partition_date=D1))
     log.log(
         _record(
-            Status.SUCCESS,
+            SUCCESS,
             rows_written=9_823_441,
             duration_seconds=142.3,
             delta_path="/lake",
@@ -160,7 +160,7 @@ def test_run_log(store):
     assert (row[0].status, row[0].rows_written, row[0].delta_path) == ("success", 9823441, None)
     assert row[0].partition_date == D1 and row[0].metadata == '{"parts": 8}'
     assert str(row[0].duration_seconds) == "142.300"
-    log.log(_record(Status.FAILED, error_message="refused"))
+    log.log(_record(FAILED, error_message="refused"))
     row = log.read().first()
     assert (row.status, row.error_message, row.rows_written) == ("failed", "refused", None)
 

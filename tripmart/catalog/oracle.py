@@ -264,6 +264,11 @@ def statements() -> dict[str, str]:
     """SQL per registered query."""
     return {
         "bronze_conform": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
+        "backfill_outcome": f"""WITH {_RAW}
+            SELECT partition_date, count(*) AS rows,
+                   count(*) FILTER (month(partition_date) = 5 AND dist_c >= 100) AS unfit,
+                   count(*) FILTER (month(partition_date) = 7 AND vendor_id = 1) AS missing
+            FROM raw GROUP BY partition_date""",
         "stg_trips": f"WITH {_STG} SELECT {_STG_COLUMNS} FROM stg",
         "stg_zones": f"WITH {_ZONES} SELECT * FROM zones WHERE location_id IS NOT NULL",
         "partition_scan": f"""WITH {_RAW}
@@ -283,6 +288,18 @@ def statements() -> dict[str, str]:
             FROM raw""",
         "silver_trip_id": f"""WITH {_STG},{_silver()}
             SELECT trip_id, vendor_id, pickup_datetime, dropoff_datetime FROM silver""",
+        "silver_trip_id_hot": f"""WITH {_STG},
+            skewed AS (
+                SELECT * REPLACE (
+                    CAST(CASE WHEN day(dropoff_datetime) <= 10 THEN 1 ELSE vendor_id END
+                        AS SMALLINT) AS vendor_id,
+                    CASE WHEN day(dropoff_datetime) <= 10
+                        THEN CAST(date_trunc('year', partition_date) AS TIMESTAMP)
+                        ELSE pickup_datetime END AS pickup_datetime)
+                FROM stg
+            ),
+            {_silver('skewed')}
+            SELECT trip_id, vendor_id, pickup_datetime, dropoff_datetime FROM silver""",
         "silver_enrich": f"""WITH {_STG},{_silver()}
             SELECT vendor_id, pickup_datetime, fare_c / 100.0 AS fare_amount,
                    per_mile_c / 100.0 AS fare_per_mile, tip_pct_c / 100.0 AS tip_pct, has_tip

@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart import runlog
+from tripmart import runlog, schemas
 from tripmart.functions import calendar, keys, measures
 from tripmart.operators import merge, quality
 from tripmart.operators.incremental import newer_than
-from tripmart.operators.staging_area import staged as written
 from tripmart.plans import bronze, gold, monitor, months, silver, staging
 from tripmart.sources import sample
 
@@ -71,15 +70,6 @@ def _dim_zone(spark: SparkSession, folder: str) -> DataFrame:
     return gold.dim_zone(sample.zone_source(spark, folder), sample.CENTRAL_BOROUGH)
 
 
-def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Trips and the hour dimension as stored tables, as gold finds them, and zones.
-
-    Facts use no column that silver adds to staged trips.
-    """
-    trips = written(_staged(spark, folder))
-    return trips, written(gold.dim_date(trips)), _dim_zone(spark, folder)
-
-
 # Bronze and staging
 
 
@@ -114,6 +104,23 @@ def replace_partition(spark, folder):
     return merge.with_partitions_replaced(raw, batch, again, "partition_date")
 
 
+@query
+def backfill_outcome(spark, folder):
+    """Months of which some trips are made unfit or incomplete, as a backfill screens them."""
+    source = sample.trip_source(spark, folder)
+    far = F.when(F.month("partition_date") == 5, F.col("trip_distance") * 1_000_000)
+    open_end = F.when(
+        (F.month("partition_date") != 7) | (F.col("VendorID") != 1), F.col("tpep_dropoff_datetime")
+    )
+    broken = source.withColumns(
+        {
+            "trip_distance": F.coalesce(far, F.col("trip_distance")),
+            "tpep_dropoff_datetime": open_end,
+        }
+    )
+    return bronze.outcome(bronze.screened(broken, schemas.RAW_TRIPS.not_null))
+
+
 # Silver
 
 
@@ -132,6 +139,26 @@ def silver_trip_id(spark, folder):
     return ids.select("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime")
 
 
+@query
+def silver_trip_id_hot(spark, folder):
+    """Ids where a third of the trips share one group, numbered piecewise.
+
+    The bound for a hot group is low and every row is probed, so that groups of supplied
+    sizes take the way of the largest ones.
+    """
+    crowded = F.day("dropoff_datetime") <= 10
+    year = F.trunc("partition_date", "year").cast("timestamp_ntz")
+    vendor = F.when(crowded, F.lit(1)).otherwise(F.col("vendor_id")).cast("smallint")
+    skewed = _staged(spark, folder).withColumns(
+        {
+            "vendor_id": vendor,
+            "pickup_datetime": F.when(crowded, year).otherwise(F.col("pickup_datetime")),
+        }
+    )
+    ids = silver.trip_ids(skewed, hot_rows=20, probe_share=1)
+    return ids.select("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime")
+
+
 @query
 def silver_enrich(spark, folder):
     trips = silver.enriched(_staged(spark, folder))
@@ -246,23 +273,24 @@ def fact_trip_key(spark, folder):
 
 @query
 def fact_trips(spark, folder):
-    trips, dates, zones = _stored(spark, folder)
-    vendors = gold.dim_vendor(spark)
-    return gold.fact_trips(trips, dates, zones, vendors, rows_at_most=trips.count())
+    """Facts use no column that silver adds to staged trips."""
+    trips, vendors = _staged(spark, folder), gold.dim_vendor(spark)
+    dates, zones = gold.dim_date(trips), _dim_zone(spark, folder)
+    rows = sample.trip_rows(spark, folder)
+    return gold.fact_trips(trips, dates, zones, vendors, rows_at_most=rows)
 
 
 @query
 def agg_hourly_metrics(spark, folder):
-    trips, dates, zones = _stored(spark, folder)
-    fact = gold.fact_measures(trips, dates, zones, gold.dim_vendor(spark))
-    return gold.agg_hourly_metrics(fact, dates, zones)
+    trips = _staged(spark, folder)
+    dates, zones = gold.dim_date(trips), _dim_zone(spark, folder)
+    return gold.agg_hourly_metrics(gold.trip_measures(trips), dates, zones)
 
 
 @query
 def agg_zone_summary(spark, folder):
-    trips, dates, zones = _stored(spark, folder)
-    fact = gold.fact_measures(trips, dates, zones, gold.dim_vendor(spark))
-    return gold.agg_zone_summary(fact, zones)
+    trips = _staged(spark, folder)
+    return gold.agg_zone_summary(gold.trip_measures(trips), _dim_zone(spark, folder))
 
 
 @query

@@ -70,5 +70,5 @@ def is_weekend(weekday: Column) -> Column:
 
 
 def padded(text: Column, width: int = 9) -> Column:
-    """Blank-padded names, as the SQL dialect of the original models prints them."""
+    """Blank-padded names, as the stored dimension has always held them."""
     return F.rpad(text, width, " ")

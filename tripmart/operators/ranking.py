@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.operators.lookup import small
 from tripmart.operators.staging_area import staged
 
-# A group this large is numbered piecewise instead of by one task.
-HOT_ROWS = 2_000_000
-# At most this many groups are treated as hot; any other group then holds less
-# than 1/4096 of the probed rows, which one task can sort with spilling.
-MAX_HOT_GROUPS = 4096
+# A group of about this many rows is numbered piecewise instead of by one task.
+HOT_ROWS = 1_000_000
 # Share of rows looked at to find hot groups.  It only steers which of two exact
 # ways a group takes, so it cannot change a result.
 PROBE_SHARE = 0.01
@@ -48,17 +46,23 @@ def numbered(
     order = [*order_by, *rest]
     may_be_hot = rows_at_most is None or rows_at_most >= hot_rows
     probed_by = cluster_by or partition_by
-    hot = _hot_groups(df, probed_by, hot_rows, probe_share) if may_be_hot else []
-    in_hot = _group_hash(probed_by).isin(hot) if hot else None
-    ordinary = df.filter(~in_hot) if hot else df
+    hot = staged(_hot_groups(df, probed_by, hot_rows, probe_share)) if may_be_hot else None
+    any_hot = hot is not None and bool(hot.limit(1).count())
+    ordinary, in_hot = df, None
+    if any_hot:
+        # Any number of groups may be hot: they are looked up, not listed.
+        marked = df.withColumn("_group", _group_hash(probed_by))
+        groups = small(hot.withColumnRenamed("group", "_group"))
+        ordinary = marked.join(groups, "_group", "left_anti").drop("_group")
+        in_hot = marked.join(groups, "_group", "left_semi").drop("_group")
     if cluster_by:
         ordinary = ordinary.repartition(*cluster_by)
     by_window = ordinary.withColumn(
         name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)).cast("bigint")
     )
-    if not hot:
+    if in_hot is None:
         return by_window
-    piecewise = _numbered_piecewise(df.filter(in_hot), partition_by, order, name, copies_per_task)
+    piecewise = _numbered_piecewise(in_hot, partition_by, order, name, copies_per_task)
     return by_window.unionByName(piecewise.select(*by_window.columns))
 
 
@@ -68,14 +72,13 @@ def _group_hash(columns: Sequence[str]) -> Column:
 
 def _hot_groups(
     df: DataFrame, columns: Sequence[str], hot_rows: int, probe_share: float
-) -> list[int]:
-    """Hashes of the largest groups; at most MAX_HOT_GROUPS numbers reach the driver."""
+) -> DataFrame:
+    """(group): hashes of all groups that hold `hot_rows` rows, going by the probe."""
     probed = df.select(_group_hash(columns).alias("group"))
     if probe_share < 1:
         probed = probed.sample(probe_share, seed=7)
-    sizes = probed.groupBy("group").count().filter(F.col("count") >= hot_rows * probe_share / 2)
-    top = sizes.orderBy(F.desc("count"), "group").limit(MAX_HOT_GROUPS)
-    return [row["group"] for row in top.collect()]
+    sizes = probed.groupBy("group").count().filter(F.col("count") >= hot_rows * probe_share)
+    return sizes.select("group")
 
 
 def _numbered_piecewise(
@@ -109,7 +112,7 @@ def _numbered_piecewise(
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
+    offsets = staged(
         slices.groupBy("_slice", *group)
         .agg(F.sum("_copies").alias("_rows"))
         .withColumn("_offset", F.sum("_rows").over(earlier))
@@ -120,7 +123,7 @@ def _numbered_piecewise(
     same = F.col("s._slice") == F.col("o._slice")
     for column in group:
         same = same & F.col(f"s.{column}").eqNullSafe(F.col(f"o.{column}"))
-    placed = s.join(F.broadcast(o), same, "left").select(
+    placed = s.join(small(o), same, "left").select(
         *[F.col(f"s.{c}") for c in columns],
         F.col("s._copies"),
         (F.col("s._before") + F.coalesce(F.col("o._offset"), F.lit(0))).alias("_start"),

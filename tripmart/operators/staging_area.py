@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,27 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir.
 
-    A private temporary folder is used only by a local session without that
-    setting; on a cluster the setting is required, since executors and driver
-    must see the same files.
+    A local session without that setting uses a folder in its warehouse; on a cluster
+    the setting is required, since executors and driver must see the same files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="tripmart-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 def staged(df: DataFrame) -> DataFrame:
     """`df` written once as Parquet to the shared folder and read back.
 
     Unlike a cached frame it survives lost executors, and unlike a checkpoint it
-    can be read column by column.  The folder's owner decides how long it is kept.
+    can be read column by column.  Since results are lazy, the files go when the session ends.
     """
-    return _written(df, _new_path(df.sparkSession))
+    path = _new_path(df.sparkSession)
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return _written(df, path)
 
 
 @contextmanager

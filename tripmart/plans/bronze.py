@@ -40,6 +40,31 @@ def conform_trips(source: DataFrame) -> DataFrame:
     return source.select(*_typed(_TRIP_COLUMNS))
 
 
+def screened(source: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Typed trips with flags instead of errors.
+
+    `unfit`: some value does not fit its type (and is NULL here).  `missing`: some
+    required column is NULL in the source.
+    """
+    unfit = missing = F.lit(False)
+    for name, column, kind in _TRIP_COLUMNS:
+        value = F.col(column)
+        unfit = unfit | (value.isNotNull() & value.try_cast(kind).isNull())
+        if name in required:
+            missing = missing | value.isNull()
+    typed = [F.col(column).try_cast(kind).alias(name) for name, column, kind in _TRIP_COLUMNS]
+    return source.select(*typed, unfit.alias("unfit"), missing.alias("missing"))
+
+
+def outcome(trips: DataFrame) -> DataFrame:
+    """Rows, unfit rows and rows with missing values per month of screened trips."""
+    return trips.groupBy("partition_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("unfit").alias("unfit"),
+        F.count_if("missing").alias("missing"),
+    )
+
+
 def conform_zones(source: DataFrame) -> DataFrame:
     return source.select(*_typed(_ZONE_COLUMNS))
 

@@ -15,7 +15,7 @@ from tripmart.errors import RuleFailed, TripmartError
 from tripmart.operators import merge, quality
 from tripmart.operators.incremental import in_partitions, past
 from tripmart.plans import bronze, gold, months, silver, staging
-from tripmart.runlog import RunLog, RunRecord, Status
+from tripmart.runlog import FAILED, RunLog, record
 from tripmart.sources import files
 from tripmart.store import LoadResult, TableStore
 
@@ -44,6 +44,7 @@ class Flow:
         seed_path: str | None = None,
         central_borough: str = "Manhattan",
         trips_suite: Callable[[Column | str | None], Sequence[quality.Rule]] | None = None,
+        null_safe_keys: bool = False,
     ):
         if store.spark.conf.get("spark.sql.ansi.enabled") != "true":
             raise ValueError("set spark.sql.ansi.enabled, so that misfit values stop a load")
@@ -55,6 +56,8 @@ class Flow:
         self.seed_path = seed_path or zones_path
         self.central = central_borough
         self.trips_suite = trips_suite or quality.raw_trips_suite
+        # Trips without a passenger count get no trip_key unless keys are null-safe.
+        self.null_safe_keys = null_safe_keys
 
     # Bronze
 
@@ -79,16 +82,26 @@ class Flow:
         merge.require_unique(zones, schemas.RAW_ZONES.keys, schemas.RAW_ZONES.name)
         return self.store.overwrite(schemas.RAW_ZONES, bronze.enforce(zones, schemas.RAW_ZONES))
 
-    def validate_trips(self, wanted: Sequence[dt.date]) -> dict[dt.date, quality.QualityReport]:
-        """A report per month; a month without rows passes."""
-        raw = in_partitions(self.store.read(schemas.RAW_TRIPS), wanted)
-        table = schemas.RAW_TRIPS.name
-        found = quality.run_by_month(raw, self.trips_suite("partition_date"), table)
+    def validate_trips(
+        self,
+        wanted: Sequence[dt.date] | None = None,
+        suite: Sequence[quality.Rule] | None = None,
+    ) -> dict[dt.date | None, quality.QualityReport]:
+        """A report per month; a month without rows passes.
+
+        Without `wanted`, one report of the whole table, under None.
+        """
+        raw, table = self.store.read(schemas.RAW_TRIPS), schemas.RAW_TRIPS.name
+        if wanted is None:
+            return {None: quality.run(raw, suite or self.trips_suite(None), table)}
+        rules = suite or self.trips_suite("partition_date")
+        found = quality.run_by_month(in_partitions(raw, wanted), rules, table)
         return {m: found.get(m) or quality.QualityReport(table, m, ()) for m in wanted}
 
-    def validate_zones(self) -> quality.QualityReport:
-        raw = self.store.read(schemas.RAW_ZONES)
-        return quality.run(raw, quality.RAW_ZONES_SUITE, schemas.RAW_ZONES.name)
+    def validate_zones(
+        self, suite: Sequence[quality.Rule] = quality.RAW_ZONES_SUITE
+    ) -> quality.QualityReport:
+        return quality.run(self.store.read(schemas.RAW_ZONES), suite, schemas.RAW_ZONES.name)
 
     # Silver
 
@@ -125,21 +138,23 @@ class Flow:
         zones = silver.stamped(silver.zones(staged, self.central))
         return self.store.overwrite(schemas.SILVER_ZONES, zones)
 
-    def test_silver(self, wanted: Sequence[dt.date] | None = None) -> None:
-        """Raise at the first silver rule that does not hold."""
+    def test_silver(self) -> None:
+        """Raise at the first silver rule that does not hold.
+
+        The whole tables are tested: zones are loaded anew each time, and one that is
+        gone makes orphans of months loaded long ago.
+        """
         trips = self.store.read(schemas.SILVER_TRIPS)
-        checked = trips if wanted is None else in_partitions(trips, wanted)
         zones = self.store.read(schemas.SILVER_ZONES)
-        quality.run(
-            checked, quality.SILVER_TRIPS_SUITE, schemas.SILVER_TRIPS.name
-        ).raise_if_failed()
-        quality.run(
-            zones, quality.SILVER_ZONES_SUITE, schemas.SILVER_ZONES.name
-        ).raise_if_failed()
+        for frame, suite, table in (
+            (trips, quality.SILVER_TRIPS_SUITE, schemas.SILVER_TRIPS),
+            (zones, quality.SILVER_ZONES_SUITE, schemas.SILVER_ZONES),
+        ):
+            quality.require(quality.run(frame, suite, table.name))
         _require_none(quality.unique(trips, "trip_id"), "silver_trips_trip_id_unique")
         _require_none(quality.unique(zones, "location_id"), "silver_zones_location_id_unique")
         for column in ("pu_location_id", "do_location_id"):
-            orphans = quality.relationships(checked, column, zones, "location_id")
+            orphans = quality.relationships(trips, column, zones, "location_id")
             _require_none(orphans, f"silver_trips_{column}_in_zones")
 
     # Gold
@@ -159,7 +174,9 @@ class Flow:
         zones = gold.laid_out(gold.dim_zone(seed, self.central), "dim_zone")
         zones = save(schemas.DIM_ZONE, zones)
         vendors = save(schemas.DIM_VENDOR, gold.dim_vendor(self.spark))
-        built = gold.fact_trips(trips, dates, zones, vendors, rows_at_most=trips.count())
+        built = gold.fact_trips(
+            trips, dates, zones, vendors, self.null_safe_keys, rows_at_most=trips.count()
+        )
         types = {f.name: f.dataType for f in schemas.FACT_TRIPS.schema}
         fact = save(
             schemas.FACT_TRIPS, built.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
@@ -182,7 +199,8 @@ class Flow:
         }
         frames = {name: self.store.read(table) for name, table in tables.items()}
         for name, rule in quality.GOLD_NOT_NULL.items():
-            quality.run(frames[name], [rule], tables[name].name).raise_if_failed()
+            rules = [rule, quality.DIM_ZONE_BOROUGH] if name == "dim_zone" else [rule]
+            quality.require(quality.run(frames[name], rules, tables[name].name))
         for name, table in tables.items():
             if table.keys:
                 _require_none(quality.unique(frames[name], *table.keys), f"{name}_key_unique")
@@ -207,7 +225,7 @@ class Flow:
         wanted = sorted({m.replace(day=1) for m in wanted})
         self._bronze(files.trip_paths(self.trips_root, wanted))
         for report in self.validate_trips(wanted).values():
-            report.raise_if_failed()
+            quality.require(report)
         self._silver_and_gold(wanted)
 
     def backfill(
@@ -215,7 +233,9 @@ class Flow:
     ) -> list[dt.date] | BackfillSummary:
         """Load all months of a range; months with bad input are reported and left out.
 
-        A dry run only returns the months.
+        A missing or malformed file, a value that does not fit its type, a NULL where none may
+        be, a zone that does not exist, or a rule that does not hold costs only its month.  A dry
+        run only returns the months.
         """
         wanted = months.month_list(self.spark, start, end)
         if dry_run:
@@ -224,10 +244,11 @@ class Flow:
         usable = {}
         for month, path in files.trip_paths(self.trips_root, wanted).items():
             try:
-                files.read_trips(self.spark, path, month)
-                usable[month] = path
+                usable[month] = files.read_trips(self.spark, path, month, strict=False)
             except TripmartError as error:
                 summary.failed[month] = str(error)
+        summary.failed |= self._misfits(usable)
+        usable = {m: files.trip_path(self.trips_root, m) for m in usable if m not in summary.failed}
         if usable:
             self._bronze(usable)
             for month, report in self.validate_trips(list(usable)).items():
@@ -241,22 +262,48 @@ class Flow:
             self._silver_and_gold(summary.succeeded)
         return summary
 
+    def _misfits(self, sources: dict[dt.date, DataFrame]) -> dict[dt.date, str]:
+        """Why months could not be loaded, from two passes over all of them together."""
+        if not sources:
+            return {}
+        each = [bronze.screened(s, schemas.RAW_TRIPS.not_null) for s in sources.values()]
+        trips = reduce(DataFrame.unionByName, each)
+        found = {}
+        for row in bronze.outcome(trips).filter("unfit > 0 or missing > 0").collect():
+            found[row["partition_date"]] = (
+                f"{row['unfit']} rows with values that do not fit,"
+                f" {row['missing']} with missing values"
+            )
+        zones = bronze.conform_zones(files.read_zones(self.spark, self.zones_path))
+        sound = trips.filter("not unfit and not missing").drop("unfit", "missing")
+        visited = staging.trips(sound).select(
+            "partition_date",
+            F.explode(F.array("pu_location_id", "do_location_id")).alias("location_id"),
+        )
+        orphans = visited.distinct().join(zones, "location_id", "left_anti")
+        for row in orphans.groupBy("partition_date").count().collect():
+            reason = f"{row['count']} zones that do not exist"
+            found.setdefault(row["partition_date"], reason)
+        return found
+
     def _bronze(self, paths: dict[dt.date, str]) -> None:
         with self._tracked("bronze", "ingest_trips", list(paths)) as results:
             results.append(self.ingest_trips(paths))
         with self._tracked("bronze", "ingest_zones") as results:
             results.append(self.ingest_zones())
-        self.validate_zones().raise_if_failed()
+        quality.require(self.validate_zones())
 
     def _silver_and_gold(self, wanted: list[dt.date]) -> None:
         with self._tracked("silver", "silver_zones") as results:
             results.append(self.build_silver_zones())
         with self._tracked("silver", "silver_trips", wanted) as results:
             results.append(self.build_silver_trips(wanted))
-        with self._tracked("silver", "test_silver", wanted):
-            self.test_silver(wanted)
+        with self._tracked("silver", "test_silver"):
+            self.test_silver()
         with self._tracked("gold", "build_gold") as results:
             results.extend(self.build_gold().values())
+        with self._tracked("gold", "test_gold"):
+            self.test_gold()
         with self._tracked("gold", "load_fact_trips", wanted) as results:
             silver_rows = in_partitions(self.store.read(schemas.SILVER_TRIPS), wanted)
             results.append(self.store.upsert(schemas.LAKE_TRIPS, gold.published(silver_rows)))
@@ -270,11 +317,11 @@ class Flow:
     def _log_failed(self, failed: dict[dt.date, str]) -> None:
         now = dt.datetime.now(dt.timezone.utc)
         records = [
-            RunRecord(
+            record(
                 run_id=f"backfill-{now:%Y-%m-%dT%H:%M:%S.%f}-{month}",
                 dag_id="bronze",
                 task_id="validate_trips",
-                status=Status.FAILED,
+                status=FAILED,
                 started_at=now,
                 finished_at=now,
                 partition_date=month,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.functions import calendar, keys, measures
-from tripmart.operators.lookup import key_or_default, small
+from tripmart.operators.lookup import key_or_default
 from tripmart.operators.ranking import numbered
 
 # Airport zones by id (Newark, JFK, LaGuardia).
@@ -161,12 +161,13 @@ def fact_trips(
 def fact_measures(
     trips: DataFrame, dates: DataFrame, zones: DataFrame, vendors: DataFrame, *also: str
 ) -> DataFrame:
-    """Dimension keys and measures of trips, without a shuffle of the trips.
+    """Dimension keys and measures of trips.
 
-    Aggregates need no more of a fact than this.
+    Dimensions carry no hint: Spark knows the size of stored ones and sends small ones to
+    the trips.
     """
-    zone_keys = small(zones.select("zone_key"))
-    date_keys = small(dates.select("date_key"))
+    zone_keys = zones.select("zone_key")
+    date_keys = dates.select("date_key")
     vendor_keys = vendors.select("vendor_key", F.col("vendor_id").alias("vendor_text"))
     fare, tip = F.col("fare_amount"), F.col("tip_amount")
     return (
@@ -204,6 +205,29 @@ def fact_measures(
     )
 
 
+def trip_measures(trips: DataFrame) -> DataFrame:
+    """What aggregates need of facts, straight from trips and without any join.
+
+    Hours and zones stand for the dimension keys; the aggregates join the dimensions to
+    their few groups, where those without a dimension row drop out or become unknown.
+    """
+    fare, tip = F.col("fare_amount"), F.col("tip_amount")
+    start, end = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    return trips.select(
+        calendar.month_text(F.col("partition_date")).alias("trip_month"),
+        "trip_distance",
+        "fare_amount",
+        "tip_amount",
+        "total_amount",
+        calendar.hour_key(start).alias("date_key"),
+        F.col("pu_location_id").alias("pickup_zone_key"),
+        F.col("do_location_id").alias("dropoff_zone_key"),
+        calendar.minutes_between(start, end).alias("trip_duration_min"),
+        measures.safe_ratio(fare, F.col("trip_distance")).alias("fare_per_mile"),
+        measures.safe_pct(tip, fare).alias("tip_pct"),
+    )
+
+
 def _summed(*columns: str) -> list[F.Column]:
     """Partial results a mean can be taken from later: sum and non-NULL count."""
     out = []
@@ -306,7 +330,21 @@ def agg_zone_summary(fact: DataFrame, zones: DataFrame) -> DataFrame:
         F.sum("total_amount").alias("revenue"),
         *_summed(*_ZONE_MEASURES),
     )
-    per_zone = per_destination.groupBy("pickup_zone_key", "trip_month").agg(
+    known = zones.select(F.col("zone_key").alias("known"))
+    per_known = (
+        per_destination.join(known, F.col("dropoff_zone_key") == F.col("known"), "left")
+        .groupBy(
+            "pickup_zone_key",
+            "trip_month",
+            key_or_default(F.col("known"), UNKNOWN_KEY).alias("dropoff_zone_key"),
+        )
+        .agg(
+            F.sum("trips").alias("trips"),
+            F.sum("revenue").alias("revenue"),
+            *_resummed(*_ZONE_MEASURES),
+        )
+    )
+    per_zone = per_known.groupBy("pickup_zone_key", "trip_month").agg(
         F.sum("trips").alias("trip_count"),
         F.sum("revenue").alias("total_revenue"),
         F.count("dropoff_zone_key").alias("unique_destinations"),

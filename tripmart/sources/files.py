@@ -43,11 +43,16 @@ def open_source(spark: SparkSession, path: str) -> DataFrame:
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], table: str) -> None:
-    missing = sorted(set(columns) - {name.strip() for name in df.columns})
+    missing = sorted(set(columns) - set(df.columns))
     if missing:
         raise MissingColumns(table, missing)
 
 
+def _plain_names(df: DataFrame) -> DataFrame:
+    """Header names without blanks around them."""
+    return df.toDF(*[name.strip() for name in df.columns])
+
+
 def _is_csv(path: str) -> bool:
     return path.rstrip("/").lower().endswith(".csv")
 
@@ -58,12 +63,17 @@ def _filled(name: str) -> Column:
     return F.when(value.isNull(), F.raise_error(F.lit(f"empty {name}"))).otherwise(value)
 
 
-def read_trips(spark: SparkSession, path: str, partition_date: dt.date) -> DataFrame:
-    """Source columns of one trip file plus the month it was delivered for."""
-    df = open_source(spark, path)
+def read_trips(
+    spark: SparkSession, path: str, partition_date: dt.date, *, strict: bool = True
+) -> DataFrame:
+    """Source columns of one trip file plus the month it was delivered for.
+
+    An empty CSV field that must not be empty is an error, or NULL if not `strict`.
+    """
+    df = _plain_names(open_source(spark, path))
     require_columns(df, schemas.TRIP_SOURCE_COLUMNS, "raw_trips")
     columns = [F.col(c) for c in schemas.TRIP_SOURCE_COLUMNS]
-    if _is_csv(path):
+    if strict and _is_csv(path):
         columns = [
             F.col(c) if c == "passenger_count" else _filled(c).alias(c)
             for c in schemas.TRIP_SOURCE_COLUMNS
@@ -73,7 +83,7 @@ def read_trips(spark: SparkSession, path: str, partition_date: dt.date) -> DataF
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Source columns of a zone file."""
-    df = open_source(spark, path)
+    df = _plain_names(open_source(spark, path))
     require_columns(df, schemas.ZONE_SOURCE_COLUMNS, "raw_zones")
     if not _is_csv(path):
         return df.select(*schemas.ZONE_SOURCE_COLUMNS)
