@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tripmart.errors import DuplicateKeys, SchemaChanged
 from tripmart.operators import merge
+from tripmart.catalog.queries import REGISTERED
 from tripmart.runlog import FAILED, RUNNING, SUCCESS, RunLog, record
 from tripmart.schemas import Table
 from tripmart.store import TableStore
@@ -191,3 +192,9 @@ def test_random_upserts_against_a_dictionary(store, facts):
         model |= {k: (k, v, d) for k, v, d in batch}
         assert _rows(store) == sorted(model.values(), key=str)
         assert store.partitions(FACTS) == sorted({d for _, _, d in model.values()})
+
+
+def test_a_stored_month_is_one_folder(spark):
+    scan = REGISTERED["partition_scan"](spark, "/root/testdata/sf0.001")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_date" in plan

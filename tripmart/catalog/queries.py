@@ -17,8 +17,10 @@ from tripmart import runlog, schemas
 from tripmart.functions import calendar, keys, measures
 from tripmart.operators import merge, quality
 from tripmart.operators.incremental import newer_than
+from tripmart.operators.staging_area import session_folder
 from tripmart.plans import bronze, gold, monitor, months, silver, staging
 from tripmart.sources import sample
+from tripmart.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -88,20 +90,30 @@ def stg_zones(spark, folder):
     return staging.zones(_raw_zones(spark, folder))
 
 
+def _stored_raw(spark: SparkSession, folder: str) -> TableStore:
+    """A store of the session with all trips, partitioned by month."""
+    store = TableStore(spark, session_folder(spark))
+    store.overwrite(schemas.RAW_TRIPS, bronze.stamped(_raw(spark, folder)))
+    return store
+
+
 @query
 def partition_scan(spark, folder):
-    return _raw(spark, folder).filter(F.col("partition_date") == dt.date(1997, 3, 1))
+    """One month of the stored table: one folder is read."""
+    month = F.col("partition_date") == dt.date(1997, 3, 1)
+    return _stored_raw(spark, folder).read(schemas.RAW_TRIPS, month).drop("ingested_at")
 
 
 @query
 def replace_partition(spark, folder):
-    """Half a year is delivered again with corrected fares."""
-    raw = _raw(spark, folder)
+    """Half a year of the stored table is delivered again with corrected fares."""
+    store, raw = _stored_raw(spark, folder), _raw(spark, folder)
     again = [dt.date(1996, m, 1) for m in range(1, 7)]
     batch = raw.filter(F.col("partition_date").isin(again)).withColumn(
         "fare_amount", (F.col("fare_amount") + 1).cast("decimal(10,2)")
     )
-    return merge.with_partitions_replaced(raw, batch, again, "partition_date")
+    store.replace_partitions(schemas.RAW_TRIPS, bronze.stamped(batch), again)
+    return store.read(schemas.RAW_TRIPS).drop("ingested_at")
 
 
 @query

@@ -29,10 +29,15 @@ def staged(df: DataFrame) -> DataFrame:
     Unlike a cached frame it survives lost executors, and unlike a checkpoint it
     can be read column by column.  Since results are lazy, the files go when the session ends.
     """
-    path = _new_path(df.sparkSession)
-    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return _written(df, path)
+    return _written(df, session_folder(df.sparkSession))
+
+
+def session_folder(spark: SparkSession) -> str:
+    """A new folder beside the stages that goes when the session ends."""
+    path = _new_path(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 @contextmanager
