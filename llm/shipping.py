@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
+import io
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from llm.scratch import shared_folder
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to all executors, once per application.
 
-    Python functions name it by import, and executors need not have it installed.
+    Python functions name it by import, and executors need not have it installed.  The
+    archive is made in memory and lies in the shared folder until the session ends.
     """
     app = spark.sparkContext.applicationId
     if app in _sent:
         return
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        source = Path(folder, "source", package.name)
-        shutil.copytree(package, source, ignore=shutil.ignore_patterns("__pycache__"))
-        spark.sparkContext.addPyFile(
-            shutil.make_archive(str(Path(_kept(), f"{package.name}-{app}")), "zip", source.parent)
-        )
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{package.name}-{app}.zip")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(path, True)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    system.deleteOnExit(path)
+    spark.sparkContext.addPyFile(path.toString())
     _sent.add(app)
-
-
-def _kept() -> str:
-    """A folder of the driver, from where Spark sends the archive."""
-    return tempfile.mkdtemp(prefix="shipped-")
