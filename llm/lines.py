@@ -51,7 +51,9 @@ def _document() -> list[Column]:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(late, doc_id, version, at, line, k1, k2) of all lines that can be copies."""
-    rows = docs.select(*_document(), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
+    # Split before exploding, so that the text is not copied and hashed for each line.
+    whole = docs.select(*_document(), F.split("text", "\n").alias("lines"))
+    rows = whole.select("late", "doc_id", "version", F.posexplode("lines").alias("at", "raw"))
     kept = rows.select("late", "doc_id", "version", "at", _plain(F.col("raw")).alias("line"))
     return kept.filter(F.length("line") >= LEAST_CHARS).select(
         "*", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit("second"), "line").alias("k2")
@@ -96,8 +98,22 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     lines = _lines(docs)
     members = scratch.write(bucket_members(_buckets(lines), preaggregate=False))
     wanted = scratch.write(members.select("node").distinct())
+    places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
+    # One document for each line to compare; only these are read again.
+    holders = scratch.write(
+        places.select(F.col("k1").alias("node"), "version")
+        .join(small(wanted), "node", "left_semi")
+        .groupBy("node")
+        .agg(F.min("version").alias("version"))
+        .select("version")
+        .distinct()
+    )
+    held = docs.withColumn("_text", F.xxhash64("text")).join(
+        small(holders.withColumnRenamed("version", "_text")), "_text", "left_semi"
+    )
     sets = scratch.write(
-        lines.select(F.col("k1").alias("node"), "line")
+        _lines(held)
+        .select(F.col("k1").alias("node"), "line")
         .join(small(wanted), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("line").alias("line"))
@@ -130,7 +146,6 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
         )
 
     placed = linked(members, verify, differ, threshold, scratch)
-    places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
     distinct = places.groupBy("k1", "k2").agg(
         F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")
     )

@@ -107,18 +107,17 @@ def common_lines(docs: DataFrame, host: str, share: float, at_least: int) -> Dat
     more than `at_least` of them hold it.  Documents with equal text count as one.
     A document counts once per line however often it repeats it.
     """
-    lines = docs.select(
+    hashes = F.transform(
+        F.filter(F.split("text", "\n"), has_word), lambda x: F.xxhash64(normalised(x))
+    )
+    # Hashed before exploding, so that the text is not copied and hashed for each line.
+    whole = docs.select(
         _host(host).alias("host"),
         "doc_id",
         F.xxhash64("text").alias("key"),
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.filter(F.split("text", "\n"), has_word), lambda x: F.xxhash64(normalised(x))
-                )
-            )
-        ).alias("line"),
+        F.array_distinct(hashes).alias("lines"),
     )
+    lines = whole.select("host", "doc_id", "key", F.explode("lines").alias("line"))
     counts = (
         lines.groupBy("host", "line")
         .agg(F.countDistinct("key").alias("n"))
