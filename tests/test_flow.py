@@ -15,7 +15,7 @@ from tripmart.plans.flow import Flow
 from tripmart.sources import files
 from tripmart.store import TableStore
 
-from tests.conftest import HEADER, JANUARY, TWO_TRIPS, write_lines
+from tests.conftest import HEADER, JANUARY, TWO_TRIPS
 
 FEBRUARY, MARCH = dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 COLUMNS = HEADER.split(",")
