@@ -13,6 +13,8 @@ from llm.scratch import Scratch
 BANDS, ROWS = 10, 3
 # Shingles: this many characters from the start of each word on.
 SHINGLE = 12
+# Shingles at every position; a shorter line is its one shingle.
+SHORT_SHINGLE = 5
 # Shorter lines (normalised characters) say too little to be copies.
 LEAST_CHARS = 16
 # Rows of two or three numbers that are sent to all executors (some 32 bytes each); beyond
@@ -33,11 +35,20 @@ def _plain(line: Column) -> Column:
     return F.lower(F.trim(F.when(odd, F.regexp_replace(line, SPACE, " ")).otherwise(line)))
 
 
-def shingles(norm: Column) -> Column:
+def _word_runs(norm: Column) -> Column:
+    """Character runs from word starts, with repeats; nothing beyond a word's first ones."""
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{1,{SHINGLE}}}))\\S+ ?"), F.lit(1))
+
+
+def _all_runs(norm: Column) -> Column:
+    """Character runs from every position, with repeats; one pass, however long the line is."""
+    each = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHORT_SHINGLE}}}))."), F.lit(1))
+    return F.when(F.length(norm) < SHORT_SHINGLE, F.array(norm)).otherwise(each)
+
+
+def shingles(norm: Column, every_position: bool = False) -> Column:
     """Distinct character shingles of a normalised line."""
-    return F.array_distinct(
-        F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{1,{SHINGLE}}}))\\S+ ?"), F.lit(1))
-    )
+    return F.array_distinct(_all_runs(norm) if every_position else _word_runs(norm))
 
 
 def _document() -> list[Column]:
@@ -64,7 +75,7 @@ def _place() -> Column:
     return F.struct("late", "doc_id", "version", "at")
 
 
-def _buckets(lines: DataFrame) -> DataFrame:
+def _buckets(lines: DataFrame, every_position: bool) -> DataFrame:
     """(bucket, node): MinHash bands of all distinct lines; node is k1.
 
     One shuffle brings equal lines together.  What follows stays in its partitions: every
@@ -72,7 +83,9 @@ def _buckets(lines: DataFrame) -> DataFrame:
     permutations taken.
     """
     distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"))
-    each = distinct.select("k1", "k2", F.explode(shingles(F.col("line"))).alias("shingle"))
+    # Repeats do not change minima.
+    runs = (_all_runs if every_position else _word_runs)(F.col("line"))
+    each = distinct.select("k1", "k2", F.explode(runs).alias("shingle"))
     hashed = each.select(
         "k1", "k2", F.hash("shingle").cast("bigint").bitwiseAND(F.lit(_LOW)).alias("x")
     )
@@ -93,10 +106,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+def removals(
+    docs: DataFrame, threshold: float, scratch: Scratch, *, every_position: bool = False
+) -> DataFrame:
     """(late, doc_id, version, removed): positions of lines to remove, by document."""
     lines = _lines(docs)
-    members = scratch.write(bucket_members(_buckets(lines), preaggregate=False))
+    members = scratch.write(bucket_members(_buckets(lines, every_position), preaggregate=False))
     wanted = scratch.write(members.select("node").distinct())
     places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
     # One document for each line to compare; only these are read again.
@@ -117,7 +132,7 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
         .join(small(wanted), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("line").alias("line"))
-        .select("node", shingles(F.col("line")).alias("shingles"))
+        .select("node", shingles(F.col("line"), every_position).alias("shingles"))
     )
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -168,11 +183,15 @@ def removals(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame, *, threshold: float = 0.8) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, *, threshold: float = 0.8, every_position: bool = False
+) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, n_lines and n_removed.
 
     Lines are compared in lower case with single spaces.  Their shingles are the
-    distinct runs of SHINGLE characters that begin at a word, shorter at the line's end;
+    distinct runs of SHINGLE characters that begin at a word, shorter at the line's end, or with
+    `every_position` those of SHORT_SHINGLE characters from each character on (a shorter line is
+    one shingle), so that every character counts and text without blanks is compared too;
     lines with a Jaccard similarity of `threshold` or more are linked.  Of each component the line
     that comes first by doc_id and place stays.
 
@@ -185,7 +204,7 @@ def line_dedup(docs: DataFrame, *, threshold: float = 0.8) -> DataFrame:
     Equal lines are one node, known by a 64-bit hash in links and 128 bits otherwise.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = removals(docs, threshold, scratch).alias("g")
+    gone = removals(docs, threshold, scratch, every_position=every_position).alias("g")
     base = docs.drop(*ADDED)
     late, _, version = _document()
     own = base.withColumns({"_late": late, "_version": version}).alias("d")

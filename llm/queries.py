@@ -88,7 +88,7 @@ def op9_sentencepiece_tokens(spark, folder):
 @query
 def op2_line_dedup(spark, folder):
     """Documents without repeated lines."""
-    found = line_dedup(table(spark, folder, "documents"))
+    found = line_dedup(table(spark, folder, "documents"), every_position=True)
     return found.select(
         "doc_id",
         "n_lines",
