@@ -77,7 +77,13 @@ def linked(
     )
     second = components(links, scratch) if again.limit(1).count() else first
     small_groups = groups.filter(F.col("outside") <= FEW).select("hub", "node", "similarity")
-    open_ = scratch.write(_open(small_groups.unionByName(_around(again)), second))
+    # A small group's hub may be the centre of another group as well; each node counts once.
+    once = (
+        small_groups.unionByName(_around(again))
+        .groupBy("hub", "node")
+        .agg(F.max("similarity").alias("similarity"))
+    )
+    open_ = scratch.write(_open(once, second))
     few = open_.filter(F.col("outside") <= FEW)
     x, y = few.filter("component <> largest").alias("x"), few.alias("y")
     apart = (
