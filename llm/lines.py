@@ -15,8 +15,8 @@ BANDS, ROWS = 10, 3
 SHINGLE = 12
 # Shingles at every position; a shorter line is its one shingle.
 SHORT_SHINGLE = 5
-# Shorter lines (normalised characters) say too little to be copies.
-LEAST_CHARS = 16
+# Lines of fewer normalised characters stay: only blank ones, which part paragraphs.
+LEAST_CHARS = 1
 # Rows of two or three numbers that are sent to all executors (some 32 bytes each); beyond
 # that the same join is shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -60,13 +60,13 @@ def _document() -> list[Column]:
     ]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
     """(late, doc_id, version, at, line, k1, k2) of all lines that can be copies."""
     # Split before exploding, so that the text is not copied and hashed for each line.
     whole = docs.select(*_document(), F.split("text", "\n").alias("lines"))
     rows = whole.select("late", "doc_id", "version", F.posexplode("lines").alias("at", "raw"))
     kept = rows.select("late", "doc_id", "version", "at", _plain(F.col("raw")).alias("line"))
-    return kept.filter(F.length("line") >= LEAST_CHARS).select(
+    return kept.filter(F.length("line") >= max(least_chars, 1)).select(
         "*", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit("second"), "line").alias("k2")
     )
 
@@ -107,10 +107,15 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def removals(
-    docs: DataFrame, threshold: float, scratch: Scratch, *, every_position: bool = False
+    docs: DataFrame,
+    threshold: float,
+    scratch: Scratch,
+    *,
+    every_position: bool = False,
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """(late, doc_id, version, removed): positions of lines to remove, by document."""
-    lines = _lines(docs)
+    lines = _lines(docs, least_chars)
     members = scratch.write(bucket_members(_buckets(lines, every_position), preaggregate=False))
     wanted = scratch.write(members.select("node").distinct())
     places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
@@ -127,7 +132,7 @@ def removals(
         small(holders.withColumnRenamed("version", "_text")), "_text", "left_semi"
     )
     sets = scratch.write(
-        _lines(held)
+        _lines(held, least_chars)
         .select(F.col("k1").alias("node"), "line")
         .join(small(wanted), "node", "left_semi")
         .groupBy("node")
@@ -184,7 +189,11 @@ def removals(
 
 
 def line_dedup(
-    docs: DataFrame, *, threshold: float = 0.8, every_position: bool = False
+    docs: DataFrame,
+    *,
+    threshold: float = 0.8,
+    every_position: bool = False,
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, n_lines and n_removed.
 
@@ -195,7 +204,8 @@ def line_dedup(
     lines with a Jaccard similarity of `threshold` or more are linked.  Of each component the line
     that comes first by doc_id and place stays.
 
-    Lines of fewer than LEAST_CHARS characters stay.  n_lines counts all lines (parts
+    Blank lines stay, and with a larger `least_chars` all lines of fewer characters (headings, say).
+    n_lines counts all lines (parts
     between line feeds), n_removed those taken out.  A null text stays null with 0 lines, an empty one
     is one empty line.  Of documents that repeat a doc_id, the text's hash decides which
     comes first; fully equal rows are one document and lose the same lines.  A null doc_id comes
@@ -204,7 +214,9 @@ def line_dedup(
     Equal lines are one node, known by a 64-bit hash in links and 128 bits otherwise.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = removals(docs, threshold, scratch, every_position=every_position).alias("g")
+    gone = removals(
+        docs, threshold, scratch, every_position=every_position, least_chars=least_chars
+    ).alias("g")
     base = docs.drop(*ADDED)
     late, _, version = _document()
     own = base.withColumns({"_late": late, "_version": version}).alias("d")

@@ -48,3 +48,13 @@ def test_lines_without_blanks_and_with_other_ends(make_docs):
             lines.append(stem[: -len(tail)] + tail if rng.random() < 0.5 else stem[:at] + "zz" + stem[at:])
     got = _check(make_docs, lines)
     assert 12 < len(got) < len(lines)
+
+
+def test_short_lines_are_removed_unless_asked_to_stay(make_docs):
+    texts = ["Share\n\nfirst text of all", "share \n\n今天天气很好", "SHARE\n\n今天天气很好\nok", "ok\n"]
+    docs = make_docs(list(enumerate(texts)))
+    rows = line_dedup(docs, every_position=True).collect()
+    left = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert left == [texts[0], "\n今天天气很好", "\nok", ""]
+    rows = line_dedup(docs, every_position=True, least_chars=16).collect()
+    assert [r.text for r in sorted(rows, key=lambda r: r.doc_id)] == texts
