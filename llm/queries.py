@@ -12,7 +12,7 @@ from llm.kneser_ney import quality_classified
 from llm.language import fit, predicted, remainder
 from llm.lines import line_dedup
 from llm.near_dedup import near_duplicates
-from llm.passages import without_repeats
+from llm.passages import RUN_WORDS, without_repeats
 from llm.quality import quality
 from llm.scratch import Scratch
 from llm.shards import placed, reshard
@@ -138,7 +138,7 @@ def op8_warc_archives(spark, folder):
 def op10_repeated_passages(spark, folder):
     """Documents without passages that repeat across documents."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return without_repeats(docs, threshold=0.8)
+    return without_repeats(docs, threshold=0.8, exact_words=RUN_WORDS)
 
 
 @query
