@@ -15,7 +15,7 @@ from llm.near_dedup import near_duplicates
 from llm.passages import RUN_WORDS, without_repeats
 from llm.quality import quality
 from llm.scratch import Scratch
-from llm.shards import placed, reshard
+from llm.shards import reshard, rewritten, sized, write_shards
 from llm.shipping import ship
 from llm.tokens import encoded
 from llm.warc import archived
@@ -106,12 +106,13 @@ OLD_SHARDS, NEW_SHARDS = 32, 40
 def op7_min_cost_flow_sharding(spark, folder):
     """From 32 shards by key to 40 of near-equal bytes, moving the fewest bytes."""
     scratch = Scratch(spark, "shards")
-    docs = table(spark, folder, "documents").select(
-        "doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
-    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     old = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(OLD_SHARDS))
-    rows = placed(docs, old, scratch, keep_text=False)
-    out = reshard(rows, OLD_SHARDS, NEW_SHARDS, scratch)
+    stored = write_shards(docs, old, scratch.new_path())
+    rows = reshard(scratch.write(sized(stored)), OLD_SHARDS, NEW_SHARDS, scratch)
+    # What follows is read from the files that hold the shards after the move.
+    out = rewritten(stored, rows, scratch.new_path(), scratch)
+    out = out.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
     return out.select(
         "doc_id",
         "size",

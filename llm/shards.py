@@ -36,6 +36,56 @@ def placed(
     return scratch.write(sized if keep_text else sized.drop("text")).withColumn("_block", F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"))
 
 
+def write_shards(docs: DataFrame, old_shard: Column, folder: str) -> DataFrame:
+    """`docs` written as folders `old_shard=N` and read back, with text and row numbers."""
+    placed_ = docs.drop(*ADDED).withColumns(
+        {"old_shard": old_shard.cast("int"), "_row": F.monotonically_increasing_id()}
+    )
+    placed_.write.partitionBy("old_shard").option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(placed_.schema).parquet(folder)
+
+
+def sized(stored: DataFrame) -> DataFrame:
+    """Rows of stored shards with size and block, without text."""
+    return stored.withColumns(
+        {
+            "size": stored_size(F.col("text")),
+            "_block": F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"),
+        }
+    ).drop("text")
+
+
+def rewritten(stored: DataFrame, rows: DataFrame, folder: str, scratch: Scratch) -> DataFrame:
+    """Shards as they are stored after a move: text, shard, slot, size and old_shard.
+
+    `stored` are the old shards, `rows` what `reshard` says of them, by _row.  Affected shards
+    are written to `folder` with their texts and read from there; others keep their old
+    files, and the order of these gives their slots.
+    """
+    placed_ = rows.select("_row", "shard", "slot", "size", "_block", "_class")
+    # Written once, since both the list of affected shards and the files are made of it.
+    moved = scratch.write(placed_)
+    touched = write_affected(stored.join(moved, "_row"), folder)
+    spark = rows.sparkSession
+    plain = stored.drop("_row").columns
+    columns = [*[c for c in plain if c != "old_shard"], "old_shard", "shard", "slot"]
+    kept = stored.filter(~F.col("old_shard").isin(touched)).withColumn("shard", F.col("old_shard"))
+    kept = kept.withColumns(
+        {
+            "_block": F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"),
+            "_class": -F.floor(F.log2(stored_size(F.col("text")))).cast("int"),
+        }
+    )
+    kept = with_slots(kept, scratch).select(*columns)
+    if touched:
+        kinds = stored.drop("_row").withColumns(
+            {"shard": F.lit(0), "slot": F.lit(0).cast("bigint")}
+        )
+        fresh = spark.read.schema(kinds.schema).parquet(folder)
+        kept = kept.unionByName(fresh.select(*columns))
+    return kept.withColumn("size", stored_size(F.col("text")))
+
+
 def capacities(total: int, shards: int) -> list[int]:
     """Near-equal parts of `total`."""
     return [total // shards + (k < total % shards) for k in range(shards)]
