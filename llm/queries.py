@@ -81,8 +81,10 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 @query
 def op9_sentencepiece_tokens(spark, folder):
     """Tokens of all documents, and whether they decode to the text again."""
-    found = encoded(table(spark, folder, "documents").select("doc_id", "text"), PIECES, ids=False)
-    return found.select("doc_id", "n_tokens", "n_byte_tokens", "ids_crc32", "round_trip")
+    found = encoded(table(spark, folder, "documents").select("doc_id", "text"), PIECES)
+    return found.select(
+        "doc_id", "token_ids", "n_tokens", "n_byte_tokens", "ids_crc32", "round_trip"
+    )
 
 
 @query
