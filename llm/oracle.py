@@ -1,7 +1,7 @@
 """The same results in SQL, where SQL can express them.
 
-Language identification, perplexities, sharding (CRC-32), tokens and the removal of fuzzy passages
-are tested against brute force, held-out accuracy or an exact round trip instead.
+Language identification, perplexities, sharding (CRC-32), tokens, whitening and the removal of
+fuzzy passages are tested against brute force, held-out accuracy or an exact round trip instead.
 """
 
 from __future__ import annotations
@@ -152,9 +152,44 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM first
 """
 
+_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, row_number() OVER () AS r,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(v AS DOUBLE)) FOR v IN embedding] AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0
+),
+commonest AS (
+    SELECT len(x) AS d FROM usable WHERE len(x) > 0
+    GROUP BY d ORDER BY count(*) DESC, d DESC LIMIT 1
+),
+vec AS (SELECT usable.* FROM usable JOIN commonest ON len(x) = d),
+scored AS (
+    SELECT a.r AS ar, a.vec_id AS anchor_id, o.r, o.vec_id, a.label = o.label AS same,
+           CAST(list_dot_product(a.x, o.x) AS BIGINT) AS score
+    FROM vec a JOIN vec o ON a.r <> o.r
+    WHERE a.vec_id % 50 = 0
+),
+positive AS (
+    SELECT ar, anchor_id, r AS pr, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (
+           PARTITION BY p.ar, pr ORDER BY n.score DESC, n.vec_id, n.r) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.ar = p.ar AND NOT n.same
+    AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 STATEMENTS: dict[str, str] = {
     "op1_benchmark_decontamination": _DECONTAMINATION,
     "op3_quality_rules": _QUALITY,
     "op4_minhash_near_dedup": _NEAR,
     "op8_warc_archives": _WARC,
+    "op13_hard_negatives": _NEGATIVES,
 }

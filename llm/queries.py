@@ -12,13 +12,16 @@ from llm.kneser_ney import quality_classified
 from llm.language import fit, predicted, remainder
 from llm.lines import line_dedup
 from llm.near_dedup import near_duplicates
+from llm.negatives import hard_negatives
 from llm.passages import RUN_WORDS, without_repeats
 from llm.quality import quality
 from llm.scratch import Scratch
 from llm.shards import reshard, rewritten, sized, write_shards
 from llm.shipping import ship
+from llm.token_files import stored_tokens
 from llm.tokens import encoded
 from llm.warc import archived
+from llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -160,3 +163,29 @@ def op6_quality_perplexity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     found = quality_classified(docs, table(spark, folder, "labels"))
     return found.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
+@query
+def op11_embedding_whitening(spark, folder):
+    """The first 32 whitened components of all vectors."""
+    return whitened(table(spark, folder, "embeddings"), 32)
+
+
+# The tokenizer of the token files; a parameter of the operator.
+BYTE_PIECES = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query
+def op12_seekable_token_files(spark, folder):
+    """All documents as token files in zstandard frames, read back from these."""
+    found = stored_tokens(table(spark, folder, "documents"), BYTE_PIECES)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    """Hard negatives of every fiftieth vector; some labels are changed first."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    relabelled = vectors.withColumn("label", F.coalesce(moved, F.col("label")))
+    return hard_negatives(relabelled, F.col("vec_id") % 50 == 0)

@@ -17,12 +17,15 @@ COLUMNS = {
     "op5": "doc_id held_out lang_pred score",
     "op7": "doc_id size text_crc32 law shard slot grown_shard",
     "op8": "page_id payload_bytes payload_digest record_type refers_to",
+    "op11": "vec_id component n deviation whitened explained identity_error",
+    "op12": "doc_id start n_tokens ids_crc32",
+    "op13": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
 def test_all_are_registered():
     names = {name.split("_")[0] for name in REGISTERED}
-    assert names == {f"op{n}" for n in range(1, 11)} and len(REGISTERED) == 10
+    assert names == {f"op{n}" for n in range(1, 14)} and len(REGISTERED) == 13
     assert set(REGISTERED) | {"pipeline"} <= set(entry_points.queries())
     assert set(STATEMENTS) <= set(entry_points.oracle_sql())
 
@@ -35,5 +38,6 @@ def test_rows(spark, name):
     if name in STATEMENTS:
         assert differences(df, con, STATEMENTS[name]) == []
     else:
-        source = "pages" if "warc" in name else "documents"
-        assert df.count() == con.execute(f"SELECT count(*) FROM {source}").fetchall()[0][0]
+        source = "embeddings" if "whitening" in name else "documents"
+        each = 32 if "whitening" in name else 1
+        assert df.count() == each * con.execute(f"SELECT count(*) FROM {source}").fetchall()[0][0]
