@@ -56,13 +56,17 @@ def _struct(columns: str) -> T.StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """Declared layout of one stored table; `schema=None` takes what is written."""
+    """Declared layout of one stored table; `schema=None` takes what is written.
+
+    An indexed table keeps a key index beside it, by which merges find the partitions to look at.
+    """
 
     name: str
     schema: T.StructType | None
     keys: tuple[str, ...] = ()
     partition_by: str | None = None
     not_null: tuple[str, ...] = ()
+    indexed: bool = False
 
 
 RAW_TRIPS = Table(
@@ -105,6 +109,7 @@ SILVER_TRIPS = Table(
     ),
     keys=("trip_id",),
     partition_by="partition_date",
+    indexed=True,
 )
 SILVER_ZONES = Table("silver/silver_zones", None, keys=("location_id",))
 DIM_DATE = Table("gold/dim_date", None, keys=("date_key",))
@@ -125,7 +130,11 @@ FACT_TRIPS = Table(
 AGG_HOURLY = Table("gold/agg_hourly_metrics", None)
 AGG_ZONE = Table("gold/agg_zone_summary", None)
 LAKE_TRIPS = Table(
-    "lake/fact_trips", SILVER_TRIPS.schema, keys=("trip_id",), partition_by="partition_date"
+    "lake/fact_trips",
+    SILVER_TRIPS.schema,
+    keys=("trip_id",),
+    partition_by="partition_date",
+    indexed=True,
 )
 LAKE_ZONES = Table("lake/dim_zones", None, keys=("location_id",))
 RUN_LOG = Table(

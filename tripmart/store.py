@@ -1,13 +1,14 @@
 """Tables as partitioned Parquet folders.
 
-A load is written beside the table and published when all its tasks are done: by
-Spark's dynamic partition overwrite for partitioned tables, by swapping folders
-otherwise.  There is one writer per table at a time.
+A load is written beside the table and published when all its tasks are done (see
+`operators.publishing`): folders of partitions, or the table's folder, take the place of earlier ones.
+There is one writer per table at a time; other jobs open the store `read_only`.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 import uuid
 from collections.abc import Iterable, Sequence
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.errors import SchemaChanged
-from tripmart.operators import merge
+from tripmart.operators import merge, packing, publishing
+from tripmart.operators.key_index import KeyIndex
 from tripmart.operators.staging_area import staged_meanwhile
 from tripmart.schemas import Table
 
@@ -36,11 +38,17 @@ class LoadResult:
 
 
 class TableStore:
-    """Tables below one root folder, which all executors must see."""
+    """Tables below one root folder, which all executors must see.
 
-    def __init__(self, spark: SparkSession, root: str):
+    What a crashed job left half published is finished when the table is next used, by any but a
+    `read_only` store: that one reads beside a writer and changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, *, read_only: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.read_only = read_only
+        self.files = publishing.Files(spark)
 
     # Reading
 
@@ -48,10 +56,16 @@ class TableStore:
         return f"{self.root}/{table.name}"
 
     def exists(self, table: Table) -> bool:
-        return self._fs(self.path(table)).exists(self._path(self.path(table)))
+        self.recover(table)
+        return self.files.exists(self.path(table))
+
+    def recover(self, table: Table) -> bool:
+        """Finish a load that a crash cut off while it was published; whether there was one."""
+        return not self.read_only and publishing.recover(self.files, self._intent(table))
 
     def read(self, table: Table, where: Column | str | None = None) -> DataFrame:
         """Rows of a table; a condition on the partition column prunes folders."""
+        self.recover(table)
         reader = self.spark.read
         if table.schema is not None:
             reader = reader.schema(table.schema)
@@ -60,14 +74,24 @@ class TableStore:
 
     def partitions(self, table: Table) -> list[object]:
         """Values of the partition column, from folder names; a folder always has rows."""
+        self.recover(table)
+        return sorted(self._folders(table))
+
+    def stamps(self, table: Table) -> dict[object, str]:
+        """What tells a partition's present files from all earlier ones: file names are never reused."""
         if not self.exists(table):
-            return []
-        prefix = f"{table.partition_by}="
-        is_date = table.schema[table.partition_by].dataType == T.DateType()
-        listed = self._fs(self.path(table)).listStatus(self._path(self.path(table)))
-        names = [status.getPath().getName() for status in listed]
-        texts = [unquote(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
-        return sorted(dt.date.fromisoformat(t) if is_date else t for t in texts)
+            return {}
+        listed: dict[str, list[str]] = {}
+        for file in self.read(table).inputFiles():
+            folder, name = unquote(file).rsplit("/", 2)[1:]
+            listed.setdefault(folder, []).append(name)
+        return {
+            self._value(table, folder): hashlib.sha256("/".join(sorted(names)).encode()).hexdigest()
+            for folder, names in listed.items()
+        }
+
+    def key_index(self, table: Table) -> KeyIndex:
+        return KeyIndex(self, table)
 
     # Writing
 
@@ -75,7 +99,7 @@ class TableStore:
         """Create an empty table if there is none."""
         if not self.exists(table):
             empty = self.spark.createDataFrame([], table.schema)
-            self._writer(empty, table).parquet(self.path(table))
+            self.overwrite(table, empty)
 
     def overwrite(
         self, table: Table, df: DataFrame, allow_schema_change: bool = False
@@ -85,10 +109,9 @@ class TableStore:
         if not allow_schema_change:
             self._require_schema(table, df)
         seen, observed = self._observed(self._rebalanced(df, table), table)
-        target = self.path(table)
-        stage = f"{target}__stage_{uuid.uuid4().hex}"
+        stage = self._new_stage(table)
         self._writer(observed, table).parquet(stage)
-        self._swap_in(stage, target)
+        self._publish(table, [(stage, self.path(table))])
         return self._result(table, seen.get, started)
 
     def replace_partitions(
@@ -104,8 +127,7 @@ class TableStore:
                 F.raise_error(F.concat(F.lit("row outside the named partitions: "), column))
             ),
         )
-        written = self._write_partitions(table, guarded)
-        self._drop_partitions(table, set(values) - set(written["partitions"]))
+        written = self._write_partitions(table, guarded, values)
         return self._result(table, written, started)
 
     def upsert(
@@ -113,7 +135,8 @@ class TableStore:
     ) -> LoadResult:
         """Insert `df`, replacing rows with equal keys; only touched partitions are rewritten.
 
-        The number of rows reported is that of the source.
+        Of an indexed table, only partitions of which the index says that they may hold a key are
+        looked at.  The number of rows reported is that of the source.
         """
         started = time.monotonic()
         keys = list(keys or table.keys)
@@ -129,17 +152,70 @@ class TableStore:
             merge.require_unique(source, keys, table.name)
             partitions = self._merge(table, source, keys)
             rows = source.count()
+        if table.indexed and partitions:
+            self.key_index(table).refresh(partitions)
         seconds = time.monotonic() - started
         return LoadResult(table.name, rows, self.path(table), partitions, seconds)
 
-    def compact(self, table: Table, values: Sequence[object]) -> LoadResult:
-        """Rewrite the named partitions into files of the session's advisory size.
+    def compact(
+        self,
+        table: Table,
+        values: Sequence[object] | None = None,
+        *,
+        small_bytes: int = packing.SMALL,
+        target_bytes: int = packing.TARGET,
+    ) -> LoadResult:
+        """Put small files of the named partitions, or of all, together; others stay as they are.
 
-        Adaptive execution cuts by size, not by content, so copies spread as well.
+        Files under `small_bytes` are packed into groups of up to `target_bytes`; each group
+        becomes one file.  A single small file of a partition is left alone.  The rows
+        reported are those moved.
         """
         started = time.monotonic()
-        df = self.read(table, F.col(table.partition_by).isin(list(values)))
-        return self._result(table, self._write_partitions(table, df), started)
+        self.recover(table)
+        sizes = packing.file_sizes(self.spark, self.path(table))
+        wanted = None if values is None else set(values)
+        chosen = [
+            (folder, file, size)
+            for folder, file, size in sizes
+            if size < small_bytes and (wanted is None or self._value(table, folder) in wanted)
+        ]
+        groups = packing.packed(chosen, target_bytes)
+        if not groups:
+            return LoadResult(table.name, 0, self.path(table), (), time.monotonic() - started)
+        number = {file: n for n, group in enumerate(groups) for _, file in group}
+        small = (
+            self.spark.read.schema(table.schema)
+            .option("basePath", self.path(table))
+            .parquet(*number)
+        )
+        # One row per small file.
+        named = self.spark.createDataFrame(list(number.items()), "_file string, _group int")
+        grouped = small.withColumn("_file", F.col("_metadata.file_path")).join(
+            F.broadcast(named), "_file"
+        )
+        stage, seen = self._new_stage(table), Observation()
+        part = table.partition_by
+        metrics = (F.count(F.lit(1)).alias("rows"), F.collect_set(part).alias("partitions"))
+        (
+            grouped.drop("_file")
+            .observe(seen, *metrics)
+            .repartition(len(groups), "_group")
+            .write.partitionBy(part, "_group")
+            .parquet(stage)
+        )
+        steps = []
+        for folder in self._partition_names(stage, part):
+            for group in self._partition_names(f"{stage}/{folder}", "_group"):
+                source = f"{stage}/{folder}/{group}"
+                steps += [
+                    (f"{source}/{name}", f"{self.path(table)}/{folder}/{name}")
+                    for name in self.files.names(source)
+                    if name.startswith("part-")
+                ]
+        steps += [(None, file) for file in number]
+        self._publish(table, steps, [stage])
+        return self._result(table, seen.get, started)
 
     # Helpers
 
@@ -154,8 +230,7 @@ class TableStore:
             return tuple(sorted(self._write_partitions(table, source)["partitions"]))
         touched = self._touched_partitions(table, source, keys)
         target = self.read(table, F.col(table.partition_by).isin(touched))
-        written = self._write_partitions(table, merge.upserted(target, source, keys))
-        self._drop_partitions(table, set(touched) - set(written["partitions"]))
+        written = self._write_partitions(table, merge.upserted(target, source, keys), touched)
         return tuple(sorted(written["partitions"]))
 
     def _require_schema(self, table: Table, df: DataFrame) -> None:
@@ -175,14 +250,31 @@ class TableStore:
         """Partitions of the source, and those its keys now lie in; one value each."""
         part = table.partition_by
         own = [r[0] for r in source.select(part).distinct().collect()]
-        elsewhere = (
-            self.read(table, ~F.col(part).isin(own))
+        return own + self.partitions_holding(table, source, keys, set(own))
+
+    def partitions_holding(
+        self, table: Table, source: DataFrame, keys: Sequence[str], leave_out: Iterable[object] = ()
+    ) -> list[object]:
+        """Partitions with a key of `source`, without those to leave out.
+
+        Keys are read of partitions that may hold one: all of them, unless the index knows better.
+        """
+        part = table.partition_by
+        possible = sorted(set(self.partitions(table)) - set(leave_out))
+        if table.indexed and list(keys) == list(table.keys):
+            index = self.key_index(table)
+            index.refresh(possible)
+            possible = index.partitions_that_may_hold(source, possible)
+        if not possible:
+            return []
+        found = (
+            self.read(table, F.col(part).isin(possible))
             .select(*keys, part)
             .join(source.select(*keys), list(keys), "left_semi")
             .select(part)
             .distinct()
         )
-        return own + [r[0] for r in elsewhere.collect()]
+        return [r[0] for r in found.collect()]
 
     def _rebalanced(self, df: DataFrame, table: Table) -> DataFrame:
         """Rows of one partition brought together, large partitions cut into even files."""
@@ -205,12 +297,43 @@ class TableStore:
             writer = writer.partitionBy(table.partition_by)
         return writer
 
-    def _write_partitions(self, table: Table, df: DataFrame) -> dict:
-        """Dynamic overwrite: exactly the partitions with rows are exchanged at commit."""
+    def _write_partitions(
+        self, table: Table, df: DataFrame, replaced: Iterable[object] = ()
+    ) -> dict:
+        """Publish `df` in place of the partitions it has rows of; others `replaced` go."""
         seen, observed = self._observed(self._rebalanced(df, table), table)
-        self._writer(observed, table).parquet(self.path(table))
+        stage, target = self._new_stage(table), self.path(table)
+        self._writer(observed, table).parquet(stage)
+        steps: list[publishing.Step] = [
+            (f"{stage}/{name}", f"{target}/{name}")
+            for name in self._partition_names(stage, table.partition_by)
+        ]
+        self.files.make_folder(target)
+        emptied = set(replaced) - set(seen.get["partitions"])
+        folders = self._folders(table)
+        steps += [(None, f"{target}/{folders[v]}") for v in emptied if v in folders]
+        self._publish(table, steps, [stage])
         return seen.get
 
+    def _new_stage(self, table: Table) -> str:
+        """Where a load is written first; what loads cut off earlier have left is removed."""
+        self.recover(table)
+        above, name = self.path(table).rsplit("/", 1)
+        for left in self.files.names(above):
+            if left.startswith(f"{name}__stage_"):
+                self.files.delete(f"{above}/{left}")
+        return f"{above}/{name}__stage_{uuid.uuid4().hex}"
+
+    def _publish(
+        self, table: Table, steps: Sequence[publishing.Step], leftovers: Sequence[str] = ()
+    ) -> None:
+        if self.read_only:
+            raise PermissionError(f"{table.name}: this store is read-only")
+        publishing.publish(self.files, self._intent(table), steps, leftovers)
+
+    def _intent(self, table: Table) -> str:
+        return f"{self.path(table)}__intent"
+
     def _result(self, table: Table, written: dict, started: float) -> LoadResult:
         return LoadResult(
             table.name,
@@ -220,26 +343,16 @@ class TableStore:
             time.monotonic() - started,
         )
 
-    def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _fs(self, text: str):
-        return self._path(text).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _drop_partitions(self, table: Table, values: Iterable[object]) -> None:
-        for value in values:
-            folder = f"{self.path(table)}/{table.partition_by}={value}"
-            self._fs(folder).delete(self._path(folder), True)
-
-    def _swap_in(self, stage: str, target: str) -> None:
-        fs = self._fs(target)
-        old = f"{target}__old_{uuid.uuid4().hex}"
-        had_one = fs.exists(self._path(target))
-        if had_one and not fs.rename(self._path(target), self._path(old)):
-            raise OSError(f"could not set aside {target}")
-        if not fs.rename(self._path(stage), self._path(target)):
-            if had_one:
-                fs.rename(self._path(old), self._path(target))
-            raise OSError(f"could not publish {target}")
-        if had_one:
-            fs.delete(self._path(old), True)
+    def _partition_names(self, folder: str, column: str) -> list[str]:
+        return [n for n in self.files.names(folder) if n.startswith(f"{column}=")]
+
+    def _folders(self, table: Table) -> dict[object, str]:
+        """Folder name of each partition."""
+        names = self._partition_names(self.path(table), table.partition_by)
+        return {self._value(table, name): name for name in names}
+
+    def _value(self, table: Table, folder: str) -> object:
+        """The value of the partition column that a folder's name stands for."""
+        text = unquote(folder.removeprefix(f"{table.partition_by}="))
+        is_date = table.schema[table.partition_by].dataType == T.DateType()
+        return dt.date.fromisoformat(text) if is_date else text
