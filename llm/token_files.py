@@ -34,7 +34,7 @@ CHECKSUMS = 0x80
 FILE_BYTES, FRAME_BYTES = 16 << 20, 1 << 20
 LEVEL = 3
 # Text that is encoded at once.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 # Rows that one task sorts and writes.
 ROWS_PER_TASK = 50_000
 # Wanted documents that are sent to all executors (8 bytes each).

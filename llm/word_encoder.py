@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words whose ids are remembered, by their number and bytes; beyond, memory starts anew.
-WORDS_HELD, BYTES_HELD = 400_000, 16 << 20
+WORDS_HELD, BYTES_HELD = 300_000, 12 << 20
 _BLANK = "\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 # A run of blanks in which a space stands at third place or later, or ends the text.
 _LONG_RUN = f"[{_BLANK}] [{_BLANK}]|[{_BLANK}] $"
@@ -62,18 +62,15 @@ class WordEncoder:
             self.model._resize_cache(0)
             letters = [c for c in map(chr, range(33, 256)) if re.match(f"[{_LETTERS}]", c)]
             spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.space = spelled.pre_tokenize_str(" ")[0][0]
             self.bytes = {
                 ord(c): spelled.pre_tokenize_str(c)[0][0] for c in [" ", *letters, *_MARKS]
             }
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.stems: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.held = 0
-        self.values = np.zeros(0, self.dtype)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, where each text ends); null is the empty text."""
@@ -98,16 +95,23 @@ class WordEncoder:
         spaced = pc.binary_join_element_wise(
             pa.array(np.where(used & 1, " ", ""), pa.large_string()), spelled, pa.scalar("", pa.large_string())
         )
-        ids, ends = self._gathered(self._rows(spaced)[place[variants]], offsets[1:])
+        found = self._ids(spaced)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        values = np.frombuffer(b"".join(found), self.dtype)
+        rows = place[variants]
+        sizes = sizes[rows]
+        after = np.cumsum(sizes)
+        shift = np.repeat(starts[rows] - (after - sizes), sizes)
+        shift += np.arange(len(shift))
+        ids, ends = values[shift], np.r_[0, after][offsets[1:]]
         if not odd.any():
             return ids, ends
         pieces = np.split(ids, ends[:-1])
         for i in np.flatnonzero(odd):
-            chunks = _CHUNK.findall(texts[i].as_py())
-            rows = self._rows(pa.array(chunks, pa.large_string()))
-            pieces[i] = self._gathered(rows, np.array([len(chunks)]))[0]
-        sizes = [len(p) for p in pieces]
-        return np.concatenate(pieces), np.cumsum(sizes, dtype=np.int64)
+            chunks = self._ids(pa.array(_CHUNK.findall(texts[i].as_py()), pa.large_string()))
+            pieces[i] = np.frombuffer(b"".join(chunks), self.dtype)
+        return np.concatenate(pieces), np.cumsum([len(p) for p in pieces], dtype=np.int64)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [self._library([t])[0] for t in texts]
@@ -119,55 +123,43 @@ class WordEncoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _rows(self, words: pa.Array) -> np.ndarray:
-        """Places of the ids of distinct or repeated words; new words are encoded."""
+    def _ids(self, words: pa.Array) -> list[bytes]:
+        """The ids of each word; those of new words are found and remembered."""
         if len(self.known) > WORDS_HELD or self.held > BYTES_HELD:
             self._forget()
-        known, listed = self.known, words.to_pylist()
-        places = np.fromiter((known.get(w, -1) for w in listed), np.int64, len(listed))
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            self._learn(words.take(pa.array(new)).unique())
-            places[new] = [known[listed[i]] for i in new.tolist()]
-        return places
-
-    def _learn(self, words: pa.Array) -> None:
+        listed = words.to_pylist()
+        out = list(map(self.known.get, listed))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        if new:
+            self._learn([listed[i] for i in new], words.take(pa.array(new, pa.int64())))
+            for i in new:
+                out[i] = self.known[listed[i]]
+        return out
+
+    def _learn(self, listed: list[str], words: pa.Array) -> None:
         stems = pc.utf8_rtrim(words, characters=_MARKS)
         simple = pc.match_substring_regex(stems, f"^ ?[{_LETTERS}]+$").to_pylist()
-        listed, found = words.to_pylist(), []
+        known, others = self.known, []
         for word, stem, cut in zip(listed, stems.to_pylist(), simple, strict=True):
             if not cut:
-                found.append(None)
+                others.append(word)
                 continue
-            ids = self._piece(stem)
-            found.append(ids if len(stem) == len(word) else ids + self._piece(word[len(stem) :]))
-        others = [i for i, ids in enumerate(found) if ids is None]
+            ids = known.get(stem) or self._piece(stem)
+            if len(stem) < len(word):
+                marks = word[len(stem) :]
+                known[word] = ids + (known.get(marks) or self._piece(marks))
         for k in range(0, len(others), 4_096):
             some = others[k : k + 4_096]
-            for i, ids in zip(some, self._library([listed[i] for i in some]), strict=True):
-                found[i] = array(self.code, ids).tobytes()
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        sizes = lengths // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(found), self.dtype)
-        first = len(self.sizes)
-        self.known.update(zip(listed, range(first, first + len(listed)), strict=True))
-        self.starts = np.r_[self.starts, len(self.values) + np.cumsum(sizes) - sizes]
-        self.sizes = np.r_[self.sizes, sizes]
-        self.values = np.r_[self.values, flat]
+            for word, ids in zip(some, self._library(some), strict=True):
+                known[word] = array(self.code, ids).tobytes()
         self.held += words.nbytes
 
     def _piece(self, text: str) -> bytes:
         """Ids of one piece, by the tokenizer's model alone."""
-        ids = self.stems.get(text)
-        if ids is None:
-            found = self.model.tokenize(text.translate(self.bytes))
-            self.stems[text] = ids = array(self.code, [t.id for t in found]).tobytes()
+        if text.isascii() and text[0] == " ":
+            spelled = self.space + text[1:]
+        else:
+            spelled = text.translate(self.bytes)
+        found = self.model.tokenize(spelled)
+        self.known[text] = ids = array(self.code, [t.id for t in found]).tobytes()
         return ids
-
-    def _gathered(self, rows: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = self.sizes[rows]
-        after = np.cumsum(sizes)
-        total = int(after[-1]) if len(after) else 0
-        shift = np.repeat(self.starts[rows] - (after - sizes), sizes)
-        ids = self.values[shift + np.arange(total)]
-        return ids, np.r_[0, after][ends]
