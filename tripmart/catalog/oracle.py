@@ -170,6 +170,19 @@ fact AS (
 )
 
 
+# March 1996 is delivered again: without dropoff zones over 12, and dearer by five.
+_MARCH = "partition_date = DATE '1996-03-01'"
+_RELOADED = (
+    _STG.replace("stg AS (", "delivered AS (")
+    + f""",
+stg AS (
+    SELECT * REPLACE (total_c + CASE WHEN {_MARCH} THEN 500 ELSE 0 END AS total_c)
+    FROM delivered WHERE NOT ({_MARCH} AND do_location_id > 12)
+)"""
+)
+_RELOADED_FACT = _FACT.replace(_STG, _RELOADED)
+
+
 def _mean(cents: str, count: str | None = None) -> str:
     """Average of hundredths, rounded to hundredths."""
     n = count or f"count({cents})"
@@ -262,6 +275,32 @@ _RUN_COLUMNS = """'run-' || user_id AS run_id, event_type AS dag_id, count(*) AS
 
 def statements() -> dict[str, str]:
     """SQL per registered query."""
+    hourly = f"""
+            SELECT d.date_key, d.trip_date, d.trip_year, d.trip_month_num, d.trip_month_name,
+                   d.trip_hour, d.day_of_week, d.is_weekend, d.time_of_day_bucket,
+                   z.borough AS pickup_borough, z.service_zone AS pickup_service_zone,
+                   count(*) AS trip_count,
+                   {_mean('dist_c')} AS avg_distance,
+                   {_mean('fare_c')} AS avg_fare_amount,
+                   {_mean('tip_c')} AS avg_tip,
+                   {_mean('tip_pct_c')} AS avg_tip_pct,
+                   sum(total_c) / 100.0 AS total_revenue,
+                   {_mean('100 * minutes')} AS avg_duration_min,
+                   {_mean('per_mile_c')} AS avg_fare_per_mile
+            FROM fact f JOIN dates d ON f.date_key = d.date_key
+            JOIN zones z ON f.pickup_zone_key = z.location_id
+            GROUP BY ALL"""
+    by_zone = f"""
+            SELECT f.pickup_zone_key, z.zone AS pickup_zone_name,
+                   z.borough AS pickup_borough, z.service_zone, z.borough = 'ASIA' AS is_manhattan,
+                   trip_month, count(*) AS trip_count,
+                   {_mean('dist_c')} AS avg_distance,
+                   {_mean('fare_c')} AS avg_fare,
+                   {_mean('tip_pct_c')} AS avg_tip_pct,
+                   sum(total_c) / 100.0 AS total_revenue,
+                   count(DISTINCT dropoff_zone_key) AS unique_destinations
+            FROM fact f JOIN zones z ON f.pickup_zone_key = z.location_id
+            GROUP BY ALL"""
     return {
         "bronze_conform": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
         "backfill_outcome": f"""WITH {_RAW}
@@ -368,32 +407,10 @@ def statements() -> dict[str, str]:
                    CAST(minutes AS DOUBLE) AS trip_duration_min,
                    per_mile_c / 100.0 AS fare_per_mile, tip_pct_c / 100.0 AS tip_pct, trip_key
             FROM fact""",
-        "agg_hourly_metrics": f"""WITH {_FACT}
-            SELECT d.date_key, d.trip_date, d.trip_year, d.trip_month_num, d.trip_month_name,
-                   d.trip_hour, d.day_of_week, d.is_weekend, d.time_of_day_bucket,
-                   z.borough AS pickup_borough, z.service_zone AS pickup_service_zone,
-                   count(*) AS trip_count,
-                   {_mean('dist_c')} AS avg_distance,
-                   {_mean('fare_c')} AS avg_fare_amount,
-                   {_mean('tip_c')} AS avg_tip,
-                   {_mean('tip_pct_c')} AS avg_tip_pct,
-                   sum(total_c) / 100.0 AS total_revenue,
-                   {_mean('100 * minutes')} AS avg_duration_min,
-                   {_mean('per_mile_c')} AS avg_fare_per_mile
-            FROM fact f JOIN dates d ON f.date_key = d.date_key
-            JOIN zones z ON f.pickup_zone_key = z.location_id
-            GROUP BY ALL""",
-        "agg_zone_summary": f"""WITH {_FACT}
-            SELECT f.pickup_zone_key, z.zone AS pickup_zone_name,
-                   z.borough AS pickup_borough, z.service_zone, z.borough = 'ASIA' AS is_manhattan,
-                   trip_month, count(*) AS trip_count,
-                   {_mean('dist_c')} AS avg_distance,
-                   {_mean('fare_c')} AS avg_fare,
-                   {_mean('tip_pct_c')} AS avg_tip_pct,
-                   sum(total_c) / 100.0 AS total_revenue,
-                   count(DISTINCT dropoff_zone_key) AS unique_destinations
-            FROM fact f JOIN zones z ON f.pickup_zone_key = z.location_id
-            GROUP BY ALL""",
+        "agg_hourly_metrics": f"WITH {_FACT} {hourly}",
+        "hourly_metrics_kept_up": f"WITH {_RELOADED_FACT} {hourly}",
+        "agg_zone_summary": f"WITH {_FACT} {by_zone}",
+        "zone_summary_kept_up": f"WITH {_RELOADED_FACT} {by_zone}",
         "zone_summary_wide": f"""WITH {_STG},
             p AS (
                 SELECT pu_location_id AS zone_id, partition_date AS trip_month,
@@ -532,4 +549,31 @@ def statements() -> dict[str, str]:
                    ts AS started_at, CAST(row_number() OVER (
                        PARTITION BY event_type ORDER BY ts DESC, event_id) AS INTEGER) AS nth
             FROM events QUALIFY nth <= 3""",
+        "upsert_stored": f"""WITH {_STG},{_silver()}
+            SELECT trip_id, (tip_c + CASE WHEN year(partition_date) = 1997 THEN 100 ELSE 0 END)
+                       / 100.0 AS tip_amount,
+                   has_tip,
+                   CAST(CASE WHEN year(partition_date) = 1997
+                             THEN partition_date + INTERVAL 2 MONTH ELSE partition_date END AS DATE)
+                       AS partition_date
+            FROM silver""",
+        "key_index_lookup": f"""WITH {_STG},{_silver()}
+            SELECT partition_date, count(*) AS trips FROM silver
+            WHERE partition_date >= DATE '1997-01-01' AND partition_date < DATE '1997-07-01'
+            GROUP BY ALL""",
+        "yearly_destinations": f"""WITH {_RELOADED}
+            SELECT pu_location_id AS pickup_zone_key, CAST(year(partition_date) AS INTEGER) AS year,
+                   count(DISTINCT do_location_id) AS unique_destinations
+            FROM stg GROUP BY ALL""",
+        "dq_unique_changed": f"""WITH {_STG},{_silver()},
+            stored AS (
+                SELECT trip_id FROM silver
+                UNION ALL SELECT trip_id FROM silver
+                WHERE partition_date = DATE '1997-06-01' AND tip_c > 300000
+                UNION ALL SELECT trip_id FROM silver WHERE year(partition_date) = 1995 AND has_tip
+            )
+            SELECT trip_id, count(*) AS n FROM stored GROUP BY ALL HAVING count(*) > 1""",
+        "compact_small_files": f"""WITH {_STG},{_silver()}
+            SELECT partition_date, count(*) AS trips, sum(tip_c) / 100.0 AS tips, 1 AS files
+            FROM silver GROUP BY ALL""",
     }

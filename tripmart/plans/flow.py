@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.errors import RuleFailed, TripmartError
-from tripmart.operators import merge, quality
+from tripmart.operators import changes, merge, quality
 from tripmart.operators.incremental import in_partitions, past
-from tripmart.plans import bronze, gold, months, silver, staging
+from tripmart.plans import bronze, gold, months, silver, staging, states
 from tripmart.runlog import FAILED, RunLog, record
 from tripmart.sources import files
 from tripmart.store import LoadResult, TableStore
@@ -58,6 +58,8 @@ class Flow:
         self.trips_suite = trips_suite or quality.raw_trips_suite
         # Trips without a passenger count get no trip_key unless keys are null-safe.
         self.null_safe_keys = null_safe_keys
+        self.hours = states.hours_of(store, schemas.SILVER_TRIPS)
+        self.destinations = states.destinations_of(store, schemas.SILVER_TRIPS)
 
     # Bronze
 
@@ -138,30 +140,53 @@ class Flow:
         zones = silver.stamped(silver.zones(staged, self.central))
         return self.store.overwrite(schemas.SILVER_ZONES, zones)
 
-    def test_silver(self) -> None:
+    def test_silver(self, everything: bool = False) -> None:
         """Raise at the first silver rule that does not hold.
 
-        The whole tables are tested: zones are loaded anew each time, and one that is
-        gone makes orphans of months loaded long ago.
+        Trips are tested where they have changed since all rules last held, keys also against
+        all other months, by the key index.  A zone that has gone makes orphans of months loaded long ago:
+        the states of these months tell which.  With `everything`, all trips are read.
         """
-        trips = self.store.read(schemas.SILVER_TRIPS)
-        zones = self.store.read(schemas.SILVER_ZONES)
-        for frame, suite, table in (
-            (trips, quality.SILVER_TRIPS_SUITE, schemas.SILVER_TRIPS),
+        store, table = self.store, schemas.SILVER_TRIPS
+        verified = changes.Verified(store, table)
+        months = store.partitions(table) if everything else verified.changed()
+        trips = in_partitions(store.read(table), months)
+        zones = store.read(schemas.SILVER_ZONES)
+        for frame, suite, of in (
+            (trips, quality.SILVER_TRIPS_SUITE, table),
             (zones, quality.SILVER_ZONES_SUITE, schemas.SILVER_ZONES),
         ):
-            quality.require(quality.run(frame, suite, table.name))
-        _require_none(quality.unique(trips, "trip_id"), "silver_trips_trip_id_unique")
+            quality.require(quality.run(frame, suite, of.name))
+        repeated = changes.repeated_keys(store, table, months)
+        _require_none(repeated, "silver_trips_trip_id_unique")
         _require_none(quality.unique(zones, "location_id"), "silver_zones_location_id_unique")
+        # A lookup of as many rows as a short number has values, at most.
+        present = [r[0] for r in zones.select("location_id").collect()]
+        gone = [] if everything else verified.removed("zones", present)
+        if gone:
+            months = sorted({*months, *self._months_with_zones(gone)})
+            trips = in_partitions(store.read(table), months)
         for column in ("pu_location_id", "do_location_id"):
             orphans = quality.relationships(trips, column, zones, "location_id")
             _require_none(orphans, f"silver_trips_{column}_in_zones")
+        verified.note({"zones": present})
+
+    def _months_with_zones(self, zone_ids: list[int]) -> list[dt.date]:
+        self._refresh_states()
+        found = states.months_with_zones(self.hours.read(), self.destinations.read(), zone_ids)
+        return [r[0] for r in found.collect()]
+
+    def _refresh_states(self) -> None:
+        """Bring the states of silver's months up to date; only months that differ are read."""
+        self.hours.refresh()
+        self.destinations.refresh()
 
     # Gold
 
     def build_gold(self) -> dict[str, LoadResult]:
-        """Rebuild the star schema and its aggregates from silver."""
+        """Rebuild the star schema from silver, and its aggregates from the states of its months."""
         store = self.store
+        self._refresh_states()
         trips = store.read(schemas.SILVER_TRIPS)
         seed = files.read_zone_seed(self.spark, self.seed_path)
         done = {}
@@ -170,7 +195,8 @@ class Flow:
             done[table.name] = store.overwrite(table, df)
             return store.read(table)
 
-        dates = save(schemas.DIM_DATE, gold.laid_out(gold.dim_date(trips), "dim_date"))
+        hours = self.hours.read()
+        dates = save(schemas.DIM_DATE, gold.laid_out(states.dim_date(hours), "dim_date"))
         zones = gold.laid_out(gold.dim_zone(seed, self.central), "dim_zone")
         zones = save(schemas.DIM_ZONE, zones)
         vendors = save(schemas.DIM_VENDOR, gold.dim_vendor(self.spark))
@@ -178,14 +204,31 @@ class Flow:
             trips, dates, zones, vendors, self.null_safe_keys, rows_at_most=trips.count()
         )
         types = {f.name: f.dataType for f in schemas.FACT_TRIPS.schema}
-        fact = save(
+        save(
             schemas.FACT_TRIPS, built.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
         )
-        hourly = gold.agg_hourly_metrics(fact, dates, zones)
-        save(schemas.AGG_HOURLY, gold.laid_out(hourly, "agg_hourly_metrics"))
-        by_zone = gold.agg_zone_summary(fact, zones)
-        save(schemas.AGG_ZONE, gold.laid_out(by_zone, "agg_zone_summary"))
-        return done
+        return done | self._aggregates(dates, zones)
+
+    def refresh_aggregates(self) -> dict[str, LoadResult]:
+        """Bring the aggregates up to date after months were loaded; facts are left alone.
+
+        Of trips, only months that differ from those summed up before are read.
+        """
+        self._refresh_states()
+        dates = states.dim_date(self.hours.read())
+        return self._aggregates(dates, self.store.read(schemas.DIM_ZONE))
+
+    def _aggregates(self, dates: DataFrame, zones: DataFrame) -> dict[str, LoadResult]:
+        hours = self.hours.read()
+        hourly = states.hourly_metrics(hours, dates, zones)
+        by_zone = states.zone_summary(hours, self.destinations.read(), zones)
+        return {
+            table.name: self.store.overwrite(table, gold.laid_out(df, order))
+            for table, df, order in (
+                (schemas.AGG_HOURLY, hourly, "agg_hourly_metrics"),
+                (schemas.AGG_ZONE, by_zone, "agg_zone_summary"),
+            )
+        }
 
     def test_gold(self) -> None:
         """Raise at the first gold rule that does not hold."""

@@ -205,7 +205,7 @@ def fact_measures(
     )
 
 
-def trip_measures(trips: DataFrame) -> DataFrame:
+def trip_measures(trips: DataFrame, *also: str) -> DataFrame:
     """What aggregates need of facts, straight from trips and without any join.
 
     Hours and zones stand for the dimension keys; the aggregates join the dimensions to
@@ -225,6 +225,7 @@ def trip_measures(trips: DataFrame) -> DataFrame:
         calendar.minutes_between(start, end).alias("trip_duration_min"),
         measures.safe_ratio(fare, F.col("trip_distance")).alias("fare_per_mile"),
         measures.safe_pct(tip, fare).alias("tip_pct"),
+        *also,
     )
 
 
@@ -278,18 +279,27 @@ def agg_hourly_metrics(fact: DataFrame, dates: DataFrame, zones: DataFrame) -> D
     partial sums, and the dimension joins see small input that needs no hints.
     Facts with an unknown member find no dimension row and drop out.
     """
-    partial = fact.groupBy("date_key", "pickup_zone_key").agg(
+    return hourly_metrics(hourly_sums(fact, "date_key"), dates, zones)
+
+
+def hourly_sums(trips: DataFrame, *by: str) -> DataFrame:
+    """Counts and sums per pickup zone and `by`, from which all means can be taken later."""
+    return trips.groupBy(*by, "pickup_zone_key").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("total_amount").alias("revenue"),
         *_summed(*_HOURLY_MEASURES),
     )
+
+
+def hourly_metrics(sums: DataFrame, dates: DataFrame, zones: DataFrame) -> DataFrame:
+    """The hourly aggregate from its sums, which may come in any number of parts."""
     where = zones.select(
         F.col("zone_key").alias("pickup_zone_key"),
         F.col("borough").alias("pickup_borough"),
         F.col("service_zone").alias("pickup_service_zone"),
     )
     by_area = (
-        partial.join(where, "pickup_zone_key")
+        sums.join(where, "pickup_zone_key")
         .groupBy("date_key", "pickup_borough", "pickup_service_zone")
         .agg(
             F.sum("trips").alias("trip_count"),
@@ -350,6 +360,20 @@ def agg_zone_summary(fact: DataFrame, zones: DataFrame) -> DataFrame:
         F.count("dropoff_zone_key").alias("unique_destinations"),
         *_resummed(*_ZONE_MEASURES),
     )
+    return _zone_columns(per_zone, zones)
+
+
+def zone_summary(sums: DataFrame, destinations: DataFrame, zones: DataFrame) -> DataFrame:
+    """The zone aggregate from sums (see `hourly_sums`) and destinations, per pickup zone and `trip_month`."""
+    per_zone = sums.groupBy("pickup_zone_key", "trip_month").agg(
+        F.sum("trips").alias("trip_count"),
+        F.sum("revenue").alias("total_revenue"),
+        *_resummed(*_ZONE_MEASURES),
+    )
+    return _zone_columns(per_zone.join(destinations, ["pickup_zone_key", "trip_month"]), zones)
+
+
+def _zone_columns(per_zone: DataFrame, zones: DataFrame) -> DataFrame:
     where = zones.select(
         F.col("zone_key").alias("pickup_zone_key"),
         F.col("zone_name").alias("pickup_zone_name"),
