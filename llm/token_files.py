@@ -36,7 +36,7 @@ LEVEL = 3
 # Text that is encoded at once.
 SLICE_BYTES = 6 << 20
 # Rows that one task sorts and writes.
-ROWS_PER_TASK = 50_000
+ROWS_PER_TASK = 20_000
 # Wanted documents that are sent to all executors (8 bytes each).
 WANTED_SENT = 1_000_000
 END_ID = 0

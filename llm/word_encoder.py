@@ -21,6 +21,11 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = ".,!?;:%$*&#|<>"
 
 
+def _plain(column: pa.Array) -> list:
+    """A column without nulls as a list; faster than going through Arrow's scalars."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that never joins what stands before and after blanks.
 
@@ -127,7 +132,7 @@ class WordEncoder:
         """The ids of each word; those of new words are found and remembered."""
         if len(self.known) > WORDS_HELD or self.held > BYTES_HELD:
             self._forget()
-        listed = words.to_pylist()
+        listed = _plain(words)
         out = list(map(self.known.get, listed))
         new = [i for i, ids in enumerate(out) if ids is None]
         if new:
@@ -138,9 +143,9 @@ class WordEncoder:
 
     def _learn(self, listed: list[str], words: pa.Array) -> None:
         stems = pc.utf8_rtrim(words, characters=_MARKS)
-        simple = pc.match_substring_regex(stems, f"^ ?[{_LETTERS}]+$").to_pylist()
+        simple = _plain(pc.match_substring_regex(stems, f"^ ?[{_LETTERS}]+$"))
         known, others = self.known, []
-        for word, stem, cut in zip(listed, stems.to_pylist(), simple, strict=True):
+        for word, stem, cut in zip(listed, _plain(stems), simple, strict=True):
             if not cut:
                 others.append(word)
                 continue
