@@ -576,4 +576,37 @@ def statements() -> dict[str, str]:
         "compact_small_files": f"""WITH {_STG},{_silver()}
             SELECT partition_date, count(*) AS trips, sum(tip_c) / 100.0 AS tips, 1 AS files
             FROM silver GROUP BY ALL""",
+        "gold_order": f"""WITH {_FACT},
+            hourly AS ({hourly}),
+            by_zone AS ({by_zone})
+            SELECT 'dim_date' AS table, CAST(date_key AS VARCHAR) AS key,
+                   CAST(rank() OVER (ORDER BY date_key) AS INTEGER) AS place
+            FROM dates
+            UNION ALL
+            SELECT 'dim_zone', CAST(location_id AS VARCHAR), rank() OVER (ORDER BY location_id)
+            FROM zones
+            UNION ALL
+            SELECT 'agg_hourly_metrics',
+                   concat_ws('|', date_key, pickup_borough, pickup_service_zone),
+                   rank() OVER (ORDER BY date_key, pickup_borough)
+            FROM hourly
+            UNION ALL
+            SELECT 'agg_zone_summary', concat_ws('|', pickup_zone_key, trip_month),
+                   rank() OVER (ORDER BY trip_count DESC)
+            FROM by_zone""",
+        "curve_order": f"""WITH {_STG},
+            pairs AS (
+                SELECT pu_location_id, do_location_id, count(*) AS trips FROM stg GROUP BY ALL
+            ),
+            laid AS (
+                SELECT *, CAST(list_sum([
+                    ((pu_location_id >> i) & 1) * (1::BIGINT << (2 * i))
+                    + ((do_location_id >> i) & 1) * (1::BIGINT << (2 * i + 1))
+                    FOR i IN range(0, 16)]) AS BIGINT) AS z
+                FROM pairs
+            )
+            SELECT *, CAST(row_number() OVER (ORDER BY z) AS INTEGER) AS place FROM laid""",
+        "equal_depth_splits": f"""WITH {_STG}
+            SELECT nullif(fare_c % 10000, 77) AS cents, 1 AS conditions, count(*) AS trips
+            FROM stg GROUP BY ALL""",
     }

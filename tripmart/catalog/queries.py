@@ -495,14 +495,20 @@ def _runs(events: DataFrame, status: str, path: str) -> DataFrame:
     )
 
 
+def _events(runs: DataFrame, number: int) -> DataFrame:
+    when = F.struct(F.lit(number).cast("bigint").alias("at"), F.lit("").alias("by"), F.lit(0).alias("n"))
+    return runs.withColumns({"opened": when, "logged": when})
+
+
 @query
 def runlog_upsert(spark, folder):
-    """Runs of the first half month are logged, then those of the second half."""
+    """Runs of the first half month are logged, then those of the second half; events are folded."""
     events = sample.table(spark, folder, "events")
     middle = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
-    log = _runs(events.filter(F.col("ts") < middle), "running", "first")
+    first = _runs(events.filter(F.col("ts") < middle), "running", "first")
     later = _runs(events.filter(F.col("ts") >= middle), "success", "second")
-    return runlog.upserted(log, later)
+    logged = _events(later, 2).unionByName(_events(first, 1))
+    return runlog.folded(logged).drop("opened", "logged")
 
 
 @query

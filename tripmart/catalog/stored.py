@@ -7,16 +7,18 @@ lies there after the operation.  Results are read before the next query starts,
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.catalog.queries import REGISTERED, _dim_zone, _silver, _staged, query
-from tripmart.operators import changes
+from tripmart.operators import changes, curve
 from tripmart.operators.staging_area import session_folder
-from tripmart.plans import silver, states
+from tripmart.plans import gold, silver, states
+from tripmart.sources import jdbc
 from tripmart.store import TableStore
 
 __all__ = ["REGISTERED"]
@@ -159,3 +161,60 @@ def compact_small_files(spark, folder):
         F.sum("tip_amount").alias("tips"),
         F.countDistinct("file").alias("files"),
     )
+
+
+def _ranked(df: DataFrame, table: str, key: F.Column) -> DataFrame:
+    """The place at which a gold table, written as it is shown, holds each row.
+
+    Rows that the order leaves equal share the first of their places.
+    """
+    path = session_folder(df.sparkSession)
+    gold.shown(df, table).write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    lying = Window.orderBy("_metadata.file_path", "_metadata.row_index")
+    equal = Window.partitionBy(*gold.SHOWN_BY[table][1:])
+    placed = stored.withColumn("at", F.row_number().over(lying))
+    return placed.select(
+        F.lit(table).alias("table"), key.alias("key"), F.min("at").over(equal).alias("place")
+    )
+
+
+@query
+def gold_order(spark, folder):
+    """Rows of all gold tables that have an order, with their places in the written files."""
+    trips, zones = _staged(spark, folder), _dim_zone(spark, folder)
+    dates, measured = gold.dim_date(trips), gold.trip_measures(trips)
+    text = lambda *c: F.concat_ws("|", *c)
+    hourly = gold.agg_hourly_metrics(measured, dates, zones)
+    by_zone = gold.agg_zone_summary(measured, zones)
+    parts = [
+        _ranked(dates, "dim_date", text("date_key")),
+        _ranked(zones, "dim_zone", text("zone_key")),
+        _ranked(
+            hourly,
+            "agg_hourly_metrics",
+            text("date_key", "pickup_borough", "pickup_service_zone"),
+        ),
+        _ranked(by_zone, "agg_zone_summary", text("pickup_zone_key", "trip_month")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def curve_order(spark, folder):
+    """Pairs of zones along the curve through both, as files laid out by it hold them."""
+    pairs = _staged(spark, folder).groupBy("pu_location_id", "do_location_id")
+    counted = pairs.agg(F.count(F.lit(1)).alias("trips"))
+    z = curve.z_value(F.col("pu_location_id"), F.col("do_location_id"))
+    place = F.row_number().over(Window.orderBy("z"))
+    return counted.withColumn("z", z).withColumn("place", place)
+
+
+@query
+def equal_depth_splits(spark, folder):
+    """Fares of all trips: how many of the conditions for a split JDBC read hold of each."""
+    trips = _staged(spark, folder).select((F.col("fare_amount") * 100).cast("bigint").alias("cents"))
+    trips = trips.withColumn("cents", F.nullif(F.col("cents") % 10_000, F.lit(77)))
+    conditions = jdbc.equal_depth("cents", jdbc.quantile_bounds(trips, "cents", 16))
+    hits = reduce(lambda a, b: a + b, [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions])
+    return trips.groupBy("cents", hits.alias("conditions")).agg(F.count(F.lit(1)).alias("trips"))

@@ -52,31 +52,6 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return untouched(target, source, keys).unionByName(source.select(*target.columns))
 
 
-def partly_updated(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]
-) -> DataFrame:
-    """Like `upserted`, but a matched row takes only the `update` columns.
-
-    They are taken even where the source has NULL; all other columns keep the
-    value of the first insert.
-    """
-    old = target.withColumn("_old", F.lit(True)).alias("old")
-    new = source.withColumn("_new", F.lit(True)).alias("new")
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"old.{key}") == F.col(f"new.{key}"))
-    takes_new = {
-        c: F.col("new._new") if c in update else F.col("old._old").isNull()
-        for c in target.columns
-    }
-    return old.join(new, same, "full_outer").select(
-        *[
-            F.when(take, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-            for c, take in takes_new.items()
-        ]
-    )
-
-
 def with_partitions_replaced(
     target: DataFrame, batch: DataFrame, values: Sequence[object], column: str
 ) -> DataFrame:

@@ -1,9 +1,15 @@
-"""The run log: one small table of load records, with a single writer."""
+"""The run log: records of loads, appended by any number of writers and folded when read.
+
+Each record is an event in a file of its own.  A run's columns come from its first event, those that later
+records may change from its last one.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import json
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -13,8 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.errors import DuplicateKeys
-from tripmart.operators import merge
-from tripmart.schemas import RUN_LOG
+from tripmart.schemas import RUN_EVENTS, RUN_LOG
 from tripmart.store import LoadResult, TableStore
 
 # What a later record of the same run may change.
@@ -44,11 +49,18 @@ def record(**values) -> tuple:
     return tuple(values.get(name) for name in names)
 
 
-def upserted(
-    log: DataFrame, records: DataFrame, update: Sequence[str] = UPDATED_COLUMNS
-) -> DataFrame:
-    """The log after new records; a known run changes in the `update` columns only."""
-    return merge.partly_updated(log, records, RUN_LOG.keys, update)
+def folded(events: DataFrame, update: Sequence[str] = UPDATED_COLUMNS) -> DataFrame:
+    """One event per run: `update` columns, even if NULL, as last logged, all others as first.
+
+    Folding folded events again, with others, gives what folding all of them at once gives.
+    """
+    kept = [c for c in RUN_LOG.schema.names if c not in (*RUN_LOG.keys, *update)]
+    return events.groupBy(*RUN_LOG.keys).agg(
+        *[F.min_by(c, "opened").alias(c) for c in kept],
+        *[F.max_by(c, "logged").alias(c) for c in update],
+        F.min("opened").alias("opened"),
+        F.max("logged").alias("logged"),
+    )
 
 
 def latest(log: DataFrame, n: int, group: str = "dag_id") -> DataFrame:
@@ -64,18 +76,36 @@ def _now() -> dt.datetime:
 class RunLog:
     def __init__(self, store: TableStore):
         self.store = store
+        self._writer = uuid.uuid4().hex
+        self._number = itertools.count()
 
     def read(self) -> DataFrame:
-        self.store.ensure(RUN_LOG)
-        return self.store.read(RUN_LOG)
+        if not self.store.exists(RUN_EVENTS):
+            return self.store.spark.createDataFrame([], RUN_LOG.schema)
+        return folded(self.store.read(RUN_EVENTS)).select(*RUN_LOG.schema.names)
 
     def log(self, *records: tuple) -> None:
         """Add or update records (see `record`); each run may occur once per call."""
         at = [RUN_LOG.schema.names.index(key) for key in RUN_LOG.keys]
         if len({tuple(r[i] for i in at) for r in records}) < len(records):
             raise DuplicateKeys(f"{RUN_LOG.name}: a run occurs twice")
-        new = self.store.spark.createDataFrame(list(records), RUN_LOG.schema)
-        self.store.overwrite(RUN_LOG, upserted(self.read(), new))
+        when = (time.time_ns(), self._writer, next(self._number))
+        events = [(*r, when, when) for r in records]
+        self.store.append(RUN_EVENTS, self.store.spark.createDataFrame(events, RUN_EVENTS.schema))
+
+    def settle(self) -> int:
+        """Fold the files of events there are now into one; how many there were.
+
+        Events that others append meanwhile stay as they are.
+        """
+        if not self.store.exists(RUN_EVENTS):
+            return 0
+        there = self.store.read(RUN_EVENTS).inputFiles()
+        if len(there) > 1:
+            names = RUN_EVENTS.schema.names
+            events = self.store.spark.read.schema(RUN_EVENTS.schema).parquet(*there)
+            self.store.append(RUN_EVENTS, folded(events).select(*names), instead_of=there)
+        return len(there)
 
     def latest(self, n: int) -> DataFrame:
         return latest(self.read(), n)

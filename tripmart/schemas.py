@@ -147,3 +147,17 @@ RUN_LOG = Table(
     keys=("run_id", "dag_id", "task_id"),
     not_null=("run_id", "dag_id", "task_id", "status", "started_at"),
 )
+# Records as they were logged; when a run was first and last written orders its events.
+_WHEN = T.StructType(
+    [
+        T.StructField("at", T.LongType()),
+        T.StructField("by", T.StringType()),
+        T.StructField("n", T.IntegerType()),
+    ]
+)
+RUN_EVENTS = Table(
+    "log/pipeline_run_events",
+    T.StructType(
+        [*RUN_LOG.schema, T.StructField("opened", _WHEN), T.StructField("logged", _WHEN)]
+    ),
+)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.errors import SchemaChanged
-from tripmart.operators import merge, packing, publishing
+from tripmart.operators import curve, merge, packing, publishing
 from tripmart.operators.key_index import KeyIndex
 from tripmart.operators.staging_area import staged_meanwhile
 from tripmart.schemas import Table
@@ -157,6 +157,31 @@ class TableStore:
         seconds = time.monotonic() - started
         return LoadResult(table.name, rows, self.path(table), partitions, seconds)
 
+    def append(self, table: Table, df: DataFrame, instead_of: Sequence[str] = ()) -> None:
+        """Add a few rows as one file to an unpartitioned table, whoever else is adding some.
+
+        The file is moved in by one rename, so that it is there or not.  `instead_of` names files
+        whose place it takes.
+        """
+        self._require_schema(table, df)
+        if self.read_only:
+            raise PermissionError(f"{table.name}: this store is read-only")
+        stage = f"{self.path(table)}__append_{uuid.uuid4().hex}"
+        df.coalesce(1).write.parquet(stage)
+        self.files.make_folder(self.path(table))
+        steps: list[publishing.Step] = [
+            (f"{stage}/{name}", f"{self.path(table)}/{name}")
+            for name in self.files.names(stage)
+            if name.startswith("part-")
+        ]
+        if instead_of:
+            gone = [(None, file) for file in instead_of]
+            publishing.publish(self.files, self._intent(table), [*steps, *gone], [stage])
+        else:
+            for source, target in steps:
+                self.files.rename(source, target)
+            self.files.delete(stage)
+
     def compact(
         self,
         table: Table,
@@ -217,6 +242,31 @@ class TableStore:
         self._publish(table, steps, [stage])
         return self._result(table, seen.get, started)
 
+    def cluster(
+        self,
+        table: Table,
+        columns: Sequence[str],
+        values: Sequence[object],
+        *,
+        file_bytes: int = packing.TARGET,
+        rows_per_group: int | None = None,
+    ) -> LoadResult:
+        """Lay the named partitions out along a curve through `columns` (see `operators.curve`).
+
+        Filters on any of the columns then find most row groups out of range.
+        """
+        started = time.monotonic()
+        part = F.col(table.partition_by)
+        named = {self._folders(table).get(v) for v in values}
+        sizes = packing.file_sizes(self.spark, self.path(table))
+        held = sum(size for folder, _, size in sizes if folder in named)
+        parts = max(1, -(-held // file_bytes), len(values))
+        stored = self.read(table, part.isin(list(values)))
+        ordered = curve.along_curve(stored, columns, parts, [table.partition_by])
+        options = {"parquet.block.row.count.limit": rows_per_group} if rows_per_group else {}
+        written = self._write_partitions(table, ordered, values, in_order=True, **options)
+        return self._result(table, written, started)
+
     # Helpers
 
     def _merge(self, table: Table, source: DataFrame, keys: list[str]) -> tuple[object, ...]:
@@ -298,12 +348,21 @@ class TableStore:
         return writer
 
     def _write_partitions(
-        self, table: Table, df: DataFrame, replaced: Iterable[object] = ()
+        self,
+        table: Table,
+        df: DataFrame,
+        replaced: Iterable[object] = (),
+        in_order: bool = False,
+        **options,
     ) -> dict:
-        """Publish `df` in place of the partitions it has rows of; others `replaced` go."""
-        seen, observed = self._observed(self._rebalanced(df, table), table)
+        """Publish `df` in place of the partitions it has rows of; others `replaced` go.
+
+        Rows are brought together by partition, unless they are to be written in their order.
+        """
+        rows = df if in_order else self._rebalanced(df, table)
+        seen, observed = self._observed(rows, table)
         stage, target = self._new_stage(table), self.path(table)
-        self._writer(observed, table).parquet(stage)
+        self._writer(observed, table).options(**options).parquet(stage)
         steps: list[publishing.Step] = [
             (f"{stage}/{name}", f"{target}/{name}")
             for name in self._partition_names(stage, table.partition_by)
