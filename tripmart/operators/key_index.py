@@ -83,10 +83,10 @@ class KeyIndex(Summary):
         keyed = _not_null(df.select(part, *self.keys), self.keys)
         whole = F.struct(*self.keys)
         sizes = keyed.groupBy(part).agg(
-            F.count(F.lit(1)).alias("n"), F.min(whole).alias("low"), F.max(whole).alias("high")
+            F.count(F.lit(1)).alias("_keys"), F.min(whole).alias("low"), F.max(whole).alias("high")
         )
         # One row per partition that is made anew.
-        rows = [(r[part], blocks_for(r["n"]), r["low"], r["high"]) for r in sizes.collect()]
+        rows = [(r[part], blocks_for(r["_keys"]), r["low"], r["high"]) for r in sizes.collect()]
         fields = {f.name: f for f in self.table.schema}
         held = T.StructType([fields[c] for c in (part, "blocks", "low", "high")])
         sized = keyed.join(F.broadcast(df.sparkSession.createDataFrame(rows, held)), part)

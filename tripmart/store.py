@@ -87,7 +87,7 @@ class TableStore:
             listed.setdefault(folder, []).append(name)
         return {
             self._value(table, folder): hashlib.sha256("/".join(sorted(names)).encode()).hexdigest()
-            for folder, names in listed.items()
+            for folder, names in sorted(listed.items())
         }
 
     def key_index(self, table: Table) -> KeyIndex:
