@@ -117,7 +117,10 @@ def common_lines(docs: DataFrame, host: str, share: float, at_least: int) -> Dat
         F.xxhash64("text").alias("key"),
         F.array_distinct(hashes).alias("lines"),
     )
-    lines = whole.select("host", "doc_id", "key", F.explode("lines").alias("line"))
+    # An outer explode: a plain one lets Spark ask first whether there is any line, which hashes all
+    # lines twice.
+    lines = whole.select("host", "doc_id", "key", F.explode_outer("lines").alias("line"))
+    lines = lines.filter("line is not null")
     counts = (
         lines.groupBy("host", "line")
         .agg(F.countDistinct("key").alias("n"))
