@@ -169,9 +169,18 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
     strong = F.greatest(F.lit(1), F.ceil((1 - w) * lost + w * gained - 1e-6))
     weak = F.greatest(F.lit(1), F.ceil(w * size + lost - (1 - w) * hub_size - 1e-6))
     n = lost + gained
-    marks = differ(pairs).select(
+    # Joined while there is one row per node: marks are many for a node that differs much.
+    placed = open_.select(
+        F.col("hub").alias("a"),
+        F.col("node").alias("b"),
+        "component",
+        (F.col("similarity") >= threshold).alias("near"),
+    )
+    marks = differ(pairs).join(placed, ["a", "b"]).select(
         F.col("a").alias("hub"),
         F.col("b").alias("node"),
+        "component",
+        "near",
         (n - strong + 1).alias("strong"),
         (n - weak + 1).alias("weak"),
         n.alias("size"),
@@ -190,13 +199,12 @@ def _sharing(open_: DataFrame, differ: Differ, threshold: float, scratch: Scratc
         marks.join(common, ["hub", "mark"])
         .withColumn("rank", F.row_number().over(own))
         .filter((F.col("n") > 1) & (F.col("rank") <= F.greatest("strong", "weak")))
-        .join(open_.select("hub", "node", "component", "similarity"), ["hub", "node"])
         .select(
             "hub",
             "mark",
             "node",
             "component",
-            (F.col("similarity") >= threshold).alias("near"),
+            "near",
             (F.col("rank") <= F.col("strong")).alias("strong"),
             (F.col("rank") <= F.col("weak")).alias("weak"),
             (F.col("size") - F.col("rank") + 1).alias("left"),
