@@ -245,7 +245,7 @@ def test_hot_groups_do_not_change_ids_or_keys(raw_trip):
     rows = [dict(dropoff_datetime=f"2024-01-15 09:{i % 60:02d}:00") for i in range(90)]
     rows += [dict(passenger_count=None)] * 30 + [dict(vendor_id=i) for i in range(9)]
     staged = staging.trips(raw_trip(*rows))
-    cut = dict(hot_rows=10, probe_share=1, copies_per_task=4)
+    cut = dict(hot_rows=10, copies_per_task=4)
 
     def ids(df, column):
         return sorted(

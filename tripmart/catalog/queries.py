@@ -155,8 +155,8 @@ def silver_trip_id(spark, folder):
 def silver_trip_id_hot(spark, folder):
     """Ids where a third of the trips share one group, numbered piecewise.
 
-    The bound for a hot group is low and every row is probed, so that groups of supplied
-    sizes take the way of the largest ones.
+    The bound for a hot group is low, so that groups of supplied sizes take the way of the largest
+    ones.
     """
     crowded = F.day("dropoff_datetime") <= 10
     year = F.trunc("partition_date", "year").cast("timestamp_ntz")
@@ -167,7 +167,7 @@ def silver_trip_id_hot(spark, folder):
             "pickup_datetime": F.when(crowded, year).otherwise(F.col("pickup_datetime")),
         }
     )
-    ids = silver.trip_ids(skewed, hot_rows=20, probe_share=1)
+    ids = silver.trip_ids(skewed, hot_rows=20)
     return ids.select("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime")
 
 

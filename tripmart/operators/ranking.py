@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,9 +13,9 @@ from tripmart.operators.staging_area import staged
 
 # A group of about this many rows is numbered piecewise instead of by one task.
 HOT_ROWS = 1_000_000
-# Share of rows looked at to find hot groups.  It only steers which of two exact
-# ways a group takes, so it cannot change a result.
-PROBE_SHARE = 0.01
+# Most groups that a summary of frequent ones may track, and how many it tracks for each group that
+# could be hot: its counts are off by no more than about a quarter of `hot_rows` then.
+MOST_TRACKED, TRACKED_PER_HOT = 1_000_000, 16
 # Copies restored from one counted row within one task.
 COPIES_PER_TASK = 1_000_000
 
@@ -28,16 +29,15 @@ def numbered(
     cluster_by: Sequence[str] = (),
     rows_at_most: int | None = None,
     hot_rows: int = HOT_ROWS,
-    probe_share: float = PROBE_SHARE,
     copies_per_task: int = COPIES_PER_TASK,
 ) -> DataFrame:
     """`df` with `row_number()` over `partition_by` in the order of `order_by`.
 
     The order is completed with all remaining columns, so only exact copies tie
     and the numbers are reproducible.  One window shuffle serves ordinary groups.
-    Groups with about `hot_rows` rows or more are found by a probe and numbered
-    across many tasks.  No probe runs if `rows_at_most`, a bound on the rows of
-    `df` known to the caller, rules such groups out.
+    Groups with `hot_rows` rows or more are found by a summary and numbered across many tasks;
+    for that, `df` is evaluated once and written.  Neither is done if `rows_at_most`, a bound on
+    the rows of `df` known to the caller, rules such groups out.
 
     `cluster_by`, some of the `partition_by` columns, is what the shuffle goes by,
     so that later steps grouping by these and other columns need none of their own.
@@ -46,7 +46,10 @@ def numbered(
     order = [*order_by, *rest]
     may_be_hot = rows_at_most is None or rows_at_most >= hot_rows
     probed_by = cluster_by or partition_by
-    hot = staged(_hot_groups(df, probed_by, hot_rows, probe_share)) if may_be_hot else None
+    hot = None
+    if may_be_hot:
+        df = staged(df)
+        hot = staged(_hot_groups(df, probed_by, hot_rows))
     any_hot = hot is not None and bool(hot.limit(1).count())
     ordinary, in_hot = df, None
     if any_hot:
@@ -70,15 +73,21 @@ def _group_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns)
 
 
-def _hot_groups(
-    df: DataFrame, columns: Sequence[str], hot_rows: int, probe_share: float
-) -> DataFrame:
-    """(group): hashes of all groups that hold `hot_rows` rows, going by the probe."""
-    probed = df.select(_group_hash(columns).alias("group"))
-    if probe_share < 1:
-        probed = probed.sample(probe_share, seed=7)
-    sizes = probed.groupBy("group").count().filter(F.col("count") >= hot_rows * probe_share)
-    return sizes.select("group")
+def _hot_groups(df: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFrame:
+    """(group): hashes of all groups that hold `hot_rows` rows, and maybe of some that hold fewer.
+
+    Tasks sum up their rows in summaries of frequent items, which are merged.  A group's count
+    in it is never too small, and groups that it drops are smaller than its error.  Where that
+    would need a summary too large, groups are counted one by one.
+    """
+    groups = df.select(_group_hash(columns).alias("group"))
+    tracked = max(64, TRACKED_PER_HOT * math.ceil(df.count() / hot_rows))
+    if tracked > MOST_TRACKED:
+        sizes = groups.groupBy("group").count()
+        return sizes.filter(F.col("count") >= hot_rows).select("group")
+    top = groups.agg(F.expr(f"approx_top_k(`group`, {tracked}, {tracked})").alias("top"))
+    found = top.select(F.explode("top").alias("found"))
+    return found.filter(F.col("found.count") >= hot_rows).select(F.col("found.item").alias("group"))
 
 
 def _numbered_piecewise(
