@@ -10,7 +10,7 @@ from tripmart import schemas
 from tripmart.errors import MissingColumns, SourceMissing
 from tripmart.plans import bronze
 from tripmart.sources import files
-from tripmart.sources.jdbc import Split, jdbc_options
+from tripmart.sources.jdbc import Split, equal_depth, jdbc_options, quantile_bounds
 
 from tests.conftest import HEADER, JANUARY, TWO_TRIPS, write_lines
 
@@ -108,3 +108,32 @@ def test_jdbc_options():
         "dbtable": "t",
         "fetchsize": "1000",
     }
+
+
+def test_equal_depth_splits_hold_of_each_row_once(spark):
+    """Skewed values, all alike, none at all; NULLs."""
+    import random
+
+
+
+    rng = random.Random(2)
+    shapes = {
+        "skewed": [int(rng.paretovariate(0.7)) % 10**9 for _ in range(3_000)] + [None] * 50,
+        "alike": [5] * 500 + [None],
+        "negative": [rng.randrange(-10**12, 10**12) for _ in range(500)],
+        "none": [None, None],
+        "empty": [],
+    }
+    for name, values in shapes.items():
+        df = spark.createDataFrame([(v,) for v in values], "v bigint")
+        conditions = equal_depth("v", quantile_bounds(df, "v", 8))
+        counts = [df.filter(c).count() for c in conditions]
+        assert sum(counts) == len(values), name
+        hits = sum([F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions], F.lit(0))
+        assert df.filter(hits != 1).count() == 0, name
+        if name in ("skewed", "negative"):
+            top = max(values.count(v) for v in set(values) - {None}) if name == "skewed" else 0
+            assert max(counts[:-1]) <= len(values) / 8 * 1.5 + top, (name, counts)
+    doubles = spark.createDataFrame([(x / 7,) for x in range(700)], "v double")
+    conditions = equal_depth("v", quantile_bounds(doubles, "v", 4))
+    assert sum(doubles.filter(c).count() for c in conditions) == 700

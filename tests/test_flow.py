@@ -176,3 +176,89 @@ def test_orphans_fail_the_silver_tests(flow, deliver):
         flow.run([JANUARY])
     row = flow.log.read().filter(F.col("task_id") == "test_silver").first()
     assert row.status == "failed"
+
+
+def test_a_second_backfill_reads_no_trip_file(flow, deliver, monkeypatch):
+    for number in (1, 2, 3):
+        deliver(dt.date(2024, number, 1), *[_in_month(t, number) for t in TWO_TRIPS])
+    end = dt.date(2024, 3, 31)
+    first = flow.backfill(JANUARY, end)
+    assert (first.succeeded, first.unchanged) == ([JANUARY, FEBRUARY, MARCH], [])
+    loaded, opened = _silver(flow), []
+    real = files.open_source
+    monkeypatch.setattr(
+        files, "open_source", lambda spark, path: opened.append(path) or real(spark, path)
+    )
+    second = flow.backfill(JANUARY, end)
+    assert (second.succeeded, second.unchanged, opened) == ([], [JANUARY, FEBRUARY, MARCH], [])
+    # Another delivery of one month is loaded, and nothing else.
+    deliver(FEBRUARY, *[_in_month(t, 2) for t in TWO_TRIPS], _in_month(TWO_TRIPS[0], 2).replace("14.5", "15.5"))
+    third = flow.backfill(JANUARY, end)
+    assert (third.succeeded, third.unchanged) == ([FEBRUARY], [JANUARY, MARCH])
+    assert {p for p in opened if "tripdata" in p} == {files.trip_path(deliver.root, FEBRUARY)}
+    assert len(_silver(flow)) == len(loaded) + 1
+    assert flow.backfill(JANUARY, JANUARY, again=True).succeeded == [JANUARY]
+
+
+def test_two_writers_of_the_run_log_lose_nothing(flow):
+    """Each begins runs of its own while the other's are open; one folds the files meanwhile."""
+    from tripmart.runlog import RUNNING, SUCCESS, RunLog, record
+
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    logs = [RunLog(flow.store), RunLog(TableStore(flow.spark, flow.store.root))]
+
+    def write(log, run, status, **more):
+        log.log(record(run_id=run, dag_id="d", task_id="t", status=status, started_at=at, **more))
+
+    for n in range(3):
+        for i, log in enumerate(logs):
+            write(log, f"{i}-{n}", RUNNING, delta_path="first", rows_written=1)
+        if n == 1:
+            assert logs[0].settle() == 6
+        for i, log in enumerate(logs):
+            write(log, f"{i}-{n}", SUCCESS, delta_path="second", error_message=None)
+    want = {(f"{i}-{n}", "success", "first", None) for i in range(2) for n in range(3)}
+
+    def found():
+        return {(r.run_id, r.status, r.delta_path, r.rows_written) for r in logs[1].read().collect()}
+
+    assert found() == want
+    assert logs[1].settle() > 1 and found() == want and logs[0].settle() == 1
+
+
+def test_rows_are_found_by_either_column_of_a_curve(spark, tmp_path):
+    """After laying out along the curve, a filter on one column is met by few row groups."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+
+    from tripmart.schemas import Table
+
+    table = Table(
+        "t/trips",
+        T.StructType(
+            [
+                T.StructField("zone", T.ShortType()),
+                T.StructField("hour", T.LongType()),
+                T.StructField("month", T.DateType()),
+            ]
+        ),
+        partition_by="month",
+    )
+    store = TableStore(spark, str(tmp_path / "curve"))
+    rows = spark.range(64_000).selectExpr(
+        "cast(id % 256 as smallint) zone", "(id * 7919) % 743 as hour", "date'2024-01-01' month"
+    )
+    store.overwrite(table, rows)
+    store.cluster(table, ["zone", "hour"], [JANUARY], file_bytes=16 << 10, rows_per_group=1_000)
+    assert store.read(table).count() == 64_000
+    folder = tmp_path / "curve/t/trips/month=2024-01-01"
+    groups = []
+    for file in folder.glob("part-*"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            each = [meta.row_group(g).column(c).statistics for c in range(2)]
+            groups.append([(s.min, s.max) for s in each])
+    assert len(groups) >= 40
+    for column, value in ((0, 100), (0, 3), (1, 400), (1, 700)):
+        met = sum(g[column][0] <= value <= g[column][1] for g in groups)
+        assert met <= 0.35 * len(groups), (column, value, met, len(groups))

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tripmart.catalog.oracle import statements
-from tripmart.catalog.stored import REGISTERED
+from tripmart.catalog.flows import REGISTERED
 
 from tests.compare import connect, differences
 

@@ -183,6 +183,29 @@ stg AS (
 _RELOADED_FACT = _FACT.replace(_STG, _RELOADED)
 
 
+# Whole loads have all years in one, leave out a month, and name boroughs as the city does.
+_SPOILT = "partition_date = DATE '1995-07-01'"
+_FLOW_ALL = (
+    _RAW.replace("raw AS (", "of_years AS (")
+    + """,
+delivered AS (
+    SELECT * EXCLUDE (k) REPLACE (
+        pickup_datetime - to_years(k) AS pickup_datetime,
+        dropoff_datetime - to_years(k) AS dropoff_datetime,
+        CAST(date_trunc('month', pickup_datetime - to_years(k)) AS DATE) AS partition_date)
+    FROM (SELECT *, CAST(year(partition_date) - 1995 AS INTEGER) AS k FROM of_years)
+)"""
+)
+_FLOW_RAW = f"{_FLOW_ALL},\nraw AS (SELECT * FROM delivered WHERE NOT {_SPOILT})"
+_FLOW_STG = _STG.replace(_RAW, _FLOW_RAW)
+_FLOW_ZONES = _ZONES.replace(
+    "r_name AS borough",
+    """CASE r_name WHEN 'AFRICA' THEN 'Bronx' WHEN 'AMERICA' THEN 'Brooklyn'
+        WHEN 'ASIA' THEN 'Manhattan' WHEN 'EUROPE' THEN 'Queens' ELSE 'EWR' END AS borough""",
+)
+_FLOW_FACT = _FACT.replace(_STG, _FLOW_STG).replace(_ZONES, _FLOW_ZONES)
+
+
 def _mean(cents: str, count: str | None = None) -> str:
     """Average of hundredths, rounded to hundredths."""
     n = count or f"count({cents})"
@@ -275,6 +298,13 @@ _RUN_COLUMNS = """'run-' || user_id AS run_id, event_type AS dag_id, count(*) AS
 
 def statements() -> dict[str, str]:
     """SQL per registered query."""
+    fact = f"""
+            SELECT trip_month, dist_c / 100.0 AS trip_distance, fare_c / 100.0 AS fare_amount,
+                   tip_c / 100.0 AS tip_amount, total_c / 100.0 AS total_amount, passenger_count,
+                   date_key, pickup_zone_key, dropoff_zone_key, vendor_key,
+                   CAST(minutes AS DOUBLE) AS trip_duration_min,
+                   per_mile_c / 100.0 AS fare_per_mile, tip_pct_c / 100.0 AS tip_pct, trip_key
+            FROM fact"""
     hourly = f"""
             SELECT d.date_key, d.trip_date, d.trip_year, d.trip_month_num, d.trip_month_name,
                    d.trip_hour, d.day_of_week, d.is_weekend, d.time_of_day_bucket,
@@ -400,13 +430,7 @@ def statements() -> dict[str, str]:
             SELECT {_trip_key('nullif(passenger_count, 7)')} AS trip_key, pickup_datetime,
                    pu_location_id, nullif(passenger_count, 7) AS passenger_count
             FROM keyed""",
-        "fact_trips": f"""WITH {_FACT}
-            SELECT trip_month, dist_c / 100.0 AS trip_distance, fare_c / 100.0 AS fare_amount,
-                   tip_c / 100.0 AS tip_amount, total_c / 100.0 AS total_amount, passenger_count,
-                   date_key, pickup_zone_key, dropoff_zone_key, vendor_key,
-                   CAST(minutes AS DOUBLE) AS trip_duration_min,
-                   per_mile_c / 100.0 AS fare_per_mile, tip_pct_c / 100.0 AS tip_pct, trip_key
-            FROM fact""",
+        "fact_trips": f"WITH {_FACT} {fact}",
         "agg_hourly_metrics": f"WITH {_FACT} {hourly}",
         "hourly_metrics_kept_up": f"WITH {_RELOADED_FACT} {hourly}",
         "agg_zone_summary": f"WITH {_FACT} {by_zone}",
@@ -609,4 +633,63 @@ def statements() -> dict[str, str]:
         "equal_depth_splits": f"""WITH {_STG}
             SELECT nullif(fare_c % 10000, 77) AS cents, 1 AS conditions, count(*) AS trips
             FROM stg GROUP BY ALL""",
+        "flow_raw_trips": f"WITH {_FLOW_RAW} SELECT {_RAW_COLUMNS} FROM raw",
+        "flow_silver_trips": f"WITH {_FLOW_STG},{_silver()} SELECT {_SILVER_COLUMNS} FROM silver",
+        "flow_lake_trips": f"""WITH {_FLOW_STG},{_silver()}
+            SELECT partition_date, count(*) AS trips, count(DISTINCT trip_id) AS ids,
+                   sum(total_c) / 100.0 AS total_amount
+            FROM silver GROUP BY ALL""",
+        "flow_lake_zones": f"""WITH {_FLOW_ZONES}
+            SELECT *, borough = 'Manhattan' AS is_manhattan,
+                   CASE service_zone WHEN 'Yellow Zone' THEN 'yellow' WHEN 'Boro Zone' THEN 'boro'
+                        WHEN 'EWR' THEN 'ewr' ELSE 'unknown' END AS service_zone_code
+            FROM zones""",
+        "flow_fact_trips": f"WITH {_FLOW_FACT} {fact}",
+        "flow_agg_hourly": f"WITH {_FLOW_FACT} {hourly}",
+        "flow_agg_zone": f"WITH {_FLOW_FACT} {by_zone.replace("'ASIA'", "'Manhattan'")}",
+        "flow_failed_months": f"""WITH {_FLOW_ALL}
+            SELECT partition_date, '0 rows with values that do not fit, ' || count(*)
+                || ' with missing values' AS error_message
+            FROM delivered WHERE {_SPOILT} AND vendor_id = 3 GROUP BY ALL""",
+        "flow_months_loaded": f"""WITH {_FLOW_STG},
+            trips AS (SELECT partition_date, count(*) AS trips FROM stg GROUP BY ALL)
+            SELECT partition_date, 'success' AS status, trips
+            FROM (SELECT DISTINCT partition_date FROM raw)
+            LEFT JOIN trips USING (partition_date)""",
+        "flow_task_states": f"""WITH {_FLOW_STG},
+            n AS (SELECT (SELECT count(*) FROM raw) AS raw, (SELECT count(*) FROM stg) AS stg,
+                         (SELECT count(*) FROM nation) AS zones,
+                         (SELECT count(DISTINCT partition_date) FROM raw) AS months,
+                         (SELECT count(DISTINCT partition_date) FROM delivered
+                          WHERE {_SPOILT} AND vendor_id = 3) AS spoilt)
+            SELECT * FROM (
+                SELECT 'bronze' AS dag_id, 'ingest_trips' AS task_id, 'success' AS status,
+                       1::BIGINT AS runs, raw AS rows FROM n
+                UNION ALL SELECT 'bronze', 'ingest_zones', 'success', 1, zones FROM n
+                UNION ALL SELECT 'bronze', 'validate_trips', 'failed', spoilt, NULL FROM n
+                UNION ALL SELECT 'silver', 'silver_zones', 'success', 1, zones FROM n
+                UNION ALL SELECT 'silver', 'silver_trips', 'success', 1, stg FROM n
+                UNION ALL SELECT 'silver', 'test_silver', 'success', 1, 0 FROM n
+                UNION ALL SELECT 'gold', 'build_gold', 'success', 1, NULL FROM n
+                UNION ALL SELECT 'gold', 'test_gold', 'success', 1, 0 FROM n
+                UNION ALL SELECT 'gold', 'load_fact_trips', 'success', 1, stg FROM n
+                UNION ALL SELECT 'gold', 'load_dim_zones', 'success', 1, zones FROM n
+                UNION ALL SELECT 'backfill', 'load_month', 'success', months, NULL FROM n)
+            WHERE runs > 0""",
+        "flow_gate": f"""WITH {_FLOW_RAW}, rules AS (
+                SELECT partition_date, 0 AS rule_missing,
+                       count(*) FILTER (fare_c < -50000 OR fare_c > 10000000)
+                       + count(*) FILTER (tip_c < -50000 OR tip_c > 10000000)
+                       + count(*) FILTER (total_c < -50000 OR total_c > 10000000) AS amounts,
+                       greatest(count(*) FILTER (fare_c < -50000 OR fare_c > 10000000),
+                                count(*) FILTER (tip_c < -50000 OR tip_c > 10000000),
+                                count(*) FILTER (total_c < -50000 OR total_c > 10000000)) AS worst,
+                       count(*) AS n,
+                       count(*) FILTER (dist_c < 100 AND total_c > 5000000) AS own
+                FROM raw GROUP BY ALL
+            )
+            SELECT partition_date, worst * 100 <= n AND own = 0 AS passed,
+                   CAST((worst * 100 > n)::INTEGER + (own > 0)::INTEGER AS BIGINT) AS failed_rules,
+                   amounts + own AS total_failure_count
+            FROM rules""",
     }

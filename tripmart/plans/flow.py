@@ -15,17 +15,22 @@ from tripmart.errors import RuleFailed, TripmartError
 from tripmart.operators import changes, merge, quality
 from tripmart.operators.incremental import in_partitions, past
 from tripmart.plans import bronze, gold, months, silver, staging, states
-from tripmart.runlog import FAILED, RunLog, record
+from tripmart.runlog import FAILED, SUCCESS, RunLog, record
 from tripmart.sources import files
 from tripmart.store import LoadResult, TableStore
 
 
+# The task under which the run log holds months that went through all layers of a backfill.
+_MONTH_TASK = "load_month"
+
+
 @dataclass
 class BackfillSummary:
-    """Months that went through, and why the others did not."""
+    """Months that went through, why others did not, and those that were loaded before as they are."""
 
     succeeded: list[dt.date] = field(default_factory=list)
     failed: dict[dt.date, str] = field(default_factory=dict)
+    unchanged: list[dt.date] = field(default_factory=list)
 
 
 class Flow:
@@ -272,10 +277,13 @@ class Flow:
         self._silver_and_gold(wanted)
 
     def backfill(
-        self, start: dt.date, end: dt.date, dry_run: bool = False
+        self, start: dt.date, end: dt.date, dry_run: bool = False, again: bool = False
     ) -> list[dt.date] | BackfillSummary:
         """Load all months of a range; months with bad input are reported and left out.
 
+        Months whose file an earlier backfill has loaded as it is now are left alone, unless
+        `again`: the run log keeps what files looked like.
+
         A missing or malformed file, a value that does not fit its type, a NULL where none may
         be, a zone that does not exist, or a rule that does not hold costs only its month.  A dry
         run only returns the months.
@@ -285,7 +293,13 @@ class Flow:
             return wanted
         summary = BackfillSummary()
         usable = {}
-        for month, path in files.trip_paths(self.trips_root, wanted).items():
+        paths = files.trip_paths(self.trips_root, wanted)
+        prints = {m: files.fingerprint(self.spark, path) for m, path in paths.items()}
+        known = {} if again else self._loaded_before()
+        summary.unchanged = [m for m in wanted if prints[m] and known.get(m) == prints[m]]
+        for month, path in paths.items():
+            if month in summary.unchanged:
+                continue
             try:
                 usable[month] = files.read_trips(self.spark, path, month, strict=False)
             except TripmartError as error:
@@ -303,8 +317,38 @@ class Flow:
         self._log_failed(summary.failed)
         if summary.succeeded:
             self._silver_and_gold(summary.succeeded)
+            self._log_months(summary.succeeded, SUCCESS, lambda m: {"source": prints[m]})
         return summary
 
+    def _loaded_before(self) -> dict[dt.date, str]:
+        """Fingerprints of the files that backfills have loaded through all layers; one per month."""
+        done = self.log.read().filter(F.col("task_id") == _MONTH_TASK)
+        done = done.filter(F.col("status") == SUCCESS)
+        source = F.get_json_object("metadata", "$.source").alias("source")
+        rows = done.select("partition_date", "finished_at", source).groupBy("partition_date")
+        latest = rows.agg(F.max_by("source", "finished_at").alias("source"))
+        return {r["partition_date"]: r["source"] for r in latest.collect()}
+
+    def _log_months(
+        self, which: Sequence[dt.date], status: str, metadata: Callable[[dt.date], dict]
+    ) -> None:
+        now = dt.datetime.now(dt.timezone.utc)
+        self.log.log(
+            *[
+                record(
+                    run_id=f"backfill-{month}",
+                    dag_id="backfill",
+                    task_id=_MONTH_TASK,
+                    status=status,
+                    started_at=now,
+                    finished_at=now,
+                    partition_date=month,
+                    metadata=metadata(month),
+                )
+                for month in which
+            ]
+        )
+
     def _misfits(self, sources: dict[dt.date, DataFrame]) -> dict[dt.date, str]:
         """Why months could not be loaded, from two passes over all of them together."""
         if not sources:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def fingerprint(spark: SparkSession, path: str) -> str | None:
+    """What tells a delivered file, or folder of files, from another delivery; None if there is none.
+
+    Names, lengths and times of change; no content is read.
+    """
+    if not path_exists(spark, path):
+        return None
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(
+        f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}"
+        for s in fs.listStatus(hadoop_path)
+        if s.isFile()
+    )
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
 def open_source(spark: SparkSession, path: str) -> DataFrame:
     """The file's rows, lazily; only its footer or header is read here."""
     if not path_exists(spark, path):
