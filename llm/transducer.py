@@ -155,7 +155,7 @@ class Transducer:
         known, words = self.words, (text.rstrip(" ") if self.squeeze else text).split(" ")
         if words == [""]:
             return b""
-        found = [known.get(w) for w in words]
+        found = list(map(known.get, words))
         if None in found:
             for i, packed in enumerate(found):
                 if packed is None:
