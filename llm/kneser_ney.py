@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from llm.scratch import Scratch
 from llm.shingles import word_runs
 
 _U = np.uint64
-# Words of a model's vocabulary; all languages share MOST_WORDS.
+# Words that every task holds, the most frequent ones of each language; all languages share
+# MOST_WORDS.  All other words are looked up by joins.
 WORD_BITS = 18
 MOST_WORDS = 1 << 20
 # The rarest words of the trusted text are unknown words, so that these have a probability.
@@ -24,13 +26,17 @@ LEAST_COUNT = 2
 # Pieces of a language's bigram table; a power of two that leaves 32 bits for the rest.
 SHARD_BITS = 4
 SLICE_BYTES = 4 << 20
+# Text whose bigrams one task takes up in a shard; more text makes copies of the language's shards.
+TEXT_OF_SHARDS = 32 << 30
+# Marks the hash of a word that is not held; held words have numbers from 0 on.
+_LOOSE = -(1 << 63)
 UNKNOWN, EDGE = 0, 1
 _FIRST = 2
 
 
 @dataclass
 class Language:
-    """What scoring needs of one language besides the bigram counts; bounded by the vocabulary."""
+    """What scoring needs of one language besides the bigram counts; bounded by the words held."""
 
     words: np.ndarray  # sorted hashes
     ids: np.ndarray
@@ -39,10 +45,14 @@ class Language:
     total: np.ndarray  # count of a context
     discounts: tuple[float, float, float]
     unknown_types: int
+    partial: bool  # whether the vocabulary has further words
 
     def tokens(self, hashes: np.ndarray) -> np.ndarray:
-        """Word numbers between two edges."""
+        """Words between two edges: numbers of held ones, negative marked hashes of words that may
+        be known beyond them."""
         out = np.full(len(hashes) + 2, UNKNOWN, dtype=np.int64)
+        if self.partial:
+            out[1:-1] = hashes.view(np.int64) | _LOOSE
         out[0] = out[-1] = EDGE
         if len(self.words) and len(hashes):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -114,10 +124,33 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _vocabularies(texts: DataFrame, scratch: Scratch) -> dict[str, tuple[np.ndarray, int]]:
-    """By language, the sorted hashes of its words and the number of all others.
+@dataclass
+class Trained:
+    """Models by language, all bigram counts, and the words that the models do not hold.
+
+    loose (lang, code, lower, total, share) has what a Language has of its words; None if
+    every word is held.
+    """
+
+    models: dict[str, Language]
+    bigrams: DataFrame
+    loose: DataFrame | None
+
+
+def _by_language(values: dict[str, float]) -> Column:
+    out = F.lit(None).cast("double")
+    for lang, value in values.items():
+        out = F.when(F.col("lang") == lang, float(value)).otherwise(out)
+    return out
+
+
+def _vocabularies(
+    texts: DataFrame, scratch: Scratch
+) -> tuple[dict[str, Language], DataFrame | None]:
+    """Languages with the hashes of the words they hold, and (lang, code) of all other words.
 
-    Words are taken from the most frequent count on as long as all of a count fit in.
+    The vocabulary is every word counted LEAST_COUNT times.  Words are held from the most frequent
+    count on as long as all of a count fit in.
     """
     counts = scratch.write(_word_counts(texts))
     capped = F.least("n", F.lit(1_000_000)).alias("n")
@@ -125,29 +158,54 @@ def _vocabularies(texts: DataFrame, scratch: Scratch) -> dict[str, tuple[np.ndar
     for r in counts.select("lang", capped).groupBy("lang", "n").count().collect():
         sizes.setdefault(r["lang"], {})[r["n"]] = r["count"]
     most = min(MOST_WORDS // max(len(sizes), 1), (1 << WORD_BITS) - _FIRST)
-    least = {}
+    least, partial = {}, {}
     for lang, of in sizes.items():
         taken, limit = 0, 1 << 62
-        for n in sorted(of, reverse=True):
-            if n < LEAST_COUNT or taken + of[n] > most:
+        known = [n for n in sorted(of, reverse=True) if n >= LEAST_COUNT]
+        for n in known:
+            if taken + of[n] > most:
                 break
             taken, limit = taken + of[n], n
-        least[lang] = limit
+        least[lang], partial[lang] = limit, taken < sum(of[n] for n in known)
     keep = F.lit(False)
     for lang, limit in least.items():
         keep = keep | ((F.col("lang") == lang) & (F.col("n") >= limit))
     words: dict[str, list[int]] = {lang: [] for lang in sizes}
     for r in counts.filter(keep).select("lang", "word").toLocalIterator():
         words[r["lang"]].append(r["word"])
-    out = {}
+    out, none = {}, np.zeros(0)
     for lang, own in words.items():
         sorted_ = np.sort(np.array(own, dtype=np.int64).view(_U))
-        out[lang] = sorted_, sum(sizes[lang].values()) - len(own)
-    return out
+        ids = np.arange(_FIRST, _FIRST + len(own), dtype=np.int64)
+        unknown = sum(k for n, k in sizes[lang].items() if n < LEAST_COUNT)
+        out[lang] = Language(
+            sorted_, ids, none, none, none, (0.5, 1.0, 1.5), unknown, partial[lang]
+        )
+    if not any(partial.values()):
+        scratch.drop(counts)
+        return out, None
+    code = F.col("word").bitwiseOR(F.lit(_LOOSE)).alias("code")
+    return out, scratch.write(
+        counts.filter(~keep & (F.col("n") >= LEAST_COUNT)).select("lang", code).distinct()
+    )
 
 
-def _bigrams(texts: DataFrame, models: dict[str, Language], scratch: Scratch) -> DataFrame:
-    """(lang, context, word, n) of `texts`."""
+def _known(rows: DataFrame, loose: DataFrame, side: str) -> DataFrame:
+    """`rows` with words in `side` that the vocabulary does not have made unknown.
+
+    Only rows without a number are joined, so that no frequent word is a key of the join.
+    """
+    known = loose.select("lang", F.col("code").alias(side), F.lit(True).alias("known"))
+    found = rows.filter(F.col(side) < 0).join(known, ["lang", side], "left")
+    word = F.when(F.col("known"), F.col(side)).otherwise(F.lit(UNKNOWN).cast("bigint"))
+    found = found.withColumn(side, word).drop("known")
+    return rows.filter(F.col(side) >= 0).unionByName(found)
+
+
+def _bigrams(
+    texts: DataFrame, models: dict[str, Language], loose: DataFrame | None, scratch: Scratch
+) -> DataFrame:
+    """(lang, context, word, n) of `texts`, with numbers of held words and codes of others."""
     held = texts.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,38 +216,44 @@ def _bigrams(texts: DataFrame, models: dict[str, Language], scratch: Scratch) ->
                 for lang in dict.fromkeys(langs):
                     model = held.value[lang]
                     own = [model.tokens(hashes[i]) for i in np.flatnonzero(langs == lang)]
-                    pairs = np.concatenate([t[:-1] << WORD_BITS | t[1:] for t in own])
-                    key, n = np.unique(pairs, return_counts=True)
+                    context = np.concatenate([t[:-1] for t in own])
+                    word = np.concatenate([t[1:] for t in own])
+                    context, word, n = _counted(context, word)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(key), pa.string()), key, n],
-                        names=["lang", "pair", "n"],
+                        [pa.array([lang] * len(n), pa.string()), context, word, n],
+                        names=["lang", "context", "word", "n"],
                     )
 
-    counted = texts.mapInArrow(run, "lang string, pair bigint, n bigint")
-    mask = (1 << WORD_BITS) - 1
-    return scratch.write(
-        counted.groupBy("lang", "pair")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            "lang",
-            F.shiftright("pair", WORD_BITS).cast("int").alias("context"),
-            F.col("pair").bitwiseAND(F.lit(mask)).cast("int").alias("word"),
-            "n",
-        )
+    counted = texts.mapInArrow(run, "lang string, context bigint, word bigint, n bigint")
+    total = F.sum("n").alias("n")
+    out = scratch.write(counted.groupBy("lang", "context", "word").agg(total))
+    if loose is None:
+        return out
+    found = _known(_known(out, loose, "context"), loose, "word")
+    return scratch.write(found.groupBy("lang", "context", "word").agg(total))
+
+
+def _counted(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct bigrams and how often each stands there."""
+    held = (context >= 0) & (word >= 0)
+    key, n = np.unique(context[held] << WORD_BITS | word[held], return_counts=True)
+    out = key >> WORD_BITS, key & ((1 << WORD_BITS) - 1), n
+    if held.all():
+        return out
+    rest, m = np.unique(
+        np.stack([context[~held], word[~held]]), axis=1, return_counts=True
     )
+    return tuple(np.concatenate(c) for c in zip(out, (*rest, m), strict=True))
 
 
-def train(texts: DataFrame, scratch: Scratch) -> tuple[dict[str, Language], DataFrame]:
-    """Models of `texts` (lang, text without nulls) and their bigram counts, a written table.
+def train(texts: DataFrame, scratch: Scratch) -> Trained:
+    """Models of `texts` (lang, text without nulls).
 
-    All text is counted by the executors.  The driver holds tables of at most MOST_WORDS words.
+    All text is counted by the executors.  The driver holds what belongs to at most MOST_WORDS
+    words; the others stay in tables, so that the vocabulary has no bound.
     """
-    models = {}
-    for lang, (words, others) in _vocabularies(texts, scratch).items():
-        ids = np.arange(_FIRST, _FIRST + len(words), dtype=np.int64)
-        none = np.zeros(0)
-        models[lang] = Language(words, ids, none, none, none, (0.5, 1.0, 1.5), others)
-    bigrams = _bigrams(texts, models, scratch)
+    models, loose = _vocabularies(texts, scratch)
+    bigrams = _bigrams(texts, models, loose, scratch)
     kinds: dict[str, dict[int, int]] = {}
     for r in bigrams.filter("n <= 4").groupBy("lang", "n").count().collect():
         kinds.setdefault(r["lang"], {})[r["n"]] = r["count"]
@@ -202,26 +266,66 @@ def train(texts: DataFrame, scratch: Scratch) -> tuple[dict[str, Language], Data
     contexts = bigrams.groupBy("lang", "context").agg(
         F.sum("n").alias("n"), *classes, F.count(F.when(F.col("n") > 2, 1)).alias("n3")
     )
-    for r in contexts.toLocalIterator():
+    for r in contexts.filter("context >= 0").toLocalIterator():
         model = models[r["lang"]]
         d = model.discounts
         model.total[r["context"]] = r["n"]
         model.share[r["context"]] = (d[0] * r["n1"] + d[1] * r["n2"] + d[2] * r["n3"]) / r["n"]
-    for r in bigrams.groupBy("lang", "word").count().toLocalIterator():
-        models[r["lang"]].lower[r["word"]] = r["count"]
-    for model in models.values():
+    heads = bigrams.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    for r in heads.filter("word >= 0").toLocalIterator():
+        models[r["lang"]].lower[r["word"]] = r["n"]
+    # How many words follow 1, 2, 3, 4 or more contexts, and how many contexts these are.
+    beyond: dict[str, dict[int, tuple[int, int]]] = {}
+    if loose is not None:
+        classed = heads.filter("word < 0").groupBy("lang", F.least("n", F.lit(5)).alias("k"))
+        for r in classed.agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():
+            beyond.setdefault(r["lang"], {})[r["k"]] = r["words"], r["n"]
+    lower: dict[str, tuple] = {}
+    for lang, model in models.items():
         # The same discounting over the numbers of contexts a word follows; what is left is
         # spread evenly, so that no word is impossible.
-        n = model.lower
-        kinds_of = {k: int((n == k).sum()) for k in range(1, 5)}
-        d = np.array([0.0, *discounts(kinds_of)])[np.minimum(n, 3).astype(int)]
-        left = d[n > 0].sum() / max(n.sum(), 1) if n.any() else 1.0
-        model.lower = np.maximum(n - d, 0) / max(n.sum(), 1) + left / len(n)
-    return models, bigrams
+        n, more = model.lower, beyond.get(lang, {})
+        kinds_of = {k: int((n == k).sum()) + more.get(k, (0, 0))[0] for k in range(1, 5)}
+        d = np.array([0.0, *discounts(kinds_of)])
+        total = n.sum() + sum(m for _, m in more.values())
+        left = d[np.minimum(n, 3).astype(int)].sum()
+        left += sum(d[min(k, 3)] * words for k, (words, _) in more.items())
+        size = len(n) + sum(words for words, _ in more.values())
+        even = (left / total if total else 1.0) / size
+        model.lower = np.maximum(n - d[np.minimum(n, 3).astype(int)], 0) / max(total, 1) + even
+        lower[lang] = *d[1:], max(total, 1), even
+    if loose is None:
+        return Trained(models, bigrams, None)
+    some = [lang for lang, model in models.items() if model.partial]
+
+    def constant(i: int, of: dict[str, tuple]) -> Column:
+        return _by_language({lang: of[lang][i] for lang in some})
+
+    def discounted(n: str, of: dict[str, tuple]) -> Column:
+        return F.when(F.col(n) == 1, constant(0, of)).when(
+            F.col(n) == 2, constant(1, of)
+        ).otherwise(constant(2, of))
+
+    of_word = heads.filter("word < 0").select(
+        "lang",
+        F.col("word").alias("code"),
+        (F.greatest(F.col("n") - discounted("n", lower), F.lit(0.0)) / constant(3, lower)
+         + constant(4, lower)).alias("lower"),
+    )
+    own = {lang: models[lang].discounts for lang in some}
+    of_context = contexts.filter("context < 0").select(
+        "lang",
+        F.col("context").alias("code"),
+        F.col("n").cast("double").alias("total"),
+        (
+            sum(constant(i, own) * F.col(f"n{i + 1}") for i in range(3)) / F.col("n")
+        ).alias("share"),
+    )
+    return Trained(models, bigrams, scratch.write(of_word.join(of_context, ["lang", "code"])))
 
 
-def _packed_model(bigrams: DataFrame, langs: list[str]) -> DataFrame:
-    """(shard, kind 0, data): the counts of shards in pieces."""
+def _packed_model(bigrams: DataFrame, langs: list[str], copies: dict[str, int]) -> DataFrame:
+    """(shard, copy, kind 0, data): the counts of bigrams of held words, in pieces."""
     number = F.lit(-1)
     for i, lang in enumerate(langs):
         number = F.when(F.col("lang") == lang, i).otherwise(number)
@@ -238,36 +342,44 @@ def _packed_model(bigrams: DataFrame, langs: list[str]) -> DataFrame:
                 (s, key[shard == s], np.minimum(n[shard == s], 2**31).astype(np.uint32))
                 for s in np.unique(shard).tolist()
             ]
-            yield _payload([(s, 0, k, c, None, None) for s, k, c in data])
+            yield _payload(
+                [
+                    (s, i, 0, k, c, None, None)
+                    for s, k, c in data
+                    for i in range(copies[langs[s >> SHARD_BITS]])
+                ]
+            )
 
-    rows = bigrams.select(number.alias("lang"), "context", "word", "n")
-    return rows.mapInArrow(run, _PAYLOAD)
+    rows = bigrams.filter("context >= 0 and word >= 0")
+    return rows.select(number.alias("lang"), "context", "word", "n").mapInArrow(run, _PAYLOAD)
 
 
-_PAYLOAD = "shard int, kind int, keys binary, counts binary, docs binary, rows array<binary>"
+_PAYLOAD = "shard int, copy int, kind int, keys binary, counts binary, docs binary, rows array<binary>"
 
 
 def _payload(rows: list[tuple]) -> pa.RecordBatch:
     def packed(x):
         return None if x is None else x.tobytes()
 
-    columns = list(zip(*rows, strict=True)) or [()] * 6
+    columns = list(zip(*rows, strict=True)) or [()] * 7
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(columns[0], pa.int32()),
-            pa.array(columns[1], pa.int32()),
-            *[pa.array([packed(x) for x in c], pa.binary()) for c in columns[2:5]],
-            pa.array(columns[5], pa.list_(pa.binary())),
+            *[pa.array(c, pa.int32()) for c in columns[:3]],
+            *[pa.array([packed(x) for x in c], pa.binary()) for c in columns[3:6]],
+            pa.array(columns[6], pa.list_(pa.binary())),
         ],
         names=[f.split()[0] for f in _PAYLOAD.split(", ")],
     )
 
 
-def _queries(docs: DataFrame, models: dict[str, Language], langs: list[str]) -> DataFrame:
-    """(shard, kind 1, ...): the distinct bigrams of documents, with their documents."""
+def _queries(
+    docs: DataFrame, models: dict[str, Language], langs: list[str], copies: dict[str, int]
+) -> DataFrame:
+    """(shard, copy, kind 1, ...): the distinct bigrams of held words, with their documents."""
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
         for batch in batches:
             for part in _batches(batch):
                 lang = part.column("lang").to_pylist()
@@ -279,8 +391,13 @@ def _queries(docs: DataFrame, models: dict[str, Language], langs: list[str]) ->
                     if not own:
                         continue
                     tokens = [held.value[name].tokens(hashes[i]) for i in own]
-                    pairs = [np.unique(t[:-1] << WORD_BITS | t[1:], return_counts=True)
-                             for t in tokens]
+                    pairs = [
+                        np.unique(
+                            (t[:-1] << WORD_BITS | t[1:])[(t[:-1] >= 0) & (t[1:] >= 0)],
+                            return_counts=True,
+                        )
+                        for t in tokens
+                    ]
                     pair = np.concatenate([p for p, _ in pairs])
                     n = np.concatenate([c for _, c in pairs])
                     doc = np.repeat(np.arange(len(own)), [len(p) for p, _ in pairs])
@@ -293,6 +410,7 @@ def _queries(docs: DataFrame, models: dict[str, Language], langs: list[str]) ->
                             out.append(
                                 (
                                     number << SHARD_BITS | s,
+                                    task % copies[name],
                                     1,
                                     key[at],
                                     n[at].astype(np.uint32),
@@ -305,32 +423,103 @@ def _queries(docs: DataFrame, models: dict[str, Language], langs: list[str]) ->
     return docs.mapInArrow(run, _PAYLOAD)
 
 
-def perplexities(
-    docs: DataFrame, models: dict[str, Language], bigrams: DataFrame, scratch: Scratch
-) -> DataFrame:
+def _loose_parts(docs: DataFrame, trained: Trained) -> DataFrame:
+    """(key, log, n): the part of bigrams with a word that the models do not hold.
+
+    Three joins of such bigrams only: both words with the loose words, and the bigram with its
+    count.  Other than unknown words, no frequent word is a key, and the right sides have a key
+    once, so that adaptive execution may split a large left one.
+    """
+    models = trained.models
+    some = sorted(lang for lang, model in models.items() if model.partial)
+    held = docs.sparkSession.sparkContext.broadcast({lang: models[lang] for lang in some})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _batches(batch):
+                langs, keys = part.column("lang").to_pylist(), part.column("key").to_pylist()
+                for lang, key, hashes in zip(langs, keys, _hashes(part), strict=True):
+                    model = held.value[lang]
+                    t = model.tokens(hashes)
+                    open_ = (t[:-1] < 0) | (t[1:] < 0)
+                    context, word, n = _counted(t[:-1][open_], t[1:][open_])
+                    at, of = np.maximum(context, UNKNOWN), np.maximum(word, UNKNOWN)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([key] * len(n), pa.binary()),
+                            pa.array([lang] * len(n), pa.string()),
+                            *[pa.array(c) for c in (context, word, n)],
+                            *[pa.array(c) for c in (model.total[at], model.share[at])],
+                            pa.array(model.lower[of]),
+                        ],
+                        names=[f.split()[0] for f in _LOOSE_ROWS.split(", ")],
+                    )
+
+    rows = docs.filter(F.col("lang").isin(some)).mapInArrow(run, _LOOSE_ROWS)
+    for side, values in (("context", ["total", "share"]), ("word", ["lower"])):
+        found = trained.loose.select(
+            "lang", F.col("code").alias(side), *[F.col(v).alias(f"own_{v}") for v in values]
+        )
+        known = F.col(f"own_{values[0]}").isNotNull()
+        code = F.when((F.col(side) < 0) & ~known, F.lit(UNKNOWN).cast("bigint"))
+        rows = rows.join(found, ["lang", side], "left").withColumns(
+            {side: F.coalesce(code, F.col(side))}
+            | {v: F.coalesce(f"own_{v}", v) for v in values}
+        )
+        rows = rows.drop(*[f"own_{v}" for v in values])
+    counts = trained.bigrams.filter("context <= 0 or word <= 0").select(
+        "lang", "context", "word", F.col("n").alias("count")
+    )
+    rows = rows.join(counts, ["lang", "context", "word"], "left")
+    d = [_by_language({lang: models[lang].discounts[i] for lang in some}) for i in range(3)]
+    seen = F.col("count") - F.when(F.col("count") == 1, d[0]).when(
+        F.col("count") == 2, d[1]
+    ).otherwise(d[2])
+    seen = F.coalesce(F.greatest(seen, F.lit(0.0)), F.lit(0.0))
+    p = seen / F.greatest("total", F.lit(1.0)) + F.col("share") * F.col("lower")
+    types = _by_language({lang: math.log10(models[lang].unknown_types + 1) for lang in some})
+    log = F.log10(p) - F.when(F.col("word") == UNKNOWN, types).otherwise(0.0)
+    return rows.groupBy("key").agg(
+        F.sum(log * F.col("n")).alias("log"), F.sum("n").cast("double").alias("n")
+    )
+
+
+_LOOSE_ROWS = (
+    "key binary, lang string, context bigint, word bigint, n bigint, "
+    "total double, share double, lower double"
+)
+
+
+def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     """(key, perplexity) of `docs` (key binary, lang, text) in the model of their language.
 
     Bigram counts and the distinct bigrams of documents meet in shards by language and bigram.
-    A shard's counts come first and are held; the documents' bigrams stream past.  Only
-    sums of each document and shard come out.  Rows of equal key add up in sum and number, and so do
-    not change the perplexity.
+    A shard's counts come first and are held; the documents' bigrams stream past.  The shards
+    of a language with much text have copies, between which documents are dealt.  Only
+    sums of each document and shard come out.  Bigrams of words that are not held are joined (see
+    `_loose_parts`).  Rows of equal key add up in sum and number, and so do not change the perplexity.
     """
     spark = docs.sparkSession
+    models = trained.models
     langs = sorted(models)
     held = spark.sparkContext.broadcast(models)
     mask = (1 << WORD_BITS) - 1
-    shards = max(len(langs) << SHARD_BITS, 1)
-    both = _packed_model(bigrams, langs).unionByName(_queries(docs, models, langs))
-    dealt = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    texts = docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in texts.collect()}
+    copies = {lang: 1 + (sizes.get(lang) or 0) // TEXT_OF_SHARDS for lang in langs}
+    shards = max(sum(copies.values()) << SHARD_BITS, 1)
+    model_rows = _packed_model(trained.bigrams, langs, copies)
+    both = model_rows.unionByName(_queries(docs, models, langs, copies))
+    dealt = both.repartition(shards, "shard", "copy").sortWithinPartitions("shard", "copy", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pieces, known, counts = None, [], None, None
         for batch in batches:
             rows, sums, numbers = [], [], []
             for i in range(batch.num_rows):
-                shard, kind, keys, n, doc, names = (c[i].as_py() for c in batch.columns)
-                if shard != at:
-                    at, pieces, known = shard, [], None
+                shard, copy, kind, keys, n, doc, names = (c[i].as_py() for c in batch.columns)
+                if (shard, copy) != at:
+                    at, pieces, known = (shard, copy), [], None
                 key, n = np.frombuffer(keys, np.uint32), np.frombuffer(n, np.uint32)
                 if kind == 0:
                     pieces.append((key, n))
@@ -366,6 +555,8 @@ def perplexities(
                 )
 
     parts = dealt.mapInArrow(run, "key binary, log double, n double")
+    if trained.loose is not None:
+        parts = parts.unionByName(_loose_parts(docs, trained))
     total = parts.groupBy("key").agg(F.sum("log").alias("log"), F.sum("n").alias("n"))
     return total.select("key", F.pow(F.lit(10.0), -F.col("log") / F.col("n")).alias("perplexity"))
 
@@ -412,15 +603,13 @@ def quality_classified(
     usable = docs.filter("lang is not null and text is not null")
     held = F.pmod(F.xxhash64("text"), F.lit(held_out_parts)) == 0
     sample = usable.join(small(trusted, 2_000_000), "doc_id", "left_semi")
-    models, bigrams = train(sample.filter(~held).select("lang", "text"), scratch)
+    trained = train(sample.filter(~held).select("lang", "text"), scratch)
     scored = scratch.write(
         perplexities(
-            _keyed(usable.filter(F.col("lang").isin(sorted(models)))).select(
+            _keyed(usable.filter(F.col("lang").isin(sorted(trained.models)))).select(
                 F.col("_key").alias("key"), "lang", "text"
             ),
-            models,
-            bigrams,
-            scratch,
+            trained,
         )
     )
     reference = (

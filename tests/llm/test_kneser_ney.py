@@ -55,19 +55,25 @@ def _brute(train, texts):
     return out
 
 
-def test_perplexities(spark, invented, monkeypatch):
+@pytest.mark.parametrize(("held", "junk"), [(1 << 20, 0), (0, 0), (300, 0), (1 << 20, 50), (600, 50)])
+def test_perplexities(spark, invented, monkeypatch, held, junk):
+    """Whatever number of words the tasks hold, also beside languages of no use."""
     monkeypatch.setattr(kneser_ney, "SLICE_BYTES", 2000)
+    monkeypatch.setattr(kneser_ney, "MOST_WORDS", held)
+    monkeypatch.setattr(kneser_ney, "TEXT_OF_SHARDS", 3000)
     rng = random.Random(1)
     train = {"a": [invented(rng.randint(0, 80), k) for k in range(40)], "b": ["x y x y z z"] * 3}
     texts = [("a", invented(40, 7)), ("a", train["a"][3]), ("a", ""), ("b", "X y q"), ("b", "z " * 500)]
     rows = [(lang, t) for lang, own in train.items() for t in own]
+    rows += [(f"junk{k}", "one two two") for k in range(junk)]
     scratch = Scratch(spark, "test")
-    models, bigrams = kneser_ney.train(spark.createDataFrame(rows, "lang string, text string"), scratch)
+    trained = kneser_ney.train(spark.createDataFrame(rows, "lang string, text string"), scratch)
+    assert (trained.loose is None) == (held == 1 << 20)
     docs = spark.createDataFrame(
         [(bytes([k]), lang, t) for k, (lang, t) in enumerate(texts)] * 2,
         "key binary, lang string, text string",
     )
-    scored = kneser_ney.perplexities(docs.repartition(3), models, bigrams, scratch)
+    scored = kneser_ney.perplexities(docs.repartition(3), trained)
     got = {r.key[0]: r.perplexity for r in scored.collect()}
     for lang in train:
         at = [k for k, (own, _) in enumerate(texts) if own == lang]
