@@ -12,8 +12,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.carrying import carrying
 from llm.lines import small
 from llm.scratch import Scratch
+from llm.shipping import ship
 from llm.shingles import word_runs
 
 _U = np.uint64
@@ -570,6 +572,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+@carrying("perplexity", "threshold", "kept")
 def quality_classified(
     docs: DataFrame,
     labels: DataFrame,
@@ -590,8 +593,8 @@ def quality_classified(
     labels once.  Null labels and a null doc_id say nothing.  Other columns pass through, existing ones of
     the added names are replaced.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "quality")
+    ship(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "quality")
     base = docs.drop("perplexity", "threshold", "kept")
     trusted = scratch.write(
         labels.filter("doc_id is not null")

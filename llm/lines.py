@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.carrying import carrying
 from llm.linking import bucket_members, linked
 from llm.quality import SPACE, has_word, let
 from llm.scratch import Scratch
 
 # A pair of similarity 0.8 shares no bucket with a chance of 8e-4, one of 0.9 with 2e-6.
 BANDS, ROWS = 10, 3
-# Shingles: this many characters from the start of each word on.
-SHINGLE = 12
-# Shingles at every position; a shorter line is its one shingle.
-SHORT_SHINGLE = 5
+# Characters of a shingle; a shorter line is its one shingle.
+SHINGLE = 5
+# Positions of a line that are looked up together: a character's place in a string is found by
+# counting from its start.
+PIECE = 128
 # Lines of fewer normalised characters stay: only blank ones, which part paragraphs.
 LEAST_CHARS = 1
 # Rows of two or three numbers that are sent to all executors (some 32 bytes each); beyond
@@ -35,20 +37,18 @@ def _plain(line: Column) -> Column:
     return F.lower(F.trim(F.when(odd, F.regexp_replace(line, SPACE, " ")).otherwise(line)))
 
 
-def _word_runs(norm: Column) -> Column:
-    """Character runs from word starts, with repeats; nothing beyond a word's first ones."""
-    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{1,{SHINGLE}}}))\\S+ ?"), F.lit(1))
+def _pieces(norm: Column) -> Column:
+    """A line in pieces that together hold each run of SHINGLE characters once per position."""
+    most = PIECE + SHINGLE - 1
+    whole = f"(?s)(?=(.{{{SHINGLE},{most}}})).{{1,{PIECE}}}"
+    cut = F.regexp_extract_all(norm, F.lit(whole), F.lit(1))
+    return F.when(F.length(norm) <= most, F.array(norm)).otherwise(cut)
 
 
-def _all_runs(norm: Column) -> Column:
-    """Character runs from every position, with repeats; one pass, however long the line is."""
-    each = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHORT_SHINGLE}}}))."), F.lit(1))
-    return F.when(F.length(norm) < SHORT_SHINGLE, F.array(norm)).otherwise(each)
-
-
-def shingles(norm: Column, every_position: bool = False) -> Column:
-    """Distinct character shingles of a normalised line."""
-    return F.array_distinct(_all_runs(norm) if every_position else _word_runs(norm))
+def shingles(norm: Column) -> Column:
+    """Distinct character runs of a normalised line, from every position."""
+    each = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
+    return F.array_distinct(F.when(F.length(norm) < SHINGLE, F.array(norm)).otherwise(each))
 
 
 def _document() -> list[Column]:
@@ -75,20 +75,20 @@ def _place() -> Column:
     return F.struct("late", "doc_id", "version", "at")
 
 
-def _buckets(lines: DataFrame, every_position: bool) -> DataFrame:
+def _buckets(lines: DataFrame) -> DataFrame:
     """(bucket, node): MinHash bands of all distinct lines; node is k1.
 
     One shuffle brings equal lines together.  What follows stays in its partitions: every
-    line's shingles are exploded and, by (k1, k2), the minima of BANDS x ROWS
+    line's shingles are hashed by position and, by (k1, k2), the minima of BANDS x ROWS
     permutations taken.
     """
     distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"))
+    pieces = distinct.select("k1", "k2", F.explode(_pieces(F.col("line"))).alias("piece"))
     # Repeats do not change minima.
-    runs = (_all_runs if every_position else _word_runs)(F.col("line"))
-    each = distinct.select("k1", "k2", F.explode(runs).alias("shingle"))
-    hashed = each.select(
-        "k1", "k2", F.hash("shingle").cast("bigint").bitwiseAND(F.lit(_LOW)).alias("x")
-    )
+    last = F.greatest(F.length("piece") - (SHINGLE - 1), F.lit(1))
+    each = pieces.select("k1", "k2", "piece", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    run = F.col("piece").substr(F.col("at"), F.lit(SHINGLE))
+    hashed = each.select("k1", "k2", F.hash(run).cast("bigint").bitwiseAND(F.lit(_LOW)).alias("x"))
     minima = hashed.groupBy("k1", "k2").agg(
         *[
             F.min((F.col("x") * F.lit(a)).bitwiseAND(F.lit(_LOW))).alias(f"m{k}")
@@ -111,12 +111,11 @@ def removals(
     threshold: float,
     scratch: Scratch,
     *,
-    every_position: bool = False,
     least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """(late, doc_id, version, removed): positions of lines to remove, by document."""
     lines = _lines(docs, least_chars)
-    members = scratch.write(bucket_members(_buckets(lines, every_position), preaggregate=False))
+    members = scratch.write(bucket_members(_buckets(lines), preaggregate=False))
     wanted = scratch.write(members.select("node").distinct())
     places = scratch.write(lines.select("k1", "k2", "late", "doc_id", "version", "at"))
     # One document for each line to compare; only these are read again.
@@ -131,39 +130,48 @@ def removals(
     held = docs.withColumn("_text", F.xxhash64("text")).join(
         small(holders.withColumnRenamed("version", "_text")), "_text", "left_semi"
     )
-    sets = scratch.write(
+    # The lines themselves: their shingles would take many times the room in the joins.
+    texts = scratch.write(
         _lines(held, least_chars)
         .select(F.col("k1").alias("node"), "line")
         .join(small(wanted), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("line").alias("line"))
-        .select("node", shingles(F.col("line"), every_position).alias("shingles"))
     )
+    for superseded in (holders, wanted):
+        scratch.drop(superseded)
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    def joined(pairs: DataFrame) -> DataFrame:
+        left = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
+        right = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
+        return pairs.join(right, "b").join(left, "a")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        same = F.size(F.array_intersect("of_a", "of_b"))
-        union = F.size("of_a") + F.size("of_b") - F.col("same")
-        both = pairs.join(right, "b").join(left, "a").withColumn("same", same)
-        return both.select("a", "b", (F.col("same") / union).alias("similarity"))
+        def similarity(sets: Column) -> Column:
+            same = F.size(F.array_intersect(sets["a"], sets["b"]))
+            return same / (F.size(sets["a"]) + F.size(sets["b"]) - same)
+
+        sets = F.struct(
+            shingles(F.col("line_a")).alias("a"), shingles(F.col("line_b")).alias("b")
+        )
+        return joined(pairs).select("a", "b", let(sets, similarity).alias("similarity"))
 
     def differ(pairs: DataFrame) -> DataFrame:
-        def beyond(one: str, other: str) -> Column:
+        def beyond(one: Column, other: Column) -> Column:
             return F.transform(F.array_except(one, other), lambda e: F.xxhash64(e))
 
-        return (
-            pairs.join(right, "b")
-            .join(left, "a")
-            .select(
-                "a",
-                "b",
-                F.size("of_a").cast("bigint").alias("size_a"),
-                beyond("of_a", "of_b").alias("lost"),
-                beyond("of_b", "of_a").alias("gained"),
+        def compared(sets: Column) -> Column:
+            return F.struct(
+                F.size(sets["a"]).cast("bigint").alias("size_a"),
+                beyond(sets["a"], sets["b"]).alias("lost"),
+                beyond(sets["b"], sets["a"]).alias("gained"),
             )
+
+        sets = F.struct(
+            shingles(F.col("line_a")).alias("a"), shingles(F.col("line_b")).alias("b")
         )
+        found = joined(pairs).select("a", "b", let(sets, compared).alias("of"))
+        return found.select("a", "b", "of.*")
 
     placed = linked(members, verify, differ, threshold, scratch)
     distinct = places.groupBy("k1", "k2").agg(
@@ -188,35 +196,31 @@ def removals(
     )
 
 
+@carrying(*ADDED)
 def line_dedup(
     docs: DataFrame,
     *,
     threshold: float = 0.8,
-    every_position: bool = False,
     least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, n_lines and n_removed.
 
     Lines are compared in lower case with single spaces.  Their shingles are the
-    distinct runs of SHINGLE characters that begin at a word, shorter at the line's end, or with
-    `every_position` those of SHORT_SHINGLE characters from each character on (a shorter line is
-    one shingle), so that every character counts and text without blanks is compared too;
+    distinct runs of SHINGLE characters from each character on (a shorter line is one shingle);
     lines with a Jaccard similarity of `threshold` or more are linked.  Of each component the line
     that comes first by doc_id and place stays.
 
     Blank lines stay, and with a larger `least_chars` all lines of fewer characters (headings, say).
     n_lines counts all lines (parts
     between line feeds), n_removed those taken out.  A null text stays null with 0 lines, an empty one
-    is one empty line.  Of documents that repeat a doc_id, the text's hash decides which
+    is one empty line; a line may be of any length.  An empty table stays empty.  Of documents that repeat a doc_id, the text's hash decides which
     comes first; fully equal rows are one document and lose the same lines.  A null doc_id comes
     last.  Other columns pass through; existing columns of the added names are replaced.
 
     Equal lines are one node, known by a 64-bit hash in links and 128 bits otherwise.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = removals(
-        docs, threshold, scratch, every_position=every_position, least_chars=least_chars
-    ).alias("g")
+    gone = removals(docs, threshold, scratch, least_chars=least_chars).alias("g")
     base = docs.drop(*ADDED)
     late, _, version = _document()
     own = base.withColumns({"_late": late, "_version": version}).alias("d")

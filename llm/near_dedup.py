@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.carrying import carrying
 from llm.linking import bucket_members, linked
 from llm.minhash import Bands
 from llm.scratch import Scratch
 from llm.shingles import jaccard, shingle_sets
+from llm.shipping import ship
 
 # At similarity 0.8, a pair shares no bucket with a chance of 3e-6.
 BANDS, ROWS = 24, 4
@@ -149,6 +151,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, step)
 
 
+@carrying("n_shingles", "component_id", "kept")
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -171,6 +174,7 @@ def near_duplicates(
     and a component without any other has a null component_id and keeps all its rows.
     Further columns pass through; existing columns of the added names are replaced.
     """
+    ship(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "near")
     plan = Bands(bands, rows)
     added = ("n_shingles", "component_id", "kept")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.carrying import carrying
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -141,6 +143,7 @@ def common_lines(docs: DataFrame, host: str, share: float, at_least: int) -> Dat
     )
 
 
+@carrying(*ADDED, named=("host",))
 def quality(
     docs: DataFrame,
     *,

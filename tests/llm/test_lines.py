@@ -8,7 +8,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from llm.lines import LEAST_CHARS, SHINGLE, line_dedup, without_empty
+from llm.lines import LEAST_CHARS, PIECE, SHINGLE, line_dedup, without_empty
 from tests.llm.conftest import jaccard_links
 
 
@@ -16,6 +16,10 @@ def _norm(line):
     return re.sub("[\x20\x09-\x0d]+", " ", line.lower()).strip(" ")
 
 
+def _runs(line):
+    return frozenset(line[i : i + SHINGLE] for i in range(max(len(line) - SHINGLE + 1, 1)))
+
+
 def _brute(rows):
     places = defaultdict(list)
     for n, (doc_id, text, *_) in enumerate(rows):
@@ -23,8 +27,7 @@ def _brute(rows):
             if text is not None and len(_norm(line)) >= LEAST_CHARS:
                 places[_norm(line)].append((doc_id is None, doc_id or 0, text, at, n))
     lines = list(places)
-    shape = re.compile(f"(?s)(?=(.{{1,{SHINGLE}}}))\\S+ ?")
-    links = jaccard_links([frozenset(shape.findall(x)) for x in lines], 0.8)
+    links = jaccard_links([_runs(x) for x in lines], 0.8)
     groups = defaultdict(list)
     for i, x in enumerate(lines):
         groups[links.find(i)] += places[x]
@@ -78,6 +81,16 @@ def test_edges(edges):
     assert line_dedup(edges).count() == edges.count()
 
 
+def test_lines_beyond_one_piece(make_docs, invented):
+    """Lines around the length of a piece, with changes at their ends and at the cuts."""
+    rng, rows = random.Random(3), []
+    for n in (PIECE - 1, PIECE, PIECE + 3, PIECE + 4, PIECE + 5, 2 * PIECE, 2 * PIECE + 4, 2 * PIECE + 9, 2000):
+        line = "".join(rng.choices("abcdefgh水ü ", k=n - 1)) + "x"
+        changed = [line[:-2] + "yy", line[: PIECE - 2] + "zzz" + line[PIECE + 1 :], line[: n // 2]]
+        rows += [(len(rows) + i, x) for i, x in enumerate([line, *changed])]
+    assert _got(line_dedup(make_docs(rows))) == _brute(rows)
+
+
 def test_empty_table_and_emptied_documents(edges, make_docs, invented):
     assert line_dedup(edges.limit(0)).count() == 0
     text = invented(20, 1)

@@ -18,7 +18,7 @@ def _left(lines):
 
 
 def _check(make_docs, lines):
-    rows = line_dedup(make_docs(list(enumerate(lines))), every_position=True).collect()
+    rows = line_dedup(make_docs(list(enumerate(lines)))).collect()
     got = [r.text for r in sorted(rows, key=lambda r: r.doc_id) if not r.n_removed]
     assert got == _left(lines)
     return got
@@ -53,8 +53,8 @@ def test_lines_without_blanks_and_with_other_ends(make_docs):
 def test_short_lines_are_removed_unless_asked_to_stay(make_docs):
     texts = ["Share\n\nfirst text of all", "share \n\n今天天气很好", "SHARE\n\n今天天气很好\nok", "ok\n"]
     docs = make_docs(list(enumerate(texts)))
-    rows = line_dedup(docs, every_position=True).collect()
+    rows = line_dedup(docs).collect()
     left = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
     assert left == [texts[0], "\n今天天气很好", "\nok", ""]
-    rows = line_dedup(docs, every_position=True, least_chars=16).collect()
+    rows = line_dedup(docs, least_chars=16).collect()
     assert [r.text for r in sorted(rows, key=lambda r: r.doc_id)] == texts
