@@ -32,6 +32,8 @@ SLICE_BYTES = 4 << 20
 TEXT_OF_SHARDS = 32 << 30
 # Marks the hash of a word that is not held; held words have numbers from 0 on.
 _LOOSE = -(1 << 63)
+# Bits of the filter that tells which words cannot be known beyond those held.
+FILTER_BITS = 1 << 25
 UNKNOWN, EDGE = 0, 1
 _FIRST = 2
 
@@ -48,13 +50,17 @@ class Language:
     discounts: tuple[float, float, float]
     unknown_types: int
     partial: bool  # whether the vocabulary has further words
+    filter: np.ndarray | None = None  # bits of these words' hashes, shared by all languages
 
     def tokens(self, hashes: np.ndarray) -> np.ndarray:
         """Words between two edges: numbers of held ones, negative marked hashes of words that may
         be known beyond them."""
         out = np.full(len(hashes) + 2, UNKNOWN, dtype=np.int64)
         if self.partial:
-            out[1:-1] = hashes.view(np.int64) | _LOOSE
+            codes = hashes.view(np.int64) | _LOOSE
+            at = codes & (FILTER_BITS - 1)
+            maybe = self.filter[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            out[1:-1] = np.where(maybe == 1, codes, UNKNOWN)
         out[0] = out[-1] = EDGE
         if len(self.words) and len(hashes):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -146,6 +152,16 @@ def _by_language(values: dict[str, float]) -> Column:
     return out
 
 
+def _rooms(words: dict[str, int]) -> dict[str, int]:
+    """How many of its `words` each language may hold; small ones leave their room to others."""
+    out, left = {}, MOST_WORDS
+    for i, lang in enumerate(sorted(words, key=words.get)):
+        share = min(left // (len(words) - i), (1 << WORD_BITS) - _FIRST)
+        out[lang] = min(words[lang], share)
+        left -= out[lang]
+    return out
+
+
 def _vocabularies(
     texts: DataFrame, scratch: Scratch
 ) -> tuple[dict[str, Language], DataFrame | None]:
@@ -159,10 +175,10 @@ def _vocabularies(
     sizes: dict[str, dict[int, int]] = {}
     for r in counts.select("lang", capped).groupBy("lang", "n").count().collect():
         sizes.setdefault(r["lang"], {})[r["n"]] = r["count"]
-    most = min(MOST_WORDS // max(len(sizes), 1), (1 << WORD_BITS) - _FIRST)
+    room = _rooms({k: sum(m for n, m in of.items() if n >= LEAST_COUNT) for k, of in sizes.items()})
     least, partial = {}, {}
     for lang, of in sizes.items():
-        taken, limit = 0, 1 << 62
+        taken, limit, most = 0, 1 << 62, room[lang]
         known = [n for n in sorted(of, reverse=True) if n >= LEAST_COUNT]
         for n in known:
             if taken + of[n] > most:
@@ -187,9 +203,32 @@ def _vocabularies(
         scratch.drop(counts)
         return out, None
     code = F.col("word").bitwiseOR(F.lit(_LOOSE)).alias("code")
-    return out, scratch.write(
+    loose = scratch.write(
         counts.filter(~keep & (F.col("n") >= LEAST_COUNT)).select("lang", code).distinct()
     )
+    scratch.drop(counts)
+    bits = _filter(loose)
+    for model in out.values():
+        model.filter = bits
+    return out, loose
+
+
+def _filter(loose: DataFrame) -> np.ndarray:
+    """A bit for each code's low bits, of FILTER_BITS in all whatever the number of words.
+
+    A word without its bit is unknown for certain; all others are joined, so that a full filter
+    costs time and nothing else.
+    """
+    place = F.col("code").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+    parts = loose.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    out = np.zeros(FILTER_BITS >> 3, dtype=np.uint8)
+    for r in parts.toLocalIterator():
+        own = np.frombuffer(r["bits"], np.uint8)
+        at = (r["part"] - 1) * len(own)
+        out[at : at + len(own)] = own[: len(out) - at]
+    return out
 
 
 def _known(rows: DataFrame, loose: DataFrame, side: str) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 # The classifier is fitted on about this many labelled documents of each language, chosen
 # by a hash of their contents.
 DOCUMENTS_PER_LANGUAGE = 4_000
-# Entries of the model over all languages: words, and n-grams of each length.
-WORDS, GRAMS = 200_000, 40_000
+# Entries of the model for each language: words, and n-grams of each length.  What other
+# languages there are has no effect on them.
+WORDS, GRAMS = 50_000, 10_000
 LONGEST_GRAM = 5
 # Cost (-log10 of the relative frequency) of what a language does not have.
 PENALTY = 7.0
@@ -88,7 +89,7 @@ def fit(
 
     At most about `documents` rows of each language are used (see DOCUMENTS_PER_LANGUAGE).
     Words and n-grams are counted by the executors; the driver gets the most frequent ones,
-    `words` and LONGEST_GRAM x GRAMS entries at most over all languages.
+    `words` and LONGEST_GRAM x GRAMS entries at most of each language.
     """
     labelled = docs.filter("text is not null and lang is not null").select(
         "text", F.col("lang").cast("string").alias("lang")
@@ -134,7 +135,7 @@ def fit(
             "rank": F.row_number().over(share.orderBy(F.desc("n"), "gram")),
         }
     )
-    most = F.when(F.col("size") == 0, words // len(sizes)).otherwise(GRAMS // len(sizes))
+    most = F.when(F.col("size") == 0, words).otherwise(GRAMS)
     rows = ranked.filter(F.col("rank") <= most).select("lang", "gram", "size", "n", "all").collect()
     counts.unpersist()
     number = {name: i for i, name in enumerate(languages)}

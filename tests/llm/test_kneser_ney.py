@@ -55,7 +55,7 @@ def _brute(train, texts):
     return out
 
 
-@pytest.mark.parametrize(("held", "junk"), [(1 << 20, 0), (0, 0), (300, 0), (1 << 20, 50), (600, 50)])
+@pytest.mark.parametrize(("held", "junk"), [(1 << 20, 0), (0, 0), (300, 0), (1 << 20, 50), (300, 50)])
 def test_perplexities(spark, invented, monkeypatch, held, junk):
     """Whatever number of words the tasks hold, also beside languages of no use."""
     monkeypatch.setattr(kneser_ney, "SLICE_BYTES", 2000)
@@ -107,3 +107,9 @@ def test_edges(spark, edges):
             elif r.lang is None or known.count() == 0:
                 assert r.kept and r.perplexity is None and r.threshold is None
     assert quality_classified(edges.limit(0), labels).count() == 0
+
+
+def test_rooms_of_languages(monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MOST_WORDS", 100)
+    assert kneser_ney._rooms({}) == {}
+    assert kneser_ney._rooms({"a": 500, "b": 3, "c": 0, "d": 60}) == {"a": 49, "b": 3, "c": 0, "d": 48}

@@ -73,3 +73,14 @@ def test_edges(edges):
     nothing = fit(edges.limit(0))
     assert {r.lang_pred for r in predicted(edges, nothing).collect()} == {"und"}
     assert predicted(edges.limit(0), model).count() == 0
+
+
+def test_other_languages_take_no_words_away(spark, invented):
+    rows = [(invented(60, k), "a") for k in range(20)]
+    junk = [("x", f"junk{k}") for k in range(50)]
+    alone, beside = (
+        fit(spark.createDataFrame(r, "text string, lang string"), words=400) for r in (rows, rows + junk)
+    )
+    at = beside.languages.index("a")
+    for word, row in alone.row.items():
+        assert beside.costs[beside.row[word]][at] == alone.costs[row][0]
