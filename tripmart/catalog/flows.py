@@ -51,7 +51,8 @@ def _delivered(spark, folder: str, root: str) -> list[dt.date]:
             "month": F.date_format(F.trunc(day, "month"), "yyyy-MM-dd"),
         }
     )
-    named.repartition("month").write.partitionBy("month").parquet(f"{root}/drop")
+    together = named.hint("rebalance", "month").write.option("compression", "zstd")
+    together.partitionBy("month").parquet(f"{root}/drop")
     system, months = Files(spark), []
     system.make_folder(f"{root}/files")
     for name in system.names(f"{root}/drop"):

@@ -60,8 +60,11 @@ def _staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sample.trip_rows(spark, folder)
-    return silver.trips(_staged(spark, folder), rows_at_most=rows)
+    rows, raw = sample.trip_rows(spark, folder), _raw(spark, folder)
+    # Trips are numbered before parts of their times, which no number depends on, make them wider.
+    built = staging.timed(silver.trips(staging.kept(raw), rows_at_most=rows))
+    first = staging.trips(raw).columns
+    return built.select(*first, *[c for c in built.columns if c not in first])
 
 
 def _raw_zones(spark: SparkSession, folder: str) -> DataFrame:

@@ -51,6 +51,8 @@ def repeated_keys(store, table: Table, changed: Sequence[object]) -> DataFrame:
     part, keys = F.col(table.partition_by), list(table.keys)
     rows = store.read(table, part.isin(list(changed))).select(*keys)
     elsewhere = store.partitions_holding(table, rows, keys, changed)
+    if not elsewhere and merge.none_repeated(rows, keys):
+        rows = rows.limit(0)
     if elsewhere:
         others = store.read(table, part.isin(elsewhere)).select(*keys)
         rows = rows.unionByName(others.join(rows, keys, "left_semi"))

@@ -47,11 +47,17 @@ def _masks(keys: Sequence[str]) -> list[Column]:
     return out
 
 
-def _placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`df` (keys, blocks) with each key's block and bits."""
-    block = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.col("blocks"))
-    masks = {f"m{i}": mask for i, mask in enumerate(_masks(keys))}
-    return df.withColumns({"block": block, **masks})
+def _hashed(keys: Sequence[str]) -> Column:
+    """What stands for a key in a filter: its block and its bits come from this."""
+    return F.xxhash64(*keys).alias("_hash")
+
+
+def _block() -> Column:
+    return F.pmod("_hash", "blocks").alias("block")
+
+
+def _bits() -> list[Column]:
+    return [mask.alias(f"m{i}") for i, mask in enumerate(_masks(["_hash"]))]
 
 
 def _not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,7 +82,8 @@ class KeyIndex(Summary):
                 part,
             ]
         )
-        super().__init__(store, table, "keys", schema, self._built)
+        # Indexes named `keys` were made of other bits; a table that has one gets a new one.
+        super().__init__(store, table, "key_hashes", schema, self._built)
 
     def _built(self, df: DataFrame) -> DataFrame:
         part = self.base.partition_by
@@ -89,11 +96,19 @@ class KeyIndex(Summary):
         rows = [(r[part], blocks_for(r["_keys"]), r["low"], r["high"]) for r in sizes.collect()]
         fields = {f.name: f for f in self.table.schema}
         held = T.StructType([fields[c] for c in (part, "blocks", "low", "high")])
-        sized = keyed.join(F.broadcast(df.sparkSession.createDataFrame(rows, held)), part)
+        sized = F.broadcast(df.sparkSession.createDataFrame(rows, held))
+        # Keys go to their blocks as hashes; bits, which take many times the room, are set there.
+        dealt = (
+            keyed.select(part, _hashed(self.keys))
+            .join(sized.select(part, "blocks"), part)
+            .select(part, _block(), "_hash")
+            .repartition(part, "block")
+        )
         return (
-            _placed(sized, self.keys)
-            .groupBy(part, "blocks", "block", "low", "high")
+            dealt.select(part, "block", *_bits())
+            .groupBy(part, "block")
             .agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(_WORDS)])
+            .join(sized, part)
         )
 
     def partitions_that_may_hold(
@@ -112,14 +127,14 @@ class KeyIndex(Summary):
         if not sizes:
             return []
         keys = _not_null(source.select(*self.keys), self.keys)
-        probes = _placed(
-            keys.withColumn("blocks", F.explode(F.array(*[F.lit(n) for n in sizes]))), self.keys
-        ).withColumn("key", F.struct(*self.keys))
-        probes = probes.select("blocks", "block", "key", *[f"m{i}" for i in range(_WORDS)])
+        sized = keys.withColumn("blocks", F.explode(F.array(*[F.lit(n) for n in sizes])))
+        sized = sized.select("blocks", _hashed(self.keys), F.struct(*self.keys).alias("key"))
+        # Probes meet their blocks as hashes, too.
+        probes = sized.select("blocks", _block(), "_hash", "key")
         i, p = index.alias("i"), probes.alias("p")
         hit = (F.col("i.blocks") == F.col("p.blocks")) & (F.col("i.block") == F.col("p.block"))
         hit &= (F.col("p.key") >= F.col("i.low")) & (F.col("p.key") <= F.col("i.high"))
-        for w in range(_WORDS):
-            hit &= F.col(f"i.w{w}").bitwiseAND(F.col(f"p.m{w}")) == F.col(f"p.m{w}")
+        for w, mask in enumerate(_masks(["p._hash"])):
+            hit &= F.col(f"i.w{w}").bitwiseAND(mask) == mask
         found = i.join(p, hit, "left_semi").select(part).distinct()
         return sorted(r[0] for r in found.collect())

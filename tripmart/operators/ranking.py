@@ -27,7 +27,9 @@ def numbered(
     name: str = "row_num",
     *,
     cluster_by: Sequence[str] = (),
+    in_ranges: bool = False,
     rows_at_most: int | None = None,
+    stored: bool = False,
     hot_rows: int = HOT_ROWS,
     copies_per_task: int = COPIES_PER_TASK,
 ) -> DataFrame:
@@ -36,11 +38,13 @@ def numbered(
     The order is completed with all remaining columns, so only exact copies tie
     and the numbers are reproducible.  One window shuffle serves ordinary groups.
     Groups with `hot_rows` rows or more are found by a summary and numbered across many tasks;
-    for that, `df` is evaluated once and written.  Neither is done if `rows_at_most`, a bound on
-    the rows of `df` known to the caller, rules such groups out.
+    for that, `df` is evaluated once and written, unless it is `stored`: then it is read from files
+    and reading them again is cheaper.  Neither is done if `rows_at_most`, a bound on the rows of
+    `df` known to the caller, rules such groups out.
 
     `cluster_by`, some of the `partition_by` columns, is what the shuffle goes by,
-    so that later steps grouping by these and other columns need none of their own.
+    so that later steps grouping by these and other columns need none of their own.  `in_ranges`
+    of them, rows near to each other in their order come out of one task, to be written as they lie.
     """
     rest = [c for c in df.columns if c not in (*partition_by, *order_by)]
     order = [*order_by, *rest]
@@ -48,8 +52,8 @@ def numbered(
     probed_by = cluster_by or partition_by
     hot = None
     if may_be_hot:
-        df = staged(df)
-        hot = staged(_hot_groups(df, probed_by, hot_rows))
+        df = df if stored else staged(df)
+        hot = staged(_hot_groups(df, probed_by, hot_rows, rows_at_most))
     any_hot = hot is not None and bool(hot.limit(1).count())
     ordinary, in_hot = df, None
     if any_hot:
@@ -58,7 +62,9 @@ def numbered(
         groups = small(hot.withColumnRenamed("group", "_group"))
         ordinary = marked.join(groups, "_group", "left_anti").drop("_group")
         in_hot = marked.join(groups, "_group", "left_semi").drop("_group")
-    if cluster_by:
+    if in_ranges:
+        ordinary = ordinary.repartitionByRange(*(cluster_by or partition_by))
+    elif cluster_by:
         ordinary = ordinary.repartition(*cluster_by)
     by_window = ordinary.withColumn(
         name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)).cast("bigint")
@@ -73,7 +79,9 @@ def _group_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns)
 
 
-def _hot_groups(df: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFrame:
+def _hot_groups(
+    df: DataFrame, columns: Sequence[str], hot_rows: int, rows_at_most: int | None = None
+) -> DataFrame:
     """(group): hashes of all groups that hold `hot_rows` rows, and maybe of some that hold fewer.
 
     Tasks sum up their rows in summaries of frequent items, which are merged.  A group's count
@@ -81,7 +89,8 @@ def _hot_groups(df: DataFrame, columns: Sequence[str], hot_rows: int) -> DataFra
     would need a summary too large, groups are counted one by one.
     """
     groups = df.select(_group_hash(columns).alias("group"))
-    tracked = max(64, TRACKED_PER_HOT * math.ceil(df.count() / hot_rows))
+    rows = df.count() if rows_at_most is None else rows_at_most
+    tracked = max(64, TRACKED_PER_HOT * math.ceil(rows / hot_rows))
     if tracked > MOST_TRACKED:
         sizes = groups.groupBy("group").count()
         return sizes.filter(F.col("count") >= hot_rows).select("group")

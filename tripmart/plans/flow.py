@@ -81,7 +81,12 @@ class Flow:
         batch = bronze.stamped(reduce(DataFrame.unionByName, typed))
         self.store.ensure(schemas.RAW_TRIPS)
         return self.store.replace_partitions(
-            schemas.RAW_TRIPS, bronze.enforce(batch, schemas.RAW_TRIPS), list(paths)
+            schemas.RAW_TRIPS,
+            bronze.enforce(batch, schemas.RAW_TRIPS),
+            list(paths),
+            # A file is of one month, so its parts go to that month's folder as they are; those
+            # of a text file may be many and small.
+            together=all(path.endswith(".parquet") for path in paths.values()),
         )
 
     def ingest_zones(self) -> LoadResult:
@@ -129,15 +134,24 @@ class Flow:
             raw = in_partitions(raw, wanted)
         in_turn = wanted is not None and len(wanted) > 1
         build = silver.monthly_batches if in_turn else silver.trips
+        # A merge brings rows together itself, unless there is nothing to merge with.
+        as_built = mode != "merge" or not self.store.partitions(schemas.SILVER_TRIPS)
         # Counting reads file footers only.
-        built = build(staging.trips(raw), rows_at_most=raw.count())
-        built = silver.stored(silver.stamped(built))
+        built = build(
+            staging.kept(raw),
+            by_time=as_built,
+            rows_at_most=raw.count(),
+            stored=True,
+        )
+        built = silver.stored(silver.stamped(staging.timed(built)))
         if mode == "merge":
-            return self.store.upsert(schemas.SILVER_TRIPS, built)
+            return self.store.upsert(schemas.SILVER_TRIPS, built, together=as_built)
         if mode == "replace_partition":
             if wanted is None:
                 raise ValueError("replace_partition needs the months to replace")
-            return self.store.replace_partitions(schemas.SILVER_TRIPS, built, wanted)
+            return self.store.replace_partitions(
+                schemas.SILVER_TRIPS, built, wanted, together=as_built
+            )
         raise ValueError(f"unknown mode {mode}")
 
     def build_silver_zones(self) -> LoadResult:
@@ -196,8 +210,8 @@ class Flow:
         seed = files.read_zone_seed(self.spark, self.seed_path)
         done = {}
 
-        def save(table: schemas.Table, df: DataFrame) -> DataFrame:
-            done[table.name] = store.overwrite(table, df)
+        def save(table: schemas.Table, df: DataFrame, **how) -> DataFrame:
+            done[table.name] = store.overwrite(table, df, **how)
             return store.read(table)
 
         hours = self.hours.read()
@@ -206,12 +220,18 @@ class Flow:
         zones = save(schemas.DIM_ZONE, zones)
         vendors = save(schemas.DIM_VENDOR, gold.dim_vendor(self.spark))
         built = gold.fact_trips(
-            trips, dates, zones, vendors, self.null_safe_keys, rows_at_most=trips.count()
+            trips,
+            dates,
+            zones,
+            vendors,
+            self.null_safe_keys,
+            by_time=True,
+            rows_at_most=trips.count(),
+            stored=True,
         )
         types = {f.name: f.dataType for f in schemas.FACT_TRIPS.schema}
-        save(
-            schemas.FACT_TRIPS, built.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
-        )
+        built = built.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+        save(schemas.FACT_TRIPS, built, together=True)
         return done | self._aggregates(dates, zones)
 
     def refresh_aggregates(self) -> dict[str, LoadResult]:
@@ -260,7 +280,7 @@ class Flow:
     def publish_trips(self, month: dt.date) -> LoadResult:
         """Merge one month of silver trips into the lake table."""
         one = in_partitions(self.store.read(schemas.SILVER_TRIPS), [month])
-        return self.store.upsert(schemas.LAKE_TRIPS, gold.published(one))
+        return self.store.upsert(schemas.LAKE_TRIPS, gold.published(one), together=True)
 
     def publish_zones(self) -> LoadResult:
         zones = self.store.read(schemas.SILVER_ZONES)
@@ -393,7 +413,9 @@ class Flow:
             self.test_gold()
         with self._tracked("gold", "load_fact_trips", wanted) as results:
             silver_rows = in_partitions(self.store.read(schemas.SILVER_TRIPS), wanted)
-            results.append(self.store.upsert(schemas.LAKE_TRIPS, gold.published(silver_rows)))
+            lake_rows = gold.published(silver_rows)
+            # Silver's files are of one month each, and so can the lake's be.
+            results.append(self.store.upsert(schemas.LAKE_TRIPS, lake_rows, together=True))
         with self._tracked("gold", "load_dim_zones") as results:
             results.append(self.publish_zones())
 

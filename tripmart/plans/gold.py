@@ -151,10 +151,15 @@ def fact_trips(
     zones: DataFrame,
     vendors: DataFrame,
     null_safe: bool = False,
+    *,
+    by_time: bool = False,
     **ranking,
 ) -> DataFrame:
-    """One row per silver trip with its key, dimension keys and measures."""
-    keyed = trip_keys(trips.select(*_FACT_INPUT), null_safe, **ranking)
+    """One row per silver trip with its key, dimension keys and measures.
+
+    `by_time`, trips of one time and so of one month lie together, to be written as they are.
+    """
+    keyed = trip_keys(trips.select(*_FACT_INPUT), null_safe, in_ranges=by_time, **ranking)
     return fact_measures(keyed, dates, zones, vendors, "trip_key")
 
 

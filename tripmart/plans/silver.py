@@ -12,6 +12,7 @@ from tripmart.operators.ranking import numbered
 # A vendor's pickups at one moment in one zone, in an order completed by all other
 # business columns, so that only exact copies tie.
 _GROUP = ("vendor_id", "pickup_datetime", "pu_location_id")
+_BY_TIME = ("pickup_datetime", "pu_location_id", "vendor_id")
 _ORDER = (
     "dropoff_datetime",
     "fare_amount",
@@ -42,8 +43,13 @@ def _with_ids(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("trip_id", keys.surrogate_key(*fields)).drop("copy_number")
 
 
-def trip_ids(staged: DataFrame, **ranking) -> DataFrame:
-    """Staged trips with their deterministic `trip_id`."""
+def trip_ids(staged: DataFrame, *, by_time: bool = False, **ranking) -> DataFrame:
+    """Staged trips with their deterministic `trip_id`.
+
+    `by_time`, trips of one time and so of one month lie together, to be written as they are.
+    """
+    if by_time:
+        ranking |= {"cluster_by": _BY_TIME, "in_ranges": True}
     return _with_ids(numbered(staged, _GROUP, _ORDER, "copy_number", **ranking))
 
 
@@ -64,17 +70,24 @@ def trips(staged: DataFrame, **ranking) -> DataFrame:
     return enriched(trip_ids(staged, **ranking))
 
 
-def monthly_batches(staged: DataFrame, **ranking) -> DataFrame:
+def monthly_batches(staged: DataFrame, *, by_time: bool = False, **ranking) -> DataFrame:
     """Silver trips as left by loading the batch's months one after another.
 
     Each month is numbered as if it were loaded alone.  A trip delivered again in a
     later month has the same id there and replaces the earlier row.  An id occurs
     once per month at most, so the groups of the second window stay tiny; they
     need no shuffle, as rows already lie together by the first columns of the id.
+    `by_time` is that of `trip_ids`.
     """
     order = [c for c in _ORDER if c != "partition_date"]
     ranked = numbered(
-        staged, (*_GROUP, "partition_date"), order, "copy_number", cluster_by=_GROUP, **ranking
+        staged,
+        (*_GROUP, "partition_date"),
+        order,
+        "copy_number",
+        cluster_by=_BY_TIME if by_time else _GROUP,
+        in_ranges=by_time,
+        **ranking,
     )
     last = Window.partitionBy(*_ID_FIELDS).orderBy(F.desc("partition_date"))
     kept = ranked.withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") == 1)

@@ -24,9 +24,28 @@ def plausible() -> Column:
     )
 
 
+def derived() -> dict[str, Column]:
+    """Duration and calendar parts of a trip, by name; they depend on its two times alone."""
+    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    return {
+        "trip_duration_minutes": calendar.minutes_between(pickup, dropoff),
+        "pickup_hour": calendar.hour_start(pickup),
+        "pickup_day_of_week": calendar.day_of_week(pickup).cast("smallint"),
+        "pickup_hour_of_day": F.hour(pickup).cast("smallint"),
+    }
+
+
 def trips(raw: DataFrame) -> DataFrame:
     """Filtered trips with duration and calendar parts."""
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    return timed(kept(raw))
+
+
+def timed(trips: DataFrame) -> DataFrame:
+    return trips.withColumns(derived())
+
+
+def kept(raw: DataFrame) -> DataFrame:
+    """Filtered trips, narrow enough to be shuffled before parts are derived."""
     load_time = [c for c in ("ingested_at",) if c in raw.columns]
     return raw.filter(plausible()).select(
         "vendor_id",
@@ -41,10 +60,6 @@ def trips(raw: DataFrame) -> DataFrame:
         F.col("fare_amount").cast(schemas.MONEY).alias("fare_amount"),
         F.col("tip_amount").cast(schemas.MONEY).alias("tip_amount"),
         F.col("total_amount").cast(schemas.MONEY).alias("total_amount"),
-        calendar.minutes_between(pickup, dropoff).alias("trip_duration_minutes"),
-        calendar.hour_start(pickup).alias("pickup_hour"),
-        calendar.day_of_week(pickup).cast("smallint").alias("pickup_day_of_week"),
-        F.hour(pickup).cast("smallint").alias("pickup_hour_of_day"),
     )
 
 

@@ -55,10 +55,11 @@ def trip_source(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     suppliers = table(spark, folder, "supplier")
+    # Customers meet the orders, which are fewer than the line items.
+    ordered = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
         table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(ordered.drop("o_custkey", "c_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     fare = _hundredths("l_extendedprice")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.errors import SchemaChanged
+from tripmart.errors import DuplicateKeys, SchemaChanged
 from tripmart.operators import curve, merge, packing, publishing
 from tripmart.operators.key_index import KeyIndex
 from tripmart.operators.staging_area import staged_meanwhile
@@ -66,10 +66,7 @@ class TableStore:
     def read(self, table: Table, where: Column | str | None = None) -> DataFrame:
         """Rows of a table; a condition on the partition column prunes folders."""
         self.recover(table)
-        reader = self.spark.read
-        if table.schema is not None:
-            reader = reader.schema(table.schema)
-        df = reader.parquet(self.path(table))
+        df = self._reader(table).parquet(self.path(table))
         return df if where is None else df.filter(where)
 
     def partitions(self, table: Table) -> list[object]:
@@ -102,20 +99,30 @@ class TableStore:
             self.overwrite(table, empty)
 
     def overwrite(
-        self, table: Table, df: DataFrame, allow_schema_change: bool = False
+        self,
+        table: Table,
+        df: DataFrame,
+        allow_schema_change: bool = False,
+        *,
+        together: bool = False,
     ) -> LoadResult:
-        """Replace a whole table; the old one stays until the new one is complete."""
+        """Replace a whole table; the old one stays until the new one is complete.
+
+        Rows are brought together by partition, unless they are `together` as they come; so in the
+        other loads.
+        """
         started = time.monotonic()
         if not allow_schema_change:
             self._require_schema(table, df)
-        seen, observed = self._observed(self._rebalanced(df, table), table)
+        rows = df if together else self._rebalanced(df, table)
+        seen, observed = self._observed(rows, table)
         stage = self._new_stage(table)
         self._writer(observed, table).parquet(stage)
         self._publish(table, [(stage, self.path(table))])
         return self._result(table, seen.get, started)
 
     def replace_partitions(
-        self, table: Table, df: DataFrame, values: Sequence[object]
+        self, table: Table, df: DataFrame, values: Sequence[object], *, together: bool = False
     ) -> LoadResult:
         """Replace the named partitions by `df`; one without new rows becomes empty."""
         started = time.monotonic()
@@ -127,16 +134,24 @@ class TableStore:
                 F.raise_error(F.concat(F.lit("row outside the named partitions: "), column))
             ),
         )
-        written = self._write_partitions(table, guarded, values)
+        written = self._write_partitions(table, guarded, values, in_order=together)
         return self._result(table, written, started)
 
     def upsert(
-        self, table: Table, df: DataFrame, keys: Sequence[str] | None = None
+        self,
+        table: Table,
+        df: DataFrame,
+        keys: Sequence[str] | None = None,
+        *,
+        together: bool = False,
     ) -> LoadResult:
         """Insert `df`, replacing rows with equal keys; only touched partitions are rewritten.
 
         Of an indexed table, only partitions of which the index says that they may hold a key are
         looked at.  The number of rows reported is that of the source.
+
+        Where there is nothing to merge with, the source is written at once, and published
+        if its keys are found unique there.
         """
         started = time.monotonic()
         keys = list(keys or table.keys)
@@ -147,11 +162,15 @@ class TableStore:
             df = df.withColumn(
                 table.partition_by, F.when(part.isNull(), missing).otherwise(part)
             )
-        # The source is used several times and must be the same each time.
-        with staged_meanwhile(df) as source:
-            merge.require_unique(source, keys, table.name)
-            partitions = self._merge(table, source, keys)
-            rows = source.count()
+        if table.partition_by and not self.partitions(table):
+            written = self._write_partitions(table, df, in_order=together, unique=keys)
+            partitions, rows = tuple(sorted(written["partitions"])), written["rows"]
+        else:
+            # The source is used several times and must be the same each time.
+            with staged_meanwhile(df) as source:
+                merge.require_unique(source, keys, table.name)
+                partitions = self._merge(table, source, keys)
+                rows = source.count()
         if table.indexed and partitions:
             self.key_index(table).refresh(partitions)
         seconds = time.monotonic() - started
@@ -276,13 +295,14 @@ class TableStore:
             merged = source if new else merge.upserted(self.read(table), source, keys)
             self.overwrite(table, merged)
             return ()
-        if not self.partitions(table):
-            return tuple(sorted(self._write_partitions(table, source)["partitions"]))
         touched = self._touched_partitions(table, source, keys)
         target = self.read(table, F.col(table.partition_by).isin(touched))
         written = self._write_partitions(table, merge.upserted(target, source, keys), touched)
         return tuple(sorted(written["partitions"]))
 
+    def _reader(self, table: Table):
+        return self.spark.read if table.schema is None else self.spark.read.schema(table.schema)
+
     def _require_schema(self, table: Table, df: DataFrame) -> None:
         if table.schema is None:
             return
@@ -341,7 +361,8 @@ class TableStore:
         return seen, df.observe(seen, *metrics)
 
     def _writer(self, df: DataFrame, table: Table):
-        writer = df.write.mode("overwrite")
+        # Ids are hashes in hex, which this packs to half of what the default does.
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if table.partition_by:
             writer = writer.option("partitionOverwriteMode", "dynamic")
             writer = writer.partitionBy(table.partition_by)
@@ -353,16 +374,24 @@ class TableStore:
         df: DataFrame,
         replaced: Iterable[object] = (),
         in_order: bool = False,
+        unique: Sequence[str] = (),
         **options,
     ) -> dict:
         """Publish `df` in place of the partitions it has rows of; others `replaced` go.
 
         Rows are brought together by partition, unless they are to be written in their order.
+        Nothing is published if values of `unique` are found more than once in what was written.
         """
         rows = df if in_order else self._rebalanced(df, table)
         seen, observed = self._observed(rows, table)
         stage, target = self._new_stage(table), self.path(table)
         self._writer(observed, table).options(**options).parquet(stage)
+        if unique and seen.get["rows"]:
+            try:
+                merge.require_unique(self._reader(table).parquet(stage), unique, table.name)
+            except DuplicateKeys:
+                self.files.delete(stage)
+                raise
         steps: list[publishing.Step] = [
             (f"{stage}/{name}", f"{target}/{name}")
             for name in self._partition_names(stage, table.partition_by)
