@@ -40,6 +40,13 @@ def _tips(trips: DataFrame) -> DataFrame:
     return trips.select(*TIPS.schema.names)
 
 
+def _stored_tips(spark, folder: str) -> TableStore:
+    """All tips in a store; what a query delivers again is read from there, not made anew."""
+    store = _store(spark)
+    store.overwrite(TIPS, _tips(_silver(spark, folder)))
+    return store
+
+
 @query
 def upsert_stored(spark, folder):
     """Trips of 1997 are delivered once more, two months late and with other tips, and merged.
@@ -131,15 +138,14 @@ def yearly_destinations(spark, folder):
 @query
 def dq_unique_changed(spark, folder):
     """Keys that a delivery repeats: of its own, and of months that were there before."""
-    store, trips = _store(spark), _tips(_silver(spark, folder))
-    store.overwrite(TIPS, trips)
+    store = _stored_tips(spark, folder)
     store.key_index(TIPS).refresh()
     verified = changes.Verified(store, TIPS)
     verified.note({})
     june = dt.date(1997, 6, 1)
     month = F.col("partition_date")
-    own = trips.filter(month == june)
-    others = trips.filter((F.year("partition_date") == 1995) & F.col("has_tip"))
+    own = store.read(TIPS, month == june)
+    others = store.read(TIPS, (F.year("partition_date") == 1995) & F.col("has_tip"))
     sent = own.unionByName(own.filter("tip_amount > 3000")).unionByName(
         others.withColumn("partition_date", F.lit(june))
     )
