@@ -53,9 +53,8 @@ def upsert_stored(spark, folder):
 
     Their keys lie in other months than the delivery; the key index finds these.
     """
-    store, trips = _store(spark), _tips(_silver(spark, folder))
-    store.overwrite(TIPS, trips)
-    again = trips.filter(F.year("partition_date") == 1997).withColumns(
+    store = _stored_tips(spark, folder)
+    again = store.read(TIPS, F.year("partition_date") == 1997).withColumns(
         {
             "partition_date": F.add_months("partition_date", 2),
             "tip_amount": (F.col("tip_amount") + 1).cast(schemas.MONEY),
