@@ -67,11 +67,10 @@ def upsert_stored(spark, folder):
 @query
 def key_index_lookup(spark, folder):
     """Trips of half a year, looked for by key in the months that the index names."""
-    store, trips = _store(spark), _tips(_silver(spark, folder))
-    store.overwrite(TIPS, trips)
+    store = _stored_tips(spark, folder)
     index = store.key_index(TIPS)
     index.refresh()
-    wanted = trips.filter("partition_date >= '1997-01-01' and partition_date < '1997-07-01'")
+    wanted = store.read(TIPS, "partition_date >= '1997-01-01' and partition_date < '1997-07-01'")
     found = index.partitions_that_may_hold(wanted, store.partitions(TIPS))
     month = F.col("partition_date")
     return (
