@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.flow import transfers
+from llm.lines import small
 from llm.scratch import Scratch
 
 # Bytes that a document takes besides its text.
@@ -21,6 +22,15 @@ def stored_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + HEADER).cast("bigint")
 
 
+def size_class(size: Column) -> Column:
+    """Sizes fall along a shard, in classes by powers of two."""
+    return -F.floor(F.log2(size)).cast("int")
+
+
+def block(row: Column) -> Column:
+    return F.floor(row / BLOCK_ROWS).cast("bigint")
+
+
 def placed(
     docs: DataFrame, old_shard: Column, scratch: Scratch, *, keep_text: bool = True
 ) -> DataFrame:
@@ -33,13 +43,24 @@ def placed(
     sized = docs.drop(*ADDED).withColumns(
         {"size": stored_size(F.col("text")), "old_shard": old_shard.cast("int"), "_row": row}
     )
-    return scratch.write(sized if keep_text else sized.drop("text")).withColumn("_block", F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"))
+    written = scratch.write(sized if keep_text else sized.drop("text"))
+    return written.withColumn("_block", block(F.col("_row")))
 
 
 def write_shards(docs: DataFrame, old_shard: Column, folder: str) -> DataFrame:
-    """`docs` written as folders `old_shard=N` and read back, with text and row numbers."""
-    placed_ = docs.drop(*ADDED).withColumns(
-        {"old_shard": old_shard.cast("int"), "_row": F.monotonically_increasing_id()}
+    """`docs` written as folders `old_shard=N` and read back, with text and row numbers.
+
+    A task writes its rows by shard and size class, in their order, and numbers them as they lie
+    there.  So the rows of one task, shard and class have consecutive numbers.
+    """
+    own = docs.drop(*ADDED)
+    row = F.monotonically_increasing_id()
+    size = size_class(stored_size(F.col("text")))
+    placed_ = (
+        own.withColumns({"old_shard": old_shard.cast("int"), "_class": size, "_row": row})
+        .sortWithinPartitions("old_shard", "_class", "_row")
+        .drop("_class")
+        .withColumn("_row", row)
     )
     placed_.write.partitionBy("old_shard").option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema(placed_.schema).parquet(folder)
@@ -48,10 +69,7 @@ def write_shards(docs: DataFrame, old_shard: Column, folder: str) -> DataFrame:
 def sized(stored: DataFrame) -> DataFrame:
     """Rows of stored shards with size and block, without text."""
     return stored.withColumns(
-        {
-            "size": stored_size(F.col("text")),
-            "_block": F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"),
-        }
+        {"size": stored_size(F.col("text")), "_block": block(F.col("_row"))}
     ).drop("text")
 
 
@@ -60,23 +78,18 @@ def rewritten(stored: DataFrame, rows: DataFrame, folder: str, scratch: Scratch)
 
     `stored` are the old shards, `rows` what `reshard` says of them, by _row.  Affected shards
     are written to `folder` with their texts and read from there; others keep their old
-    files, and the order of these gives their slots.
+    files.  The texts stay in the tasks that read them, see `located`.
     """
-    placed_ = rows.select("_row", "shard", "slot", "size", "_block", "_class")
-    # Written once, since both the list of affected shards and the files are made of it.
-    moved = scratch.write(placed_)
-    touched = write_affected(stored.join(moved, "_row"), folder)
+    moved = scratch.write(
+        rows.select("_row", "old_shard", "shard", "slot", "size", "_block", "_class")
+    )
+    touched = affected(moved)
+    found = located(stored, moved, scratch)
+    write_affected(found, folder, touched=touched)
     spark = rows.sparkSession
     plain = stored.drop("_row").columns
     columns = [*[c for c in plain if c != "old_shard"], "old_shard", "shard", "slot"]
-    kept = stored.filter(~F.col("old_shard").isin(touched)).withColumn("shard", F.col("old_shard"))
-    kept = kept.withColumns(
-        {
-            "_block": F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint"),
-            "_class": -F.floor(F.log2(stored_size(F.col("text")))).cast("int"),
-        }
-    )
-    kept = with_slots(kept, scratch).select(*columns)
+    kept = found.filter(~F.col("old_shard").isin(touched)).select(*columns)
     if touched:
         kinds = stored.drop("_row").withColumns(
             {"shard": F.lit(0), "slot": F.lit(0).cast("bigint")}
@@ -86,6 +99,40 @@ def rewritten(stored: DataFrame, rows: DataFrame, folder: str, scratch: Scratch)
     return kept.withColumn("size", stored_size(F.col("text")))
 
 
+def located(stored: DataFrame, moved: DataFrame, scratch: Scratch) -> DataFrame:
+    """`stored` with shard and slot, block and class, without a shuffle of its texts.
+
+    Rows of one old shard, class and block mostly go to one shard, with slots in the order of their
+    numbers; if these are consecutive, as `write_shards` makes them, a row's number tells its slot.
+    Such groups are one row each and sent to the texts.  Only groups that are divided, at most
+    one for each cut, are joined row by row.
+    """
+    key = ["old_shard", "_class", "_block"]
+    groups = moved.groupBy(*key).agg(
+        F.min("_row").alias("_first"),
+        (F.max("_row") - F.min("_row") + 1 == F.count(F.lit(1))).alias("_dense"),
+        F.min("shard").alias("shard"),
+        F.max("shard").alias("_other"),
+        F.min("slot").alias("_slot"),
+    )
+    groups = scratch.write(
+        groups.withColumn("_whole", F.col("_dense") & (F.col("shard") == F.col("_other")))
+    )
+    whole = scratch.write(groups.filter("_whole").select(*key, "_first", "shard", "_slot"))
+    divided = scratch.write(groups.filter("not _whole").select(*key))
+    single = scratch.write(
+        moved.join(small(divided), key, "left_semi").select("_row", "shard", "slot")
+    )
+    rows = stored.withColumns(
+        {"_class": size_class(stored_size(F.col("text"))), "_block": block(F.col("_row"))}
+    )
+    columns = [*rows.columns, "shard", "slot"]
+    slot = F.col("_slot") + F.col("_row") - F.col("_first")
+    together = rows.join(small(whole), key).withColumn("slot", slot)
+    apart = rows.join(small(divided), key, "left_semi").join(single, "_row")
+    return together.select(*columns).unionByName(apart.select(*columns))
+
+
 def capacities(total: int, shards: int) -> list[int]:
     """Near-equal parts of `total`."""
     return [total // shards + (k < total % shards) for k in range(shards)]
@@ -113,10 +160,8 @@ def reshard(
     placed like others.  Tables sent to the driver have a row per old shard; the cuts, one
     row per pair of shards that exchanges bytes, are all that is broadcast.
     """
-    # Sizes fall along a shard, in classes by powers of two, so that the cuts, which lie at
-    # the end of what stays, fall among small rows.
-    step = F.floor(F.log2("size")).cast("int")
-    rows = rows.withColumn("_class", -step)
+    # The cuts, which lie at the end of what stays, fall among small rows.
+    rows = rows.withColumn("_class", size_class(F.col("size")))
     blocks = rows.groupBy("old_shard", "_class", "_block").agg(F.sum("size").alias("bytes"))
     blocks = scratch.write(blocks)
     held = [0] * old
@@ -180,17 +225,30 @@ def moves(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_affected(rows: DataFrame, folder: str, rows_per_file: int = 1_000_000) -> list[int]:
+def affected(rows: DataFrame) -> list[int]:
+    """Shards that gain or lose rows."""
+    changed = moves(rows).select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
+    return sorted(r["shard"] for r in changed.collect())
+
+
+def write_affected(
+    rows: DataFrame,
+    folder: str,
+    rows_per_file: int = 1_000_000,
+    *,
+    touched: list[int] | None = None,
+) -> list[int]:
     """Rewrite the shards that gain or lose rows, as folders `shard=N`; returns these.
 
     Shards without any move keep their files.  Rows of a shard are spread over tasks by block, and
     slots, not files, hold their order.
     """
-    changed = moves(rows).select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    touched = sorted(r["shard"] for r in changed.collect())
+    if touched is None:
+        touched = affected(rows)
     out = rows.filter(F.col("shard").isin(touched)).drop("_block", "_class", "_row")
     (
         out.write.partitionBy("shard")
+        .option("compression", "zstd")
         .option("maxRecordsPerFile", rows_per_file)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

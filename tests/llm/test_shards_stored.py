@@ -47,3 +47,28 @@ def test_query_reads_its_columns_from_shard_files(spark):
     files = found.select("doc_id").inputFiles()
     assert files and not any(Path(f).parent.name == "documents.parquet" for f in files)
     assert any("shard=" in f for f in files)
+
+
+def test_slots_follow_the_rows_and_texts_are_not_shuffled(
+    spark, make_docs, invented, tmp_path, monkeypatch
+):
+    monkeypatch.setattr(shards, "BLOCK_ROWS", 50)
+    # Both the groups and the rows of divided groups are small here, the texts are not hinted.
+    rows = [(k, invented(1 + k * 7 % 90, k)) for k in range(600)] + [(5, "same")] * 200
+    rows += [(None, None)] * 3
+    old = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4))
+    docs = make_docs(rows).repartition(3)
+    scratch = Scratch(spark, "test")
+    stored = shards.write_shards(docs, old, str(tmp_path / "before"))
+    moved = scratch.write(shards.reshard(scratch.write(shards.sized(stored)), 4, 6, scratch))
+    found = shards.located(stored, moved, scratch)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    want = {r["_row"]: (r.shard, r.slot, r.old_shard) for r in moved.collect()}
+    got = {r["_row"]: (r.shard, r.slot, r.old_shard) for r in found.collect()}
+    assert len(want) == 803 and got == want
+    # Rows of one task, shard and class have consecutive numbers.
+    groups = moved.groupBy("old_shard", "_class", F.shiftright("_row", 33).alias("task")).agg(
+        (F.max("_row") - F.min("_row") + 1).alias("span"), F.count(F.lit(1)).alias("n")
+    )
+    assert groups.filter("span <> n").count() == 0
