@@ -91,14 +91,34 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
 
 
 def _key(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shard and 32-bit rest of a bigram; the pair tells bigrams apart.
+    """Shard and 32-bit rest of a bigram; the pair tells bigrams apart, see `_words`.
 
     The shard depends on both words, so that a frequent context lies in all shards.
     """
-    mask = (1 << WORD_BITS) - 1
-    turned = (context + word * 40503) & mask
-    shard = turned & ((1 << SHARD_BITS) - 1)
-    return shard, ((turned >> SHARD_BITS) << WORD_BITS | word).astype(np.uint32)
+    shard = (context + word * 40503) & ((1 << SHARD_BITS) - 1)
+    return shard, ((context >> SHARD_BITS) << WORD_BITS | word).astype(np.uint32)
+
+
+def _words(shard: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context and word of `_key`."""
+    wide = key.astype(np.int64)
+    word = wide & ((1 << WORD_BITS) - 1)
+    low = (shard - word * 40503) & ((1 << SHARD_BITS) - 1)
+    return (wide >> WORD_BITS) << SHARD_BITS | low, word
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """32-bit numbers, all first bytes before all second ones, which are mostly 0, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    packed = pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+    return len(values).to_bytes(4, "little") + packed
+
+
+def _unsqueezed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = pa.Codec("zstd").decompress(data[4:], decompressed_size=4 * n, asbytes=True)
+    flat = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T)
+    return flat.view("<u4").ravel()
 
 
 def _batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -188,13 +208,18 @@ def _vocabularies(
     keep = F.lit(False)
     for lang, limit in least.items():
         keep = keep | ((F.col("lang") == lang) & (F.col("n") >= limit))
-    words: dict[str, list[int]] = {lang: [] for lang in sizes}
-    for r in counts.filter(keep).select("lang", "word").toLocalIterator():
-        words[r["lang"]].append(r["word"])
+    words: dict[str, list[tuple[int, int]]] = {lang: [] for lang in sizes}
+    for r in counts.filter(keep).select("lang", "word", capped).toLocalIterator():
+        words[r["lang"]].append((r["word"], r["n"]))
     out, none = {}, np.zeros(0)
-    for lang, own in words.items():
-        sorted_ = np.sort(np.array(own, dtype=np.int64).view(_U))
-        ids = np.arange(_FIRST, _FIRST + len(own), dtype=np.int64)
+    for lang, found in words.items():
+        own, often = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        own = np.ascontiguousarray(own).view(_U)
+        order = np.argsort(own)
+        sorted_ = own[order]
+        # Frequent words have small numbers, which take less room where bigrams are moved.
+        ids = np.empty(len(own), dtype=np.int64)
+        ids[np.lexsort((sorted_, -often[order]))] = np.arange(_FIRST, _FIRST + len(own))
         unknown = sum(k for n, k in sizes[lang].items() if n < LEAST_COUNT)
         out[lang] = Language(
             sorted_, ids, none, none, none, (0.5, 1.0, 1.5), unknown, partial[lang]
@@ -270,8 +295,14 @@ def _bigrams(
     out = scratch.write(counted.groupBy("lang", "context", "word").agg(total))
     if loose is None:
         return out
-    found = _known(_known(out, loose, "context"), loose, "word")
-    return scratch.write(found.groupBy("lang", "context", "word").agg(total))
+    # Only bigrams with a word that is or becomes unknown can meet others; those of held words
+    # are counted already.
+    sure = (F.col("context") > UNKNOWN) & (F.col("word") > UNKNOWN)
+    found = _known(_known(out.filter(~sure), loose, "context"), loose, "word")
+    again = found.groupBy("lang", "context", "word").agg(total)
+    whole = scratch.write(out.filter(sure).unionByName(again))
+    scratch.drop(out)
+    return whole
 
 
 def _counted(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -379,8 +410,10 @@ def _packed_model(bigrams: DataFrame, langs: list[str], copies: dict[str, int])
             )
             shard, key = _key(context, word)
             shard = lang << SHARD_BITS | shard
+            order = np.lexsort((key, shard))
+            shard, key, n = shard[order], key[order], np.minimum(n[order], 2**31)
             data = [
-                (s, key[shard == s], np.minimum(n[shard == s], 2**31).astype(np.uint32))
+                (s, key[shard == s], n[shard == s].astype(np.uint32))
                 for s in np.unique(shard).tolist()
             ]
             yield _payload(
@@ -400,7 +433,7 @@ _PAYLOAD = "shard int, copy int, kind int, keys binary, counts binary, docs bina
 
 def _payload(rows: list[tuple]) -> pa.RecordBatch:
     def packed(x):
-        return None if x is None else x.tobytes()
+        return None if x is None else _squeezed(x)
 
     columns = list(zip(*rows, strict=True)) or [()] * 7
     return pa.RecordBatch.from_arrays(
@@ -447,7 +480,7 @@ def _queries(
                     for s in range(1 << SHARD_BITS):
                         at = np.flatnonzero(shard == s)
                         if len(at):
-                            present, local = np.unique(doc[at], return_inverse=True)
+                            present, many = np.unique(doc[at], return_counts=True)
                             out.append(
                                 (
                                     number << SHARD_BITS | s,
@@ -455,7 +488,7 @@ def _queries(
                                     1,
                                     key[at],
                                     n[at].astype(np.uint32),
-                                    local.astype(np.uint32),
+                                    many.astype(np.uint32),
                                     [names[i] for i in present],
                                 )
                             )
@@ -544,7 +577,6 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     models = trained.models
     langs = sorted(models)
     held = spark.sparkContext.broadcast(models)
-    mask = (1 << WORD_BITS) - 1
     texts = docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"))
     sizes = {r["lang"]: r["n"] for r in texts.collect()}
     copies = {lang: 1 + (sizes.get(lang) or 0) // TEXT_OF_SHARDS for lang in langs}
@@ -561,7 +593,7 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
                 shard, copy, kind, keys, n, doc, names = (c[i].as_py() for c in batch.columns)
                 if (shard, copy) != at:
                     at, pieces, known = (shard, copy), [], None
-                key, n = np.frombuffer(keys, np.uint32), np.frombuffer(n, np.uint32)
+                key, n = _unsqueezed(keys), _unsqueezed(n)
                 if kind == 0:
                     pieces.append((key, n))
                     continue
@@ -576,11 +608,8 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
                     where = np.minimum(np.searchsorted(known, key), len(known) - 1)
                     same = known[where] == key
                     count[same] = counts[where[same]]
-                wide = key.astype(np.int64)
-                word = wide & mask
-                turned = (wide >> WORD_BITS) << SHARD_BITS | (shard & ((1 << SHARD_BITS) - 1))
-                context = (turned - word * 40503) & mask
-                doc = np.frombuffer(doc, np.uint32)
+                context, word = _words(shard, key)
+                doc = np.repeat(np.arange(len(names)), _unsqueezed(doc))
                 log = model.log10(context, word, count) * n
                 rows += names
                 sums.append(np.bincount(doc, log, len(names)))

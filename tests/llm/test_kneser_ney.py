@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import glob
 import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,35 @@ def test_rooms_of_languages(monkeypatch):
     monkeypatch.setattr(kneser_ney, "MOST_WORDS", 100)
     assert kneser_ney._rooms({}) == {}
     assert kneser_ney._rooms({"a": 500, "b": 3, "c": 0, "d": 60}) == {"a": 49, "b": 3, "c": 0, "d": 48}
+
+
+def test_bigrams_are_moved_small_and_whole():
+    rng = np.random.default_rng(5)
+    size = 1 << kneser_ney.WORD_BITS
+    context, word = rng.integers(0, size, (2, 5000))
+    shard, key = kneser_ney._key(context, word)
+    for s in range(1 << kneser_ney.SHARD_BITS):
+        at = shard == s
+        got = kneser_ney._words(s, key[at])
+        assert (got[0] == context[at]).all() and (got[1] == word[at]).all()
+    for values in (key, np.zeros(0, np.uint32), np.array([2**32 - 1, 0], np.uint32)):
+        assert (kneser_ney._unsqueezed(kneser_ney._squeezed(values)) == values).all()
+    # Frequent words have small numbers: their bigrams take less than their 4 bytes.
+    rank = np.minimum(rng.zipf(1.3, (2, 20_000)), size - 1)
+    assert len(kneser_ney._squeezed(kneser_ney._key(*rank)[1])) < 2.5 * 20_000
+
+
+def test_frequent_words_have_small_numbers_and_only_one_bigram_table_stays(
+    spark, monkeypatch
+):
+    monkeypatch.setattr(kneser_ney, "MOST_WORDS", 2)
+    scratch = Scratch(spark, "test")
+    texts = spark.createDataFrame(
+        [("a", "z z z y y x x w v q"), ("a", "z y x q")], "lang string, text string"
+    )
+    trained = kneser_ney.train(texts, scratch)
+    assert trained.models["a"].ids.min() == 2 and trained.loose is not None
+    written = [p for p in glob.glob(f"{scratch.path}/*") if "context" in spark.read.parquet(p).columns]
+    assert len(written) == 1
+    rows = trained.bigrams.collect()
+    assert len({(r.context, r.word) for r in rows}) == len(rows) and sum(r.n for r in rows) == 16
