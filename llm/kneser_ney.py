@@ -34,6 +34,9 @@ TEXT_OF_SHARDS = 32 << 30
 _LOOSE = -(1 << 63)
 # Bits of the filter that tells which words cannot be known beyond those held.
 FILTER_BITS = 1 << 25
+# A shard's bigrams are counted in so many pieces, by bits of their words.
+_PIECE_BITS = 2
+_ROWS_OUT = 200_000
 UNKNOWN, EDGE = 0, 1
 _FIRST = 2
 
@@ -114,6 +117,21 @@ def _squeezed(values: np.ndarray) -> bytes:
     return len(values).to_bytes(4, "little") + packed
 
 
+def _squeezed_keys(keys: np.ndarray) -> bytes:
+    """Keys of `_key`, mostly in order of context, by the differences of their contexts."""
+    context = (keys >> np.uint32(WORD_BITS)).astype(np.int64)
+    step = np.diff(context, prepend=0) & ((1 << (32 - WORD_BITS)) - 1)
+    word = keys & np.uint32((1 << WORD_BITS) - 1)
+    return _squeezed(step.astype(np.uint32) << np.uint32(WORD_BITS) | word)
+
+
+def _unsqueezed_keys(data: bytes) -> np.ndarray:
+    coded = _unsqueezed(data)
+    # Sums modulo 2**32 keep their low bits; the shift drops the others.
+    context = np.cumsum(coded >> np.uint32(WORD_BITS), dtype=np.uint32)
+    return context << np.uint32(WORD_BITS) | coded & np.uint32((1 << WORD_BITS) - 1)
+
+
 def _unsqueezed(data: bytes) -> np.ndarray:
     n = int.from_bytes(data[:4], "little")
     planes = pa.Codec("zstd").decompress(data[4:], decompressed_size=4 * n, asbytes=True)
@@ -274,27 +292,89 @@ def _bigrams(
     """(lang, context, word, n) of `texts`, with numbers of held words and codes of others."""
     held = texts.sparkSession.sparkContext.broadcast(models)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(
+        batches: Iterator[pa.RecordBatch], full: bool
+    ) -> Iterator[tuple[str, tuple[np.ndarray, ...]]]:
+        """Language by language, a slice's bigrams of held words, or all others."""
         for batch in batches:
             for part in _batches(batch):
                 langs = np.array(part.column("lang").to_pylist(), dtype=object)
                 hashes = _hashes(part)
                 for lang in dict.fromkeys(langs):
                     model = held.value[lang]
+                    if not full and not model.partial:
+                        continue
                     own = [model.tokens(hashes[i]) for i in np.flatnonzero(langs == lang)]
                     context = np.concatenate([t[:-1] for t in own])
                     word = np.concatenate([t[1:] for t in own])
-                    context, word, n = _counted(context, word)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(n), pa.string()), context, word, n],
-                        names=["lang", "context", "word", "n"],
-                    )
+                    at = ((context >= 0) & (word >= 0)) == full
+                    yield lang, _counted(context[at], word[at])
 
-    counted = texts.mapInArrow(run, "lang string, context bigint, word bigint, n bigint")
-    total = F.sum("n").alias("n")
-    out = scratch.write(counted.groupBy("lang", "context", "word").agg(total))
+    def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, (context, word, n) in counted(batches, True):
+            if not len(n):
+                continue
+            shard, key = _key(context, word)
+            piece = shard << _PIECE_BITS | word & ((1 << _PIECE_BITS) - 1)
+            order = np.lexsort((key, piece))
+            key, n = key[order], n[order]
+            own, first = np.unique(piece[order], return_index=True)
+            ends = np.r_[first[1:], len(key)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(own), pa.string()),
+                    pa.array(own, pa.int32()),
+                    *[
+                        pa.array(
+                            [packed(x[i:j]) for i, j in zip(first, ends, strict=True)], pa.binary()
+                        )
+                        for x, packed in ((key, _squeezed_keys), (n, _squeezed))
+                    ],
+                ],
+                names=["lang", "piece", "keys", "counts"],
+            )
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, counts = None, [], []
+
+        def whole() -> Iterator[pa.RecordBatch]:
+            if at is None:
+                return
+            key, place = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)
+            for i in range(0, len(key), _ROWS_OUT):
+                context, word = _words(at[1] >> _PIECE_BITS, key[i : i + _ROWS_OUT])
+                lang = pa.array([at[0]] * len(word), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [lang, context, word, n[i : i + _ROWS_OUT]],
+                    names=["lang", "context", "word", "n"],
+                )
+
+        for batch in batches:
+            for lang, piece, k, c in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                if (lang, piece) != at:
+                    yield from whole()
+                    at, keys, counts = (lang, piece), [], []
+                keys.append(_unsqueezed_keys(k))
+                counts.append(_unsqueezed(c))
+        yield from whole()
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, columns in counted(batches, False):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(columns[2]), pa.string()), *columns],
+                names=["lang", "context", "word", "n"],
+            )
+
+    rows = "lang string, context bigint, word bigint, n bigint"
+    sent = texts.mapInArrow(packets, "lang string, piece int, keys binary, counts binary")
+    dealt = sent.repartition("lang", "piece").sortWithinPartitions("lang", "piece")
+    out = dealt.mapInArrow(summed, rows)
     if loose is None:
-        return out
+        return scratch.write(out)
+    total = F.sum("n").alias("n")
+    rest = texts.mapInArrow(others, rows).groupBy("lang", "context", "word").agg(total)
+    out = scratch.write(out.unionByName(rest))
     # Only bigrams with a word that is or becomes unknown can meet others; those of held words
     # are counted already.
     sure = (F.col("context") > UNKNOWN) & (F.col("word") > UNKNOWN)
@@ -418,7 +498,7 @@ def _packed_model(bigrams: DataFrame, langs: list[str], copies: dict[str, int])
             ]
             yield _payload(
                 [
-                    (s, i, 0, k, c, None, None)
+                    (s, i, 0, None, _squeezed_keys(k), _squeezed(c), None, None, None)
                     for s, k, c in data
                     for i in range(copies[langs[s >> SHARD_BITS]])
                 ]
@@ -428,19 +508,21 @@ def _packed_model(bigrams: DataFrame, langs: list[str], copies: dict[str, int])
     return rows.select(number.alias("lang"), "context", "word", "n").mapInArrow(run, _PAYLOAD)
 
 
-_PAYLOAD = "shard int, copy int, kind int, keys binary, counts binary, docs binary, rows array<binary>"
+# docs: how many keys each document has; at: the documents' numbers beyond `first`.
+_PAYLOAD = (
+    "shard int, copy int, kind int, first bigint, keys binary, counts binary, docs binary, "
+    "at binary, names array<binary>"
+)
 
 
 def _payload(rows: list[tuple]) -> pa.RecordBatch:
-    def packed(x):
-        return None if x is None else _squeezed(x)
-
-    columns = list(zip(*rows, strict=True)) or [()] * 7
+    columns = list(zip(*rows, strict=True)) or [()] * 9
     return pa.RecordBatch.from_arrays(
         [
             *[pa.array(c, pa.int32()) for c in columns[:3]],
-            *[pa.array([packed(x) for x in c], pa.binary()) for c in columns[3:6]],
-            pa.array(columns[6], pa.list_(pa.binary())),
+            pa.array(columns[3], pa.int64()),
+            *[pa.array(c, pa.binary()) for c in columns[4:8]],
+            pa.array(columns[8], pa.list_(pa.binary())),
         ],
         names=[f.split()[0] for f in _PAYLOAD.split(", ")],
     )
@@ -449,11 +531,15 @@ def _payload(rows: list[tuple]) -> pa.RecordBatch:
 def _queries(
     docs: DataFrame, models: dict[str, Language], langs: list[str], copies: dict[str, int]
 ) -> DataFrame:
-    """(shard, copy, kind 1, ...): the distinct bigrams of held words, with their documents."""
+    """(shard, copy, kind 1, ...): the distinct bigrams of held words, with their documents.
+
+    Documents have numbers, told with their keys in rows of kind 2, so that a key travels once.
+    """
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
+        first = task << 33
         for batch in batches:
             for part in _batches(batch):
                 lang = part.column("lang").to_pylist()
@@ -476,7 +562,13 @@ def _queries(
                     n = np.concatenate([c for _, c in pairs])
                     doc = np.repeat(np.arange(len(own)), [len(p) for p, _ in pairs])
                     shard, key = _key(pair >> WORD_BITS, pair & ((1 << WORD_BITS) - 1))
+                    place = np.array(own, dtype=np.int64)
+                    some = number << SHARD_BITS | first & ((1 << SHARD_BITS) - 1)
                     names = [keys[i] for i in own]
+                    copy = task % copies[name]
+                    out.append(
+                        (some, copy, 2, first, None, None, None, _squeezed(place), names)
+                    )
                     for s in range(1 << SHARD_BITS):
                         at = np.flatnonzero(shard == s)
                         if len(at):
@@ -484,14 +576,17 @@ def _queries(
                             out.append(
                                 (
                                     number << SHARD_BITS | s,
-                                    task % copies[name],
+                                    copy,
                                     1,
-                                    key[at],
-                                    n[at].astype(np.uint32),
-                                    many.astype(np.uint32),
-                                    [names[i] for i in present],
+                                    first,
+                                    _squeezed_keys(key[at]),
+                                    _squeezed(n[at]),
+                                    _squeezed(many),
+                                    _squeezed(place[present]),
+                                    None,
                                 )
                             )
+                first += part.num_rows
                 yield _payload(out)
 
     return docs.mapInArrow(run, _PAYLOAD)
@@ -588,12 +683,20 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pieces, known, counts = None, [], None, None
         for batch in batches:
-            rows, sums, numbers = [], [], []
+            rows, keyed, sums, numbers = [], [], [], []
             for i in range(batch.num_rows):
-                shard, copy, kind, keys, n, doc, names = (c[i].as_py() for c in batch.columns)
+                shard, copy, kind, first, keys, n, doc, place, names = (
+                    c[i].as_py() for c in batch.columns
+                )
                 if (shard, copy) != at:
                     at, pieces, known = (shard, copy), [], None
-                key, n = _unsqueezed(keys), _unsqueezed(n)
+                if kind == 2:
+                    rows.append(first + _unsqueezed(place).astype(np.int64))
+                    keyed += names
+                    sums.append(np.zeros(len(names)))
+                    numbers.append(np.zeros(len(names)))
+                    continue
+                key, n = _unsqueezed_keys(keys), _unsqueezed(n)
                 if kind == 0:
                     pieces.append((key, n))
                     continue
@@ -609,22 +712,29 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
                     same = known[where] == key
                     count[same] = counts[where[same]]
                 context, word = _words(shard, key)
-                doc = np.repeat(np.arange(len(names)), _unsqueezed(doc))
+                many = _unsqueezed(doc)
+                doc = np.repeat(np.arange(len(many)), many)
                 log = model.log10(context, word, count) * n
-                rows += names
-                sums.append(np.bincount(doc, log, len(names)))
-                numbers.append(np.bincount(doc, n, len(names)))
+                rows.append(first + _unsqueezed(place).astype(np.int64))
+                keyed += [None] * len(many)
+                sums.append(np.bincount(doc, log, len(many)))
+                numbers.append(np.bincount(doc, n, len(many)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows, pa.binary()),
+                        pa.array(np.concatenate(rows)),
+                        pa.array(keyed, pa.binary()),
                         pa.array(np.concatenate(sums)),
                         pa.array(np.concatenate(numbers)),
                     ],
-                    names=["key", "log", "n"],
+                    names=["id", "key", "log", "n"],
                 )
 
-    parts = dealt.mapInArrow(run, "key binary, log double, n double")
+    parts = dealt.mapInArrow(run, "id bigint, key binary, log double, n double")
+    parts = parts.groupBy("id").agg(
+        F.max("key").alias("key"), F.sum("log").alias("log"), F.sum("n").alias("n")
+    )
+    parts = parts.drop("id")
     if trained.loose is not None:
         parts = parts.unionByName(_loose_parts(docs, trained))
     total = parts.groupBy("key").agg(F.sum("log").alias("log"), F.sum("n").alias("n"))

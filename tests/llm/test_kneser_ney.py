@@ -128,6 +128,8 @@ def test_bigrams_are_moved_small_and_whole():
         assert (got[0] == context[at]).all() and (got[1] == word[at]).all()
     for values in (key, np.zeros(0, np.uint32), np.array([2**32 - 1, 0], np.uint32)):
         assert (kneser_ney._unsqueezed(kneser_ney._squeezed(values)) == values).all()
+    for keys in (key, np.sort(key), key[:0]):
+        assert (kneser_ney._unsqueezed_keys(kneser_ney._squeezed_keys(keys)) == keys).all()
     # Frequent words have small numbers: their bigrams take less than their 4 bytes.
     rank = np.minimum(rng.zipf(1.3, (2, 20_000)), size - 1)
     assert len(kneser_ney._squeezed(kneser_ney._key(*rank)[1])) < 2.5 * 20_000
