@@ -804,15 +804,17 @@ def quality_classified(
     limit: Column = F.lit(None).cast("double")
     for lang, value in limits.items():
         limit = F.when(F.col("d.lang") == lang, value).otherwise(limit)
+    # Told before the join, which so moves texts only for those who ask for them.
     return (
         _keyed(base)
+        .withColumn("_no_text", F.col("text").isNull())
         .alias("d")
         .join(scored.alias("s"), F.col("d._key") == F.col("s.key"), "left")
         .select(
             *[F.col(f"d.`{c}`") for c in base.columns],
             "s.perplexity",
             limit.alias("threshold"),
-            F.when(F.col("d.text").isNull(), False)
+            F.when(F.col("d._no_text"), False)
             .otherwise(F.coalesce(F.col("s.perplexity") <= limit, F.lit(True)))
             .alias("kept"),
         )

@@ -149,3 +149,14 @@ def test_frequent_words_have_small_numbers_and_only_one_bigram_table_stays(
     assert len(written) == 1
     rows = trained.bigrams.collect()
     assert len({(r.context, r.word) for r in rows}) == len(rows) and sum(r.n for r in rows) == 16
+
+
+def test_last_join_moves_no_text(spark, make_docs, invented):
+    docs, labels = _labelled(spark, invented)
+    found = quality_classified(make_docs(docs).select("doc_id", "lang", "text"), labels)
+    plan = found.select("doc_id", "kept")._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    moved = plan.children().head().output().mkString(" ").split()
+    assert "_no_text" in [c.split("#")[0] for c in moved]
+    assert "text" not in [c.split("#")[0] for c in moved]
