@@ -77,6 +77,31 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, mates, pairs):
         assert sum(compared) <= groups + 60 * 59 // 2 and compared[0] < 119
 
 
+def test_variants_of_one_line_are_not_paired_with_each_other(make_docs, monkeypatch):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    base = "".join(rng.choices(letters, k=300))
+    rows = []
+    for d in range(120):
+        line = list(base)
+        for k in range(4):
+            at = 75 * k + rng.randrange(60)
+            line[at : at + 3] = rng.choices(letters, k=3)
+        rows.append((d, "".join(line)))
+    written = []
+    write = Scratch.write
+
+    def counting(self, df):
+        out = write(self, df)
+        if out.columns == ["a", "b", "similarity"]:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counting)
+    assert _got(line_dedup(make_docs(rows))) == _brute(rows)
+    assert sum(written) < 120 * 119 // 4
+
+
 def test_lines_that_share_a_run_only_are_not_compared(make_docs, monkeypatch):
     rng = random.Random(3)
     letters = "abcdefghijklmnopqrstuvwxyz"
@@ -96,5 +121,3 @@ def test_lines_that_share_a_run_only_are_not_compared(make_docs, monkeypatch):
     monkeypatch.setattr(Scratch, "write", counting)
     assert _got(line_dedup(make_docs(rows))) == _brute(rows)
     assert 20 <= sum(written) < 60
-
-
